@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream, watermark, window-over-time or state abstraction
+(it depends on spark-core only and every job is a batch over block grids), so
+nothing is built here.  All operators are batch DataFrame functions; they can be
+applied per micro-batch through ``foreachBatch`` by a caller if ever needed.
+"""
