@@ -247,3 +247,174 @@ SELECT x, y, z, label FROM V
 WHERE (x // 4, y // 4, z // 4) IN (SELECT (x // 4, y // 4, z // 4) FROM V WHERE label <> 0)""")
 def q_drop_empty_blocks(spark, sf):
     return pyramid.drop_empty_blocks(fx.label_volume(spark, sf), 4)
+
+
+# ---------------------------------------------------------------------------
+# Step 4: affinities and masks
+# ---------------------------------------------------------------------------
+
+from ..operators import affinity, mask as pmask  # noqa: E402
+from ..sources import volume  # noqa: E402
+
+OFFS = fx.AFFINITY_OFFSETS
+AVG_FACTOR = 0.5 / len(OFFS)
+
+
+def _avg_sql(masked: bool, nan_oob: bool) -> str:
+    ok = "coalesce(k.m, 0) <> 0" if masked else "TRUE"
+    join = "LEFT JOIN MASK k USING (x, y, z)" if masked else ""
+    inv = "CASE WHEN ok THEN 0 ELSE 1 END" if nan_oob else "0"
+    return f"""E AS (SELECT x, y, z, c, a, dx, dy, dz, {ok} AS ok
+       FROM AFF {join} JOIN OFFS USING (c)),
+C AS (SELECT x, y, z, CASE WHEN ok AND isfinite(a) THEN a ELSE 0.0 END AS s, {inv} AS inv, 1 AS own FROM E
+      UNION ALL
+      SELECT x + dx, y + dy, z + dz, CASE WHEN ok AND isfinite(a) THEN a ELSE 0.0 END, {inv}, 0 FROM E),
+AVG AS (SELECT x, y, z, CASE WHEN max(inv) = 1 THEN CAST('nan' AS DOUBLE)
+                             ELSE sum(s) * {AVG_FACTOR!r} END AS v
+        FROM C GROUP BY x, y, z HAVING max(own) = 1)"""
+
+
+@register("average_affinities", with_sql(A_SQL, _avg_sql(False, False)) + "SELECT x, y, z, v FROM AVG")
+def q_average_affinities(spark, sf):
+    return affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS)
+
+
+@register("average_affinities_masked", with_sql(A_SQL, _avg_sql(True, False)) +
+          "SELECT x, y, z, v FROM AVG")
+def q_average_affinities_masked(spark, sf):
+    return affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS,
+                                       mask=fx.mask_volume(spark, sf))
+
+
+@register("average_affinities_nan", with_sql(A_SQL, _avg_sql(True, True)) +
+          "SELECT x, y, z, v FROM AVG")
+def q_average_affinities_nan(spark, sf):
+    return affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS,
+                                       mask=fx.mask_volume(spark, sf), nan_oob=True)
+
+
+@register("glia_weight", with_sql(A_SQL, _avg_sql(False, False)) + """
+SELECT x, y, z, CASE WHEN w <= 0.4 THEN CAST('nan' AS DOUBLE) ELSE v * w END AS v
+FROM (SELECT AVG.x, AVG.y, AVG.z, AVG.v,
+             coalesce(1.0 - least(1.0, greatest(0.0, g)), 1.0 - 0.0) AS w
+      FROM AVG LEFT JOIN GLIA USING (x, y, z)) t""")
+def q_glia_weight(spark, sf):
+    """G3 + G4: inverted glia weight in [0, 1], cut at glia 0.6 (weight <= 0.4)."""
+    return affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS,
+                                       glia=fx.glia_volume(spark, sf), glia_min=0.0,
+                                       glia_max=1.0, glia_thr=0.6)
+
+
+@register("symmetric_affinities", with_sql(A_SQL) + f"""
+SELECT x, y, z, c, a FROM AFF
+UNION ALL
+SELECT t.x, t.y, t.z, CAST({2 * len(OFFS) - 1} - t.c AS BIGINT) AS c,
+       coalesce(s.a, CAST('nan' AS DOUBLE)) AS a
+FROM (AFF JOIN OFFS USING (c)) t
+LEFT JOIN AFF s ON s.c = t.c AND s.x = t.x - t.dx AND s.y = t.y - t.dy AND s.z = t.z - t.dz""")
+def q_symmetric_affinities(spark, sf):
+    return affinity.symmetric_affinities(fx.edge_affinities(spark, sf), OFFS)
+
+
+@register("invalidate_cross_block", with_sql(A_SQL) + """
+SELECT x, y, z, c,
+       CASE WHEN floor((x + dx) / 4.0) <> floor(x / 4.0) OR floor((y + dy) / 4.0) <> floor(y / 4.0)
+                 OR floor((z + dz) / 4.0) <> floor(z / 4.0)
+            THEN CAST('nan' AS DOUBLE) ELSE a END AS a
+FROM AFF JOIN OFFS USING (c)""")
+def q_invalidate_cross_block(spark, sf):
+    return affinity.invalidate_cross_block(fx.edge_affinities(spark, sf), OFFS, 4)
+
+
+@register("weight_edges", with_sql(A_SQL) + """
+, MG AS (SELECT x, y, z, coalesce(m, 0) AS m,
+                1.0 - least(1.0, greatest(0.0, coalesce(g, 0.0))) AS gw
+         FROM MASK FULL JOIN GLIA USING (x, y, z))
+SELECT e.x, e.y, e.z, e.c,
+       CASE WHEN coalesce(s.m, 0) = 1 AND coalesce(t.m, 0) = 1 THEN e.a * s.gw * t.gw
+            ELSE CAST('nan' AS DOUBLE) END AS a
+FROM (AFF JOIN OFFS USING (c)) e
+LEFT JOIN MG s ON s.x = e.x AND s.y = e.y AND s.z = e.z
+LEFT JOIN MG t ON t.x = e.x + e.dx AND t.y = e.y + e.dy AND t.z = e.z + e.dz""")
+def q_weight_edges(spark, sf):
+    return affinity.weight_edges(fx.edge_affinities(spark, sf), OFFS,
+                                 fx.mask_volume(spark, sf), fx.glia_volume(spark, sf))
+
+
+# G5 parameters: dyadic resolutions so world <-> voxel maps are exact.
+PM = dict(block=(2, 2, 2), in_res=(4, 4, 4), out_res=(8, 8, 8), in_off=(0, 0, 0),
+          out_off=(4, 4, 4), pad=(4, 4, 4))
+
+
+def _pm_box_sql():
+    b = PM["block"][0]
+    return f"""B AS (
+  SELECT bx, by_, bz, bx * {b} AS x0, by_ * {b} AS y0, bz * {b} AS z0,
+         least(bx * {b} + {b - 1}, nx - 1) AS x1, least(by_ * {b} + {b - 1}, ny - 1) AS y1,
+         least(bz * {b} + {b - 1}, nz - 1) AS z1
+  FROM OD,
+       (SELECT unnest(range(0, (SELECT CAST(ceil(nx / {b}.0) AS BIGINT) FROM OD))) AS bx) a,
+       (SELECT unnest(range(0, (SELECT CAST(ceil(ny / {b}.0) AS BIGINT) FROM OD))) AS by_) b,
+       (SELECT unnest(range(0, (SELECT CAST(ceil(nz / {b}.0) AS BIGINT) FROM OD))) AS bz) c),
+BI AS (SELECT *, CAST(floor((x0 * 8.0 + 4.0 - 4.0 - 0.0) / 4.0) AS BIGINT) AS lo_x,
+                 CAST(floor((y0 * 8.0 + 4.0 - 4.0 - 0.0) / 4.0) AS BIGINT) AS lo_y,
+                 CAST(floor((z0 * 8.0 + 4.0 - 4.0 - 0.0) / 4.0) AS BIGINT) AS lo_z,
+                 CAST(ceil((x1 * 8.0 + 4.0 + 4.0 - 0.0) / 4.0) AS BIGINT) AS hi_x,
+                 CAST(ceil((y1 * 8.0 + 4.0 + 4.0 - 0.0) / 4.0) AS BIGINT) AS hi_y,
+                 CAST(ceil((z1 * 8.0 + 4.0 + 4.0 - 0.0) / 4.0) AS BIGINT) AS hi_z FROM B)"""
+
+
+@register("prediction_mask", with_sql(A_SQL) + """
+, OD AS (SELECT CAST(ceil((max(x) + 1) * 4.0 / 8.0) AS BIGINT) AS nx,
+                CAST(ceil((max(y) + 1) * 4.0 / 8.0) AS BIGINT) AS ny,
+                CAST(ceil((max(z) + 1) * 4.0 / 8.0) AS BIGINT) AS nz FROM MASK),
+""" + _pm_box_sql() + """
+SELECT bx, by_, bz, x0, y0, z0, x1, y1, z1,
+       CASE WHEN (SELECT count(*) FROM MASK k WHERE k.m <> 0
+                  AND k.x BETWEEN lo_x AND hi_x AND k.y BETWEEN lo_y AND hi_y
+                  AND k.z BETWEEN lo_z AND hi_z)
+                 = (hi_x - lo_x + 1) * (hi_y - lo_y + 1) * (hi_z - lo_z + 1)
+            THEN 1 ELSE 0 END AS m
+FROM BI""")
+def q_prediction_mask(spark, sf):
+    m = fx.mask_volume(spark, sf)
+    ext = volume.extent(m)
+    ratio = PM["in_res"][0] / PM["out_res"][0]
+    out_ext = ext.select(*[F.ceil(F.col("n" + a) * ratio).cast("bigint").alias("n" + a)
+                           for a in grid.AXES])
+    return pmask.prediction_mask(m, out_ext, PM["block"], PM["in_res"], PM["out_res"],
+                                 PM["in_off"], PM["out_off"], PM["pad"])
+
+
+@register("extend_read", with_sql(A_SQL) + """
+SELECT q.x, q.y, q.z, coalesce(r.v, 0.0) AS v
+FROM RELIEF q LEFT JOIN RELIEF r ON r.x = q.x + 1 AND r.y = q.y AND r.z = q.z + 2""")
+def q_extend_read(spark, sf):
+    """A5: a volume read through a voxel shift (world offset / resolution),
+    constant 0 outside the stored voxels."""
+    rel = fx.relief_volume(spark, sf)
+    shift = volume.world_shift((4.0, 0.0, 8.0), (4.0, 4.0, 4.0))
+    return volume.extend(rel, rel.select(*grid.AXES), "v", 0.0, shift)
+
+
+@register("nan_replace", with_sql(A_SQL, _avg_sql(True, True)) + """
+SELECT x, y, z, CASE WHEN isnan(v) THEN CAST('-inf' AS DOUBLE) ELSE v END AS v FROM AVG""")
+def q_nan_replace(spark, sf):
+    """NaN -> -inf before flooding."""
+    avg = affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS,
+                                      mask=fx.mask_volume(spark, sf), nan_oob=True)
+    return affinity.replace_nan(avg, "v", float("-inf"))
+
+
+@register("channel_invert", with_sql(A_SQL) + "SELECT x, y, z, CAST(3 - c AS BIGINT) AS c, a FROM A")
+def q_channel_invert(spark, sf):
+    """Channel-axis inversion c -> C-1-c over all four channels."""
+    a = fx.affinity_volume(spark, sf).select("x", "y", "z", "c", "a")
+    return affinity.invert_channels(a, 4)
+
+
+@register("voxel_cast", with_sql(V_SQL) +
+          "SELECT x, y, z, CAST(label & 255 AS INTEGER) AS label FROM V")
+def q_voxel_cast(spark, sf):
+    """Integer labels to uint8 (wrap-around)."""
+    return affinity.to_uint8(fx.label_volume(spark, sf), "label")
