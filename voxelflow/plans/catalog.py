@@ -418,3 +418,219 @@ def q_channel_invert(spark, sf):
 def q_voxel_cast(spark, sf):
     """Integer labels to uint8 (wrap-around)."""
     return affinity.to_uint8(fx.label_volume(spark, sf), "label")
+
+
+# ---------------------------------------------------------------------------
+# Step 5/6: stitching
+# ---------------------------------------------------------------------------
+
+from ..operators import graph, stitch  # noqa: E402
+
+SB = 4                       # block size for the seg volume
+
+
+def _dense_sql(src: str, b: int, name: str, dims_sql: str | None = None) -> str:
+    """J3 in SQL: consecutive ids per block, blocks in (bz, by_, bx) order."""
+    return f"""{name}_FR AS (SELECT DISTINCT x // {b} AS bx, y // {b} AS by_, z // {b} AS bz, label
+                 FROM {src} WHERE label <> 0),
+{name}_RK AS (SELECT *, row_number() OVER (PARTITION BY bx, by_, bz ORDER BY label) AS rk FROM {name}_FR),
+{name}_CN AS (SELECT bx, by_, bz, count(*) AS n FROM {name}_FR GROUP BY bx, by_, bz),
+{name}_OF AS (SELECT bx, by_, bz, n, CAST(1 + sum(n) OVER (ORDER BY bz, by_, bx
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS BIGINT) AS first
+              FROM {name}_CN),
+{name} AS (SELECT s.x, s.y, s.z, CAST(coalesce(o.first + r.rk - 1, 0) AS BIGINT) AS label
+           FROM {src} s
+           LEFT JOIN {name}_RK r ON r.bx = s.x // {b} AND r.by_ = s.y // {b} AND r.bz = s.z // {b}
+                                AND r.label = s.label
+           LEFT JOIN {name}_OF o ON o.bx = r.bx AND o.by_ = r.by_ AND o.bz = r.bz)"""
+
+
+def _seg_grid_dims(spark, sf):
+    emb = fx.table(spark, sf, "embeddings")
+    n = emb.count()   # one scalar: number of vectors fixes the z extent
+    return (16, 20, -(-n // 20))
+
+
+def _seg_dense(spark, sf):
+    seg = fx.seg_volume(spark, sf)
+    return stitch.relabel_dense(seg, SB, _seg_grid_dims(spark, sf))
+
+
+def _face_sql(src: str, b: int, with_values: bool, val: str = "RELIEF") -> str:
+    parts = []
+    for d, (dx, dy, dz) in enumerate(((1, 0, 0), (0, 1, 0), (0, 0, 1))):
+        ax = "xyz"[d]
+        vals = ", vp.v AS v1, vq.v AS v2" if with_values else ""
+        vj = (f" LEFT JOIN {val} vp ON vp.x = p.x AND vp.y = p.y AND vp.z = p.z"
+              f" LEFT JOIN {val} vq ON vq.x = q.x AND vq.y = q.y AND vq.z = q.z") if with_values else ""
+        parts.append(
+            f"SELECT p.x // {b} AS bx, p.y // {b} AS by_, p.z // {b} AS bz, {d} AS axis, "
+            f"p.label AS l1, q.label AS l2{vals} FROM {src} p JOIN {src} q "
+            f"ON q.x = p.x + {dx} AND q.y = p.y + {dy} AND q.z = p.z + {dz}{vj} "
+            f"WHERE p.{ax} % {b} = {b - 1} AND p.label <> 0 AND q.label <> 0")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("block_offsets", with_sql(V_SQL) + f"""
+, CN AS (SELECT x // {VB} AS bx, y // {VB} AS by_, z // {VB} AS bz, count(DISTINCT label) AS n
+         FROM V WHERE label <> 0 GROUP BY 1, 2, 3)
+SELECT bx, by_, bz, n, CAST(1 + sum(n) OVER (ORDER BY bz, by_, bx
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS BIGINT) AS first FROM CN""")
+def q_block_offsets(spark, sf):
+    counts = stitch.block_label_counts(fx.label_volume(spark, sf), VB)
+    return stitch.block_offsets(counts, V_DIMS, VB, start=1, segment=16)
+
+
+_LOCAL_SQL = f"""L AS (SELECT x, y, z, CASE WHEN label = 0 THEN 0 ELSE
+       dense_rank() OVER (PARTITION BY x // {VB}, y // {VB}, z // {VB}, label <> 0 ORDER BY label) END AS label
+     FROM V)"""
+
+
+def _local_ids(spark, sf):
+    """Block-local ids 1..n (what a block-wise segmentation writes)."""
+    from pyspark.sql import Window
+    v = grid.block_position(fx.label_volume(spark, sf), VB)
+    w = Window.partitionBy(*grid.BLOCK_COLS, F.col("label") != 0).orderBy("label")
+    return v.select("x", "y", "z", F.when(F.col("label") == 0, F.lit(0))
+                    .otherwise(F.dense_rank().over(w)).cast("bigint").alias("label"))
+
+
+@register("relabel_offset", with_sql(V_SQL, _LOCAL_SQL) + f"""
+, CN AS (SELECT x // {VB} AS bx, y // {VB} AS by_, z // {VB} AS bz, max(label) AS n
+         FROM L WHERE label <> 0 GROUP BY 1, 2, 3),
+OF AS (SELECT bx, by_, bz, CAST(1 + sum(n) OVER (ORDER BY bz, by_, bx
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS BIGINT) AS first FROM CN)
+SELECT L.x, L.y, L.z, CAST(CASE WHEN L.label <> 0 THEN L.label + o.first ELSE 0 END AS BIGINT) AS label
+FROM L LEFT JOIN OF o ON o.bx = L.x // {VB} AND o.by_ = L.y // {VB} AND o.bz = L.z // {VB}""")
+def q_relabel_offset(spark, sf):
+    loc = _local_ids(spark, sf)
+    counts = stitch.block_label_counts(loc, VB, how="max")
+    offs = stitch.block_offsets(counts, V_DIMS, VB, start=1, segment=16)
+    return stitch.relabel_offset(loc, VB, offs)
+
+
+@register("relabel_dense", with_sql(V_SQL, _dense_sql("V", VB, "DV")) + "SELECT x, y, z, label FROM DV")
+def q_relabel_dense(spark, sf):
+    return stitch.relabel_dense(fx.label_volume(spark, sf), VB, V_DIMS, segment=16)
+
+
+@register("max_label_id", with_sql(V_SQL, _dense_sql("V", VB, "DV")) +
+          "SELECT coalesce(max(label), 0) AS max_id FROM DV")
+def q_max_label_id(spark, sf):
+    return stitch.max_label_id(stitch.relabel_dense(fx.label_volume(spark, sf), VB, V_DIMS))
+
+
+@register("drop_singletons", with_sql(V_SQL) + f"""
+SELECT x, y, z, CASE WHEN count(*) OVER (PARTITION BY x // {VB}, y // {VB}, z // {VB}, label) < 2
+                     THEN CAST(0 AS BIGINT) ELSE label END AS label FROM V""")
+def q_drop_singletons(spark, sf):
+    return stitch.drop_singletons(fx.label_volume(spark, sf), VB)
+
+
+@register("size_filter", with_sql(V_SQL) + f"""
+SELECT x, y, z, CASE WHEN count(*) OVER (PARTITION BY x // {VB}, y // {VB}, z // {VB}, label) < 3
+                     THEN CAST(0 AS BIGINT) ELSE label END AS label FROM V""")
+def q_size_filter(spark, sf):
+    return stitch.size_filter(fx.label_volume(spark, sf), VB, 3)
+
+
+@register("same_label_check", with_sql(V_SQL) + "SELECT count(*) AS violations FROM (" +
+          _face_sql("V", VB, False) + ") f WHERE l1 = l2")
+def q_same_label_check(spark, sf):
+    """J8 on the raw label volume (ids are not block-unique there, so > 0)."""
+    return stitch.same_label_violations(fx.label_volume(spark, sf), VB)
+
+
+_SEGD = _dense_sql("SEG", SB, "SD")
+
+
+@register("face_pairs", with_sql(A_SQL, _SEGD) + "SELECT DISTINCT * FROM (" +
+          _face_sql("SD", SB, False) + ") f")
+def q_face_pairs(spark, sf):
+    return stitch.face_pairs(_seg_dense(spark, sf), SB)
+
+
+_MED_SQL = "MED AS (SELECT bx, by_, bz, axis, e1, e2, list_sort(list(a))[len(list(a)) // 2 + 1] AS med " \
+    "FROM (SELECT bx, by_, bz, axis, least(l1, l2) AS e1, greatest(l1, l2) AS e2, unnest([v1, v2]) AS a " \
+    "FROM FC WHERE l1 <> l2) t WHERE a IS NOT NULL AND NOT isnan(a) " \
+    "GROUP BY bx, by_, bz, axis, e1, e2)"
+
+
+@register("median_edges", with_sql(A_SQL, _SEGD, "FC AS (" + _face_sql("SD", SB, True) + ")", _MED_SQL)
+          + "SELECT * FROM MED WHERE med > 0.5")
+def q_median_edges(spark, sf):
+    return stitch.merge_edges_median(_seg_dense(spark, sf), fx.relief_volume(spark, sf), SB, 0.5)
+
+
+_ARGMAX_EDGES_SQL = """CN AS (SELECT bx, by_, bz, axis, l1, l2, count(*) AS n FROM FC GROUP BY ALL),
+BEST AS (SELECT * FROM (SELECT *,
+    row_number() OVER (PARTITION BY bx, by_, bz, axis, l1 ORDER BY n DESC, l2) AS r1,
+    row_number() OVER (PARTITION BY bx, by_, bz, axis, l2 ORDER BY n DESC, l1) AS r2 FROM CN) t
+  WHERE r1 = 1 AND r2 = 1)"""
+
+
+@register("mutual_argmax_edges", with_sql(A_SQL, _SEGD, "FC AS (" + _face_sql("SD", SB, False) + ")",
+                                          _ARGMAX_EDGES_SQL)
+          + "SELECT bx, by_, bz, axis, l1 AS e1, l2 AS e2 FROM BEST")
+def q_mutual_argmax_edges(spark, sf):
+    return stitch.merge_edges_mutual_argmax(_seg_dense(spark, sf), SB)
+
+
+_CC_SQL = """UE AS (SELECT e1 AS a, e2 AS b FROM EDGES WHERE e1 <> e2
+             UNION SELECT e2, e1 FROM EDGES WHERE e1 <> e2),
+CC AS (WITH RECURSIVE cc(node, root) USING KEY (node) AS (
+    SELECT a, least(a, min(b)) FROM UE GROUP BY a
+    UNION
+    SELECT u.a, min(c.root) FROM cc c JOIN UE u ON u.b = c.node JOIN recurring.cc r ON r.node = u.a
+    GROUP BY u.a, r.root HAVING min(c.root) < r.root)
+  SELECT node AS label, root FROM cc)"""
+
+
+@register("connected_components", with_sql(
+    A_SQL, _SEGD, "FC AS (" + _face_sql("SD", SB, False) + ")", _ARGMAX_EDGES_SQL,
+    "EDGES AS (SELECT l1 AS e1, l2 AS e2 FROM BEST)", _CC_SQL) + "SELECT label, root FROM CC")
+def q_connected_components(spark, sf):
+    """J5 over the mutual-argmax face edges of the block-wise seg volume."""
+    e = stitch.merge_edges_mutual_argmax(_seg_dense(spark, sf), SB)
+    return graph.connected_components(e, "e1", "e2")
+
+
+@register("apply_mapping", with_sql(
+    A_SQL, _SEGD, "FC AS (" + _face_sql("SD", SB, False) + ")", _ARGMAX_EDGES_SQL,
+    "EDGES AS (SELECT l1 AS e1, l2 AS e2 FROM BEST)", _CC_SQL) + """
+SELECT SD.x, SD.y, SD.z, coalesce(CC.root, SD.label) AS label FROM SD LEFT JOIN CC USING (label)""")
+def q_apply_mapping(spark, sf):
+    """Stitched seg volume (mutual-argmax rule, unmapped labels kept)."""
+    dense = _seg_dense(spark, sf)
+    e = stitch.merge_edges_mutual_argmax(dense, SB)
+    return stitch.apply_mapping(dense, graph.connected_components(e, "e1", "e2"), True)
+
+
+def _block_contacts_sql(src: str, b: int) -> str:
+    parts = []
+    for d, (dx, dy, dz) in enumerate(((1, 0, 0), (0, 1, 0), (0, 0, 1))):
+        parts.append(
+            f"SELECT p.x // {b} AS bx, p.y // {b} AS by_, p.z // {b} AS bz, least(p.label, q.label) AS e1, "
+            f"greatest(p.label, q.label) AS e2, vp.v AS v1, vq.v AS v2 FROM {src} p JOIN {src} q "
+            f"ON q.x = p.x + {dx} AND q.y = p.y + {dy} AND q.z = p.z + {dz} "
+            f"LEFT JOIN RELIEF vp ON vp.x = p.x AND vp.y = p.y AND vp.z = p.z "
+            f"LEFT JOIN RELIEF vq ON vq.x = q.x AND vq.y = q.y AND vq.z = q.z "
+            f"WHERE p.x // {b} = q.x // {b} AND p.y // {b} = q.y // {b} AND p.z // {b} = q.z // {b} "
+            f"AND p.label <> 0 AND q.label <> 0 AND p.label <> q.label")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("median_fragments", with_sql(A_SQL, "BC AS (" + _block_contacts_sql("SEG", 8) + ")") + """
+SELECT bx, by_, bz, e1, e2, med FROM (
+  SELECT bx, by_, bz, e1, e2, list_sort(list(a))[len(list(a)) // 2 + 1] AS med
+  FROM (SELECT bx, by_, bz, e1, e2, unnest([v1, v2]) AS a FROM BC) t
+  WHERE a IS NOT NULL AND NOT isnan(a) GROUP BY ALL) m WHERE med > 0.5""")
+def q_median_fragments(spark, sf):
+    """I5 on the seg volume (labels 1..9 are fragments inside 8^3 blocks)."""
+    return stitch.merge_fragments_median(fx.seg_volume(spark, sf), fx.relief_volume(spark, sf), 8, 0.5)
+
+
+@register("min_fragments", with_sql(A_SQL, "BC AS (" + _block_contacts_sql("SEG", 8) + ")") + """
+SELECT DISTINCT bx, by_, bz, e1, e2 FROM BC WHERE least(v1, v2) > 0.55""")
+def q_min_fragments(spark, sf):
+    return stitch.merge_fragments_min(fx.seg_volume(spark, sf), fx.relief_volume(spark, sf), 8, 0.55)
