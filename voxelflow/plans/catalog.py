@@ -634,3 +634,123 @@ def q_median_fragments(spark, sf):
 SELECT DISTINCT bx, by_, bz, e1, e2 FROM BC WHERE least(v1, v2) > 0.55""")
 def q_min_fragments(spark, sf):
     return stitch.merge_fragments_min(fx.seg_volume(spark, sf), fx.relief_volume(spark, sf), 8, 0.55)
+
+
+# ---------------------------------------------------------------------------
+# Step 7: seeds, extrema, distance transforms (H1-H6)
+# ---------------------------------------------------------------------------
+
+from ..operators import distance, extrema  # noqa: E402
+
+HB = 8                                   # block size for relief-based operators
+DT_RES = (1.0, 1.0, 2.0)                 # anisotropic resolution for H5/H6
+DT_W5 = tuple(r * r for r in DT_RES)     # H5 weights = resolution^2
+DT_W6 = distance.sampled_weights(DT_RES, 0.01)
+
+
+def _extent_tuple(df) -> tuple:
+    """(nx, ny, nz) of a volume: one aggregate row, used as a plan parameter."""
+    r = volume.extent(df).collect()[0]
+    return (int(r[0]), int(r[1]), int(r[2]))
+
+
+def _nbr_sql(p: str, q: str, b: int | None, plane_axis: int | None = None) -> str:
+    conds = [f"{q}.{a} BETWEEN {p}.{a} - 1 AND {p}.{a} + 1" for a in "xyz"]
+    conds.append(f"NOT ({q}.x = {p}.x AND {q}.y = {p}.y AND {q}.z = {p}.z)")
+    if b:
+        conds += [f"{q}.{a} // {b} = {p}.{a} // {b}" for a in "xyz"]
+    if plane_axis is not None:
+        a = "xyz"[plane_axis]
+        conds.append(f"{q}.{a} = {p}.{a}")
+    return " AND ".join(conds)
+
+
+@register("local_maxima", with_sql(A_SQL) + f"""
+SELECT p.x, p.y, p.z, p.v FROM RELIEF p
+WHERE NOT isnan(p.v) AND p.v >= 0.5 AND NOT EXISTS (
+  SELECT 1 FROM RELIEF q WHERE {_nbr_sql('p', 'q', HB)} AND NOT isnan(q.v) AND q.v > p.v)""")
+def q_local_maxima(spark, sf):
+    return extrema.local_maxima(fx.relief_volume(spark, sf), 0.5, HB)
+
+
+def _edge_max_sql():
+    parts = []
+    for d, a in enumerate("xyz"):
+        for cond in (f"p.{a} % {HB} = 0", f"(p.{a} % {HB} = {HB - 1} OR p.{a} = n{a} - 1)"):
+            qcond = cond.replace("p.", "q.")
+            parts.append(f"""SELECT p.x, p.y, p.z, p.v FROM RELIEF p, EXT
+WHERE {cond} AND NOT isnan(p.v) AND NOT EXISTS (
+  SELECT 1 FROM RELIEF q WHERE {_nbr_sql('p', 'q', HB, d)} AND {qcond}
+  AND NOT isnan(q.v) AND q.v > p.v)""")
+    return "SELECT DISTINCT * FROM (\n" + "\nUNION ALL\n".join(parts) + ") t"
+
+
+@register("edge_maxima", with_sql(A_SQL) +
+          ", EXT AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM RELIEF)\n"
+          + _edge_max_sql())
+def q_edge_maxima(spark, sf):
+    rel = fx.relief_volume(spark, sf)
+    return extrema.edge_only_maxima(rel, HB, _extent_tuple(rel))
+
+
+@register("seed_ids", with_sql(A_SQL) + f"""
+SELECT x, y, z, x // {HB} AS bx, y // {HB} AS by_, z // {HB} AS bz,
+       row_number() OVER (PARTITION BY x // {HB}, y // {HB}, z // {HB} ORDER BY z, y, x) AS seed
+FROM (SELECT p.x, p.y, p.z FROM RELIEF p
+      WHERE NOT isnan(p.v) AND p.v >= 0.5 AND NOT EXISTS (
+        SELECT 1 FROM RELIEF q WHERE {_nbr_sql('p', 'q', HB)} AND NOT isnan(q.v) AND q.v > p.v)) s""")
+def q_seed_ids(spark, sf):
+    m = extrema.local_maxima(fx.relief_volume(spark, sf), 0.5, HB)
+    return extrema.seed_ids(m, HB)
+
+
+@register("boundary_seeds", with_sql(A_SQL) + """
+SELECT p.x, p.y, p.z, CAST(CASE WHEN EXISTS (
+    SELECT 1 FROM SEG q WHERE q.label = 0 AND abs(q.x - p.x) + abs(q.y - p.y) + abs(q.z - p.z) = 1)
+  THEN 1 ELSE 0 END AS INTEGER) AS m
+FROM SEG p WHERE p.label <> 0""")
+def q_boundary_seeds(spark, sf):
+    return extrema.boundary_seeds(fx.seg_volume(spark, sf))
+
+
+def _outside_sql(w, r=32):
+    terms = []
+    for a, wi in zip("xyz", w):
+        terms.append(f"CASE WHEN p.{a} + 1 <= {r} THEN {wi!r} * (p.{a} + 1) * (p.{a} + 1) "
+                     f"ELSE CAST('inf' AS DOUBLE) END")
+        terms.append(f"CASE WHEN n{a} - p.{a} <= {r} THEN {wi!r} * (n{a} - p.{a}) * (n{a} - p.{a}) "
+                     f"ELSE CAST('inf' AS DOUBLE) END")
+    return "least(" + ", ".join(terms) + ")"
+
+
+def _dt_sql(src_f: str, w) -> str:
+    wx, wy, wz = (repr(v) for v in w)
+    return f"""EXT AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM RELIEF),
+FQ AS ({src_f}),
+DT AS (
+  SELECT p.x, p.y, p.z, p.v,
+         least(coalesce(min(((q.f + {wx} * (p.x - q.x) * (p.x - q.x)) + {wy} * (p.y - q.y) * (p.y - q.y))
+                            + {wz} * (p.z - q.z) * (p.z - q.z)), CAST('inf' AS DOUBLE)),
+               any_value({_outside_sql(w)})) AS d
+  FROM RELIEF p CROSS JOIN EXT
+  LEFT JOIN FQ q ON q.x BETWEEN p.x - 32 AND p.x + 32 AND q.y BETWEEN p.y - 32 AND p.y + 32
+                AND q.z BETWEEN p.z - 32 AND p.z + 32
+  GROUP BY p.x, p.y, p.z, p.v)
+SELECT x, y, z, CASE WHEN isnan(v) THEN CAST('nan' AS DOUBLE) WHEN d = CAST('inf' AS DOUBLE) THEN NULL
+                     ELSE sqrt(d) END AS v FROM DT"""
+
+
+@register("distance_binary", with_sql(A_SQL, _dt_sql(
+    "SELECT x, y, z, 0.0 AS f FROM RELIEF WHERE isnan(v) OR v < 0.5", DT_W5)))
+def q_distance_binary(spark, sf):
+    """H5 on the relief thresholded at 0.5, resolution (1, 1, 2)."""
+    rel = fx.relief_volume(spark, sf)
+    return distance.distance_transform_binary(rel, 0.5, _extent_tuple(rel), DT_W5, 32)
+
+
+@register("distance_sampled", with_sql(A_SQL, _dt_sql(
+    "SELECT x, y, z, CASE WHEN isnan(v) THEN 0.0 ELSE v * v END AS f FROM RELIEF", DT_W6)))
+def q_distance_sampled(spark, sf):
+    """H6 on the relief, weight 0.01, resolution (1, 1, 2)."""
+    rel = fx.relief_volume(spark, sf)
+    return distance.distance_transform_sampled(rel, _extent_tuple(rel), DT_W6, 32)
