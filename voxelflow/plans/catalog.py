@@ -754,3 +754,148 @@ def q_distance_sampled(spark, sf):
     """H6 on the relief, weight 0.01, resolution (1, 1, 2)."""
     rel = fx.relief_volume(spark, sf)
     return distance.distance_transform_sampled(rel, _extent_tuple(rel), DT_W6, 32)
+
+
+# ---------------------------------------------------------------------------
+# Steps 8/9: segmentation loops
+# ---------------------------------------------------------------------------
+
+from ..operators import segment  # noqa: E402
+
+SYM_OFFS = affinity.symmetric_offsets(OFFS)      # ABC CBA
+WB = 8                                           # watershed block size
+RAIN_THR = 0.55
+
+
+def _aff_extent(spark, sf):
+    return _extent_tuple(fx.edge_affinities(spark, sf))
+
+
+def _rain_inputs(spark, sf):
+    aff = fx.edge_affinities(spark, sf)
+    dims = _aff_extent(spark, sf)
+    sym = affinity.symmetric_affinities(aff, OFFS)
+    edges = segment.voxel_edges(sym, SYM_OFFS, dims, WB)
+    nodes = aff.select(grid.linear_index(dims).alias("node")).distinct()
+    return nodes, edges, dims
+
+
+_SYM_SQL = f"""SYMA AS (
+  SELECT x, y, z, c, a FROM AFF
+  UNION ALL
+  SELECT t.x, t.y, t.z, CAST(5 - t.c AS BIGINT) AS c, coalesce(s.a, CAST('nan' AS DOUBLE)) AS a
+  FROM (AFF JOIN OFFS USING (c)) t
+  LEFT JOIN AFF s ON s.c = t.c AND s.x = t.x - t.dx AND s.y = t.y - t.dy AND s.z = t.z - t.dz),
+SOFFS AS (SELECT * FROM (VALUES {', '.join(f'({i}, {o[0]}, {o[1]}, {o[2]})' for i, o in enumerate(SYM_OFFS))}) o(c, dx, dy, dz)),
+EXT AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM AFF),
+ED AS (SELECT x + nx * (y + ny * z) AS n1, (x + dx) + nx * ((y + dy) + ny * (z + dz)) AS n2, a
+       FROM SYMA JOIN SOFFS USING (c), EXT
+       WHERE NOT isnan(a) AND x + dx BETWEEN 0 AND nx - 1 AND y + dy BETWEEN 0 AND ny - 1
+         AND z + dz BETWEEN 0 AND nz - 1 AND floor((x + dx) / {WB}.0) = floor(x / {WB}.0)
+         AND floor((y + dy) / {WB}.0) = floor(y / {WB}.0) AND floor((z + dz) / {WB}.0) = floor(z / {WB}.0)),
+NODES AS (SELECT DISTINCT x + nx * (y + ny * z) AS node FROM AFF, EXT),
+BEST AS (SELECT n1 AS node, n2 AS parent FROM (
+           SELECT *, row_number() OVER (PARTITION BY n1 ORDER BY a DESC, n2 ASC) AS rk FROM ED) t
+         WHERE rk = 1),
+PAR0 AS (SELECT NODES.node, coalesce(BEST.parent, NODES.node) AS parent FROM NODES LEFT JOIN BEST USING (node)),
+PAR AS (SELECT p.node, CASE WHEN q.parent = p.node AND p.node < p.parent THEN p.node ELSE p.parent END AS parent
+        FROM PAR0 p LEFT JOIN PAR0 q ON q.node = p.parent),
+RAIN AS (WITH RECURSIVE r(node, root) USING KEY (node) AS (
+           SELECT node, parent FROM PAR
+           UNION
+           SELECT r.node, p.parent FROM r JOIN PAR p ON p.node = r.root WHERE p.parent <> r.root)
+         SELECT node, root FROM r)"""
+
+_XYZ_SQL = "node % nx AS x, (node // nx) % ny AS y, node // (nx * ny) AS z"
+
+
+@register("steepest_ascent", with_sql(A_SQL, _SYM_SQL) + f"SELECT {_XYZ_SQL}, root FROM RAIN, EXT")
+def q_steepest_ascent(spark, sf):
+    """I1 on symmetric affinities, 8^3 blocks (edges leaving a block invalid)."""
+    nodes, edges, dims = _rain_inputs(spark, sf)
+    return segment._node_to_xyz(segment.steepest_ascent(nodes, edges), dims)
+
+
+@register("basin_merge", with_sql(A_SQL, _SYM_SQL) + f"""
+, BE AS (SELECT DISTINCT r1.root AS e1, r2.root AS e2 FROM ED
+         JOIN RAIN r1 ON r1.node = ED.n1 JOIN RAIN r2 ON r2.node = ED.n2
+         WHERE ED.a >= {RAIN_THR} AND r1.root <> r2.root),
+UE AS (SELECT e1 AS a, e2 AS b FROM BE UNION SELECT e2, e1 FROM BE),
+CC AS (WITH RECURSIVE cc(node, root) USING KEY (node) AS (
+    SELECT a, least(a, min(b)) FROM UE GROUP BY a
+    UNION
+    SELECT u.a, min(c.root) FROM cc c JOIN UE u ON u.b = c.node JOIN recurring.cc r ON r.node = u.a
+    GROUP BY u.a, r.root HAVING min(c.root) < r.root)
+  SELECT node AS label, root FROM cc)
+SELECT {_XYZ_SQL}, coalesce(CC.root, RAIN.root) AS root
+FROM RAIN LEFT JOIN CC ON CC.label = RAIN.root, EXT""")
+def q_basin_merge(spark, sf):
+    """Basins of I1 joined across edges with affinity >= 0.55."""
+    nodes, edges, dims = _rain_inputs(spark, sf)
+    basins = segment.steepest_ascent(nodes, edges)
+    return segment._node_to_xyz(segment.merge_basins(basins, edges, RAIN_THR), dims)
+
+
+def _seeds(spark, sf):
+    m = extrema.local_maxima(fx.relief_volume(spark, sf), 0.5, HB)
+    return extrema.seed_ids(m, HB)
+
+
+_SEEDS_SQL = f"""SEEDS AS (SELECT p.x, p.y, p.z FROM RELIEF p
+      WHERE NOT isnan(p.v) AND p.v >= 0.5 AND NOT EXISTS (
+        SELECT 1 FROM RELIEF q WHERE {_nbr_sql('p', 'q', HB)} AND NOT isnan(q.v) AND q.v > p.v)),
+NB6 AS (SELECT * FROM (VALUES (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) n(dx, dy, dz)),
+FH AS (WITH RECURSIVE h(x, y, z, h) USING KEY (x, y, z) AS (
+    SELECT x, y, z, CAST('inf' AS DOUBLE) FROM SEEDS
+    UNION
+    SELECT q.x, q.y, q.z, max(least(h.h, q.v)) AS h
+    FROM h JOIN NB6 ON TRUE
+    JOIN RELIEF q ON q.x = h.x + dx AND q.y = h.y + dy AND q.z = h.z + dz
+    LEFT JOIN recurring.h cur ON cur.x = q.x AND cur.y = q.y AND cur.z = q.z
+    WHERE NOT isnan(q.v) AND q.x // {HB} = h.x // {HB} AND q.y // {HB} = h.y // {HB} AND q.z // {HB} = h.z // {HB}
+    GROUP BY q.x, q.y, q.z, cur.h
+    HAVING cur.h IS NULL OR max(least(h.h, q.v)) > cur.h)
+  SELECT * FROM h)"""
+
+
+@register("seeded_watershed_height", with_sql(A_SQL, _SEEDS_SQL) + "SELECT x, y, z, h FROM FH")
+def q_seeded_watershed_height(spark, sf):
+    """I3 checked through its bottleneck heights: seeds = local maxima of the
+    relief (8^3 blocks), flood inside each block."""
+    rel = fx.relief_volume(spark, sf)
+    return segment.flood_heights(rel, _seeds(spark, sf), _extent_tuple(rel), HB)
+
+
+@register("seeded_watershed")
+def q_seeded_watershed(spark, sf):
+    """I3 labels (marker-rooted maximum spanning forest; rows-only check)."""
+    rel = fx.relief_volume(spark, sf)
+    return segment.seeded_watershed(rel, _seeds(spark, sf), _extent_tuple(rel), HB)
+
+
+@register("affinity_growth")
+def q_affinity_growth(spark, sf):
+    """I4: seg labels grown into their 0-voxels along affinity edges (8^3 blocks)."""
+    aff = fx.edge_affinities(spark, sf)
+    dims = _extent_tuple(aff)
+    return segment.seeded_growth(fx.seg_volume(spark, sf), aff, OFFS, dims, WB)
+
+
+@register("mutex_watershed")
+def q_mutex_watershed(spark, sf):
+    """I7 with the threshold rule (a >= 0.5 attractive), 8^3 blocks."""
+    aff = fx.edge_affinities(spark, sf)
+    dims = _extent_tuple(aff)
+    return segment.mutex_segmentation(aff, OFFS, dims, WB, thr=0.5)
+
+
+LONG_OFFS = OFFS + ((0, -3, 0),)       # channel 3 of A read as a long-range edge
+
+
+@register("edge_sampling")
+def q_edge_sampling(spark, sf):
+    """I8: short edges kept, long-range ones sampled at 1% by a position hash."""
+    a = fx.affinity_volume(spark, sf).select("x", "y", "z", "c", "a")
+    norms = [sum(v * v for v in o) for o in LONG_OFFS]
+    short = F.element_at(F.array(*[F.lit(n <= 1) for n in norms]), F.col("c").cast("int") + 1)
+    return a.filter(short | segment.sample_mask(0.01))

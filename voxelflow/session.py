@@ -67,6 +67,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` to the reliable checkpoint folder and drop its lineage.
+
+    The checkpointed DataFrame is rebuilt from the checkpointed RDD and the
+    schema: a plain ``checkpoint()`` result still carries its origin logical
+    plan, and in a loop that reuses the result twice per round the planning
+    cost then doubles every round.  The rebuilt frame references only the
+    checkpoint files, so a lost executor re-reads them instead of recomputing.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    c = df.checkpoint(eager=True)
+    jdf = spark._jsparkSession.createDataFrame(c._jdf.rdd(), c._jdf.schema())
+    return DataFrame(jdf, spark)
