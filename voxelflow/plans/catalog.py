@@ -899,3 +899,66 @@ def q_edge_sampling(spark, sf):
     norms = [sum(v * v for v in o) for o in LONG_OFFS]
     short = F.element_at(F.array(*[F.lit(n <= 1) for n in norms]), F.col("c").cast("int") + 1)
     return a.filter(short | segment.sample_mask(0.01))
+
+
+# ---------------------------------------------------------------------------
+# Metadata of a derived pyramid
+# ---------------------------------------------------------------------------
+
+from ..functions import attrs  # noqa: E402
+
+_FACTOR_STRINGS = ("1", "2", "2,2,1")
+
+
+@register("volume_meta", with_sql(
+    M_SQL, "L1 AS (" + _topk_sql("M", 3, (2, 2, 2)) + ")", "L2 AS (" + _topk_sql("L1", 3, (2, 2, 1)) + ")",
+    f"U AS (SELECT DISTINCT {_blk_sql()}, label FROM M)") + """
+, META AS (
+  SELECT 's0' AS dataset, '1' AS fs, max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM M
+  UNION ALL SELECT 's1', '2', max(x) + 1, max(y) + 1, max(z) + 1 FROM L1
+  UNION ALL SELECT 's2', '2,2,1', max(x) + 1, max(y) + 1, max(z) + 1 FROM L2
+  UNION ALL SELECT 'unique-labels', '1', max(bx) + 1, max(by_) + 1, max(bz) + 1 FROM U)
+SELECT dataset, CAST(regexp_extract(dataset, '^s(\\d+)$', 1) AS INTEGER) AS scale, nx, ny, nz,
+       list_reverse([nx, ny, nz])[1] AS rx, list_reverse([nx, ny, nz])[2] AS ry,
+       list_reverse([nx, ny, nz])[3] AS rz,
+       CAST(string_split(fs, ',')[1] AS BIGINT) AS fx,
+       CAST(coalesce(string_split(fs, ',')[2], string_split(fs, ',')[-1]) AS BIGINT) AS fy,
+       CAST(coalesce(string_split(fs, ',')[3], string_split(fs, ',')[-1]) AS BIGINT) AS fz
+FROM META WHERE regexp_matches(dataset, '^s\\d+$')""")
+def q_volume_meta(spark, sf):
+    """Metadata rows of the multiset pyramid (extents measured from each
+    level): scale-name filter and index (A9), reversed dims (A11), parsed
+    factor strings (B8)."""
+    ms = fx.multiset_volume(spark, sf)
+    levels = pyramid.multiset_pyramid(ms, [2, (2, 2, 1)], [3])
+    rows = [lv.agg(*[(F.max(a) + 1).cast("bigint").alias("n" + a) for a in grid.AXES])
+              .select(F.lit(f"s{i}").alias("dataset"), F.lit(_FACTOR_STRINGS[i]).alias("fs"), "nx", "ny", "nz")
+            for i, lv in enumerate(levels)]
+    u = unique.unique_labels(ms.select("x", "y", "z", "label"), VB)
+    rows.append(u.agg(*[(F.max(b) + 1).cast("bigint").alias("n" + a) for a, b in zip(grid.AXES, grid.BLOCK_COLS)])
+                 .select(F.lit("unique-labels").alias("dataset"), F.lit("1").alias("fs"), "nx", "ny", "nz"))
+    meta = rows[0]
+    for r in rows[1:]:
+        meta = meta.unionByName(r)
+    rev = attrs.reverse_array(F.array("nx", "ny", "nz"))
+    fac = attrs.parse_factors_col("fs")
+    return (meta.filter(attrs.is_scale_name("dataset"))
+                .select("dataset", attrs.scale_index("dataset").alias("scale"), "nx", "ny", "nz",
+                        rev[0].alias("rx"), rev[1].alias("ry"), rev[2].alias("rz"),
+                        fac[0].alias("fx"), fac[1].alias("fy"), fac[2].alias("fz")))
+
+
+# ---------------------------------------------------------------------------
+# Step 10: end-to-end compositions
+# ---------------------------------------------------------------------------
+
+@register("watershed_stitched")
+def q_watershed_stitched(spark, sf):
+    """P6 end to end on the averaged affinities: seeds, per-block flood,
+    median fragment merge, singleton removal, dense ids, face-median stitching
+    and connected components (rows-only check: labels depend on flood ties)."""
+    from . import tools
+    avg = affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS)
+    dims = _aff_extent(spark, sf)
+    return tools.stitched_watersheds(avg, dims, WB, seed_thr=0.5, merge_thr=0.5,
+                                     face_thr=0.5)["block-merged"]
