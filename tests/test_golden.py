@@ -62,5 +62,5 @@ def test_bucketed_lookup(spark):
     assert {r.bucket for r in idx.filter("label = 3").collect()} == {1}
     got = index.blocks_of(idx, 3, step=2)
     assert got.count() == 2
-    maps = {r.bucket: r.blocks for r in index.bucket_maps(idx).collect()}
+    maps = {r.bucket: r.blocks for r in index.bucket_maps(idx, DIMS, BLOCK).collect()}
     assert set(maps[0]) == {1} and set(maps[1]) == {2, 3} and set(maps[2]) == {4}

@@ -20,7 +20,8 @@ BOX_COLS = ("x0", "y0", "z0", "x1", "y1", "z1")
 
 def label_to_blocks(u: DataFrame, dims, block_size) -> DataFrame:
     """F1 long form: every (label, clipped box) pair."""
-    return u.select("label", *[v.alias(k) for k, v in block_box(block_size, dims).items()])
+    box = block_box(block_size, dims)
+    return u.select("label", *[box[k].alias(k) for k in BOX_COLS])
 
 
 def box_lists(index: DataFrame, dims, block_size, max_boxes: int = 65536,
@@ -61,11 +62,14 @@ def label_to_blocks_bucketed(u: DataFrame, dims, block_size, step: int = 1) -> D
     return label_to_blocks(u, dims, block_size).withColumn("bucket", bucket_of("label", step))
 
 
-def bucket_maps(index_b: DataFrame, max_boxes: int = 65536) -> DataFrame:
-    """F2 export: per bucket, map label -> boxes (one map entry per label part)."""
-    lists = (index_b.groupBy("bucket", "label").agg(
-        F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in BOX_COLS]))).alias("boxes")))
-    return lists.groupBy("bucket").agg(
+def bucket_maps(index_b: DataFrame, dims, block_size, max_boxes: int = 65536) -> DataFrame:
+    """F2 export: ``(bucket, part, blocks map<label, boxes>)``.
+
+    Lists are split by block part as in ``box_lists``, so a row holds at most
+    ``step * max_boxes`` boxes however many blocks a label covers.
+    """
+    lists = box_lists(index_b, dims, block_size, max_boxes, keys=("bucket",))
+    return lists.groupBy("bucket", "part").agg(
         F.map_from_entries(F.collect_list(F.struct("label", "boxes"))).alias("blocks"))
 
 
