@@ -64,9 +64,9 @@ def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2",
     """
     e = cut_lineage(_orient(edges, a, b))
     for i in range(1, max_rounds + 1):
-        e = _small_star(_large_star(e))
-        if i % checkpoint_every == 0:
-            e = cut_lineage(e)
+        # each star step reads its input two or three times, so materialise
+        # after every step: the plan of a round stays a few joins deep
+        e = cut_lineage(_small_star(cut_lineage(_large_star(e))))
         if _is_star_forest(e):
             break
     else:

@@ -81,19 +81,21 @@ def relabel_dense(labels: DataFrame, block_size, dims, start: int = 1,
     """Consecutive global ids; inside a block in label order, blocks in
     (bz, by_, bx) order, 0 stays 0.
 
-    The (block, label) table is one row per fragment; ranks come from a
-    window partitioned by block (bounded by the block's label count).
+    One window partitioned by block ranks the labels (voxels are shuffled
+    once, by block); the per-block counts are an aggregate over the same
+    partitioning, and the offsets join back on the block key, so only the
+    small per-block table moves again.
     """
-    v = block_position(labels, block_size)
-    frag = v.filter(F.col("label") != 0).select(*BLK, "label").distinct()
-    w = Window.partitionBy(*BLK).orderBy("label")
-    frag = frag.withColumn("rk", F.row_number().over(w))
-    counts = frag.groupBy(*BLK).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    v = block_position(labels.select(*AXES, "label"), block_size)
+    wb = Window.partitionBy(*BLK)
+    rk = F.dense_rank().over(wb.orderBy("label"))
+    has0 = F.max((F.col("label") == 0).cast("int")).over(wb)
+    v = v.withColumn("rk", (rk - has0).cast("bigint"))
+    counts = v.groupBy(*BLK).agg(F.max("rk").alias("n"))
     offs = block_offsets(counts, dims, block_size, start, segment)
-    ids = frag.join(offs.select(*BLK, "first"), BLK).select(
-        *BLK, "label", (F.col("first") + F.col("rk") - 1).cast("bigint").alias("gid"))
-    out = v.join(ids, BLK + ["label"], "left")
-    return out.select(*AXES, F.coalesce(F.col("gid"), F.lit(0).cast("bigint")).alias("label"))
+    out = v.join(offs.select(*BLK, "first"), BLK)
+    lab = F.when(F.col("label") != 0, F.col("first") + F.col("rk") - 1).otherwise(F.lit(0))
+    return out.select(*AXES, lab.cast("bigint").alias("label"))
 
 
 def max_label_id(labels: DataFrame) -> DataFrame:
@@ -138,6 +140,11 @@ def face_contacts(labels: DataFrame, block_size, value: DataFrame | None = None,
     (labels of p and q, ignored labels dropped on either side) and, with a
     ``value`` volume, ``v1, v2`` (its values at p and q).  A face at the
     volume's end has no ``q`` row and drops out of the equi-join.
+
+    Plan: the (face) voxels are read once; each emits one row per axis on
+    which it is a last-slice voxel (keyed by its neighbour ``p + e_d``) and
+    one per axis on which it is a first-slice voxel (keyed by itself); a
+    single equi-join on ``(x, y, z, axis)`` pairs them.
     """
     b = triple(block_size)
     lab = labels.select(*AXES, "label")
@@ -151,26 +158,25 @@ def face_contacts(labels: DataFrame, block_size, value: DataFrame | None = None,
     lab = lab.filter(on_face)      # only face voxels (a 6/B fraction) go further
     if value is not None:
         lab = lab.join(value.select(*AXES, F.col(value_col).alias("_v")), list(AXES), "left")
-    parts = []
-    for d, ax in enumerate(AXES):
+    else:
+        lab = lab.withColumn("_v", F.lit(None).cast("double"))
+    last, first = [], []
+    for d, (ax, bi) in enumerate(zip(AXES, b)):
         e = _UNIT[d]
-        face = lab.filter(F.pmod(F.col(ax), F.lit(int(b[d]))) == int(b[d]) - 1)
-        nxt = lab.filter(F.pmod(F.col(ax), F.lit(int(b[d]))) == 0)
-        p = face.select(*[(F.col(a) + e[i]).alias(a) for i, a in enumerate(AXES)],
-                        *[F.col(a).alias("p" + a) for a in AXES],
-                        F.col("label").alias("l1"),
-                        *([F.col("_v").alias("v1")] if value is not None else []))
-        q = nxt.select(*AXES, F.col("label").alias("l2"),
-                       *([F.col("_v").alias("v2")] if value is not None else []))
-        j = p.join(q, list(AXES)).select(
-            *[floor_div("p" + a, bi).alias(bc) for a, bc, bi in zip(AXES, BLOCK_COLS, b)],
-            F.lit(d).alias("axis"), "l1", "l2",
-            *(["v1", "v2"] if value is not None else []))
-        parts.append(j)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        r = F.pmod(F.col(ax), F.lit(int(bi)))
+        last.append(F.when(r == int(bi) - 1, F.struct(
+            *[(F.col(a) + e[i]).alias(a) for i, a in enumerate(AXES)], F.lit(d).alias("axis"))))
+        first.append(F.when(r == 0, F.struct(*[F.col(a).alias(a) for a in AXES],
+                                             F.lit(d).alias("axis"))))
+    p = (lab.select(*[F.col(a).alias("p" + a) for a in AXES], F.col("label").alias("l1"),
+                    F.col("_v").alias("v1"), F.explode(F.array(*last)).alias("k"))
+            .filter(F.col("k").isNotNull()).select("k.*", "px", "py", "pz", "l1", "v1"))
+    q = (lab.select(F.col("label").alias("l2"), F.col("_v").alias("v2"),
+                    F.explode(F.array(*first)).alias("k"))
+            .filter(F.col("k").isNotNull()).select("k.*", "l2", "v2"))
+    j = p.join(q, list(AXES) + ["axis"])
+    return j.select(*[floor_div("p" + a, bi).alias(bc) for a, bc, bi in zip(AXES, BLOCK_COLS, b)],
+                    "axis", "l1", "l2", *(["v1", "v2"] if value is not None else []))
 
 
 def face_pairs(labels: DataFrame, block_size, ignore=(0,)) -> DataFrame:
@@ -246,28 +252,28 @@ def apply_mapping(labels: DataFrame, mapping: DataFrame, keep_unmapped: bool = T
 
 def block_contacts(labels: DataFrame, relief: DataFrame, block_size, ignore=(0,)) -> DataFrame:
     """6-neighbour contacts between different labels inside one block:
-    ``(bx, by_, bz, e1, e2, v1, v2)`` with values of both touching voxels."""
+    ``(bx, by_, bz, e1, e2, v1, v2)`` with values of both touching voxels.
+
+    Each voxel is read once and sent to its three forward neighbours inside
+    its block; one equi-join on the target voxel pairs them."""
     b = triple(block_size)
     lab = labels.select(*AXES, "label")
     if ignore:
         lab = lab.filter(~F.col("label").isin(*[int(i) for i in ignore]))
-    lab = block_position(lab.join(relief.select(*AXES, "v"), list(AXES), "left"), b)
-    parts = []
-    for d, ax in enumerate(AXES):
+    lab = lab.join(relief.select(*AXES, "v"), list(AXES), "left")
+    fwd = []
+    for d, (ax, bi) in enumerate(zip(AXES, b)):
         e = _UNIT[d]
-        p = lab.select(*[(F.col(a) + e[i]).alias(a) for i, a in enumerate(AXES)],
-                       *[F.col(c).alias("p" + c) for c in BLK],
-                       F.col("label").alias("l1"), F.col("v").alias("v1"))
-        q = lab.select(*AXES, *BLK, F.col("label").alias("l2"), F.col("v").alias("v2"))
-        j = (p.join(q, list(AXES))
-              .filter((F.col("pbx") == F.col("bx")) & (F.col("pby_") == F.col("by_"))
-                      & (F.col("pbz") == F.col("bz")) & (F.col("l1") != F.col("l2"))))
-        parts.append(j.select(*BLK, F.least("l1", "l2").alias("e1"),
-                              F.greatest("l1", "l2").alias("e2"), "v1", "v2"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        same = F.pmod(F.col(ax), F.lit(int(bi))) != int(bi) - 1
+        fwd.append(F.when(same, F.struct(*[(F.col(a) + e[i]).alias(a) for i, a in enumerate(AXES)])))
+    p = (lab.select(F.col("label").alias("l1"), F.col("v").alias("v1"),
+                    *[floor_div(a, bi).alias(bc) for a, bc, bi in zip(AXES, BLOCK_COLS, b)],
+                    F.explode(F.array(*fwd)).alias("k"))
+            .filter(F.col("k").isNotNull()).select("k.*", *BLK, "l1", "v1"))
+    q = lab.select(*AXES, F.col("label").alias("l2"), F.col("v").alias("v2"))
+    j = p.join(q, list(AXES)).filter(F.col("l1") != F.col("l2"))
+    return j.select(*BLK, F.least("l1", "l2").alias("e1"), F.greatest("l1", "l2").alias("e2"),
+                    "v1", "v2")
 
 
 def merge_fragments_median(labels: DataFrame, relief: DataFrame, block_size, thr: float,
