@@ -237,13 +237,27 @@ def merge_edges_mutual_argmax(labels: DataFrame, block_size, ignore=(0,)) -> Dat
 # Applying a mapping
 # ---------------------------------------------------------------------------
 
-def apply_mapping(labels: DataFrame, mapping: DataFrame, keep_unmapped: bool = True) -> DataFrame:
+def apply_mapping(labels: DataFrame, mapping: DataFrame, keep_unmapped: bool = True,
+                  background: int | None = 0) -> DataFrame:
     """Replace labels by their root; unmapped labels are kept (mutex) or
-    become 0 (watersheds).  The mapping has one row per merged label; AQE
-    broadcasts it when it is small at run time and shuffles otherwise."""
-    j = labels.join(mapping.select("label", "root"), "label", "left")
+    become 0 (watersheds).
+
+    Background voxels (the hottest key: it can hold a large share of a
+    volume) bypass the join, so no join partition receives them; the rest
+    joins the mapping, which AQE broadcasts when it is small at run time.
+    """
+    lab = labels.select(*AXES, "label")
+    m = mapping.select("label", "root")
+    if background is None:
+        rest, bg = lab, None
+    else:
+        rest = lab.filter(F.col("label") != int(background))
+        bg = lab.filter(F.col("label") == int(background))
+        m = m.filter(F.col("label") != int(background))
+    j = rest.join(m, "label", "left")
     other = F.col("label") if keep_unmapped else F.lit(0).cast("bigint")
-    return j.select(*AXES, F.coalesce(F.col("root"), other).alias("label"))
+    out = j.select(*AXES, F.coalesce(F.col("root"), other).alias("label"))
+    return out if bg is None else out.unionByName(bg)
 
 
 # ---------------------------------------------------------------------------
