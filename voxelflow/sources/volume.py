@@ -115,11 +115,21 @@ def write_volume(vol: DataFrame, path: str, dataset: str, level: int, block_size
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def read_volume(spark: SparkSession, path: str, dataset: str, level: int = 0) -> DataFrame:
-    """A1: open one dataset level; partition filters prune the other datasets."""
+def read_volume(spark: SparkSession, path: str, dataset: str, level: int = 0,
+                lo=None, hi=None, block_size=None) -> DataFrame:
+    """A1 (+ A2): open one dataset level; partition filters prune the other
+    datasets.  With a region ``[lo, hi]`` and the stored block size, the
+    z-slab partitions outside the region are pruned (``PartitionFilters`` on
+    ``bz``) and the x/y/z bounds are pushed into the Parquet scan."""
     df = spark.read.parquet(path)
-    return (df.filter((F.col("dataset") == dataset) & (F.col("level") == int(level)))
-              .drop("dataset", "level", "bz"))
+    df = df.filter((F.col("dataset") == dataset) & (F.col("level") == int(level)))
+    if lo is not None and hi is not None:
+        if block_size is not None:
+            bz = int(triple(block_size)[2])
+            zlo, zhi = int(triple(lo)[2]), int(triple(hi)[2])
+            df = df.filter(F.col("bz").between(zlo // bz, zhi // bz))
+        df = read_region(df, lo, hi)
+    return df.drop("dataset", "level", "bz")
 
 
 # ---------------------------------------------------------------------------
