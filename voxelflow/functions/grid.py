@@ -123,3 +123,24 @@ def world_to_voxel(c, resolution: float, offset: float = 0.0, rounding: str = "f
 def snap_up(n: int, block: int) -> int:
     """Smallest multiple of ``block`` >= n."""
     return -(-int(n) // int(block)) * int(block)
+
+
+def halo_blocks(df: DataFrame, block_size, halo) -> DataFrame:
+    """Assign every voxel to each block whose box, expanded by ``halo``
+    voxels per axis, contains it (``bx, by_, bz`` columns; a voxel near a face
+    appears once per neighbouring block).  Used to give blocks context without
+    a band join: rows grow by at most the halo's face fraction."""
+    b = triple(block_size)
+    h = triple(halo)
+    out = df
+    for a, bc, bi, hi in zip(AXES, BLOCK_COLS, b, h):
+        lo = F.greatest(floor_div(F.col(a) - int(hi), bi), F.lit(0).cast("bigint"))
+        up = floor_div(F.col(a) + int(hi), bi)
+        out = out.withColumn(bc, F.explode(F.sequence(lo, up)))
+    return out
+
+
+def expand_box(lo, hi, halo) -> tuple:
+    """Inclusive box grown by ``halo`` voxels per axis."""
+    return (tuple(int(l) - int(h) for l, h in zip(triple(lo), triple(halo))),
+            tuple(int(u) + int(h) for u, h in zip(triple(hi), triple(halo))))

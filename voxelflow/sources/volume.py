@@ -204,3 +204,11 @@ def with_provenance(meta: DataFrame, args: dict) -> DataFrame:
     return (meta.withColumn("attrs", F.map_concat(F.coalesce(F.col("attrs"), F.create_map()), kv))
                 .withColumn("resolution", F.coalesce(F.col("resolution"), F.array(*[F.lit(1.0)] * 3)))
                 .withColumn("offset", F.coalesce(F.col("offset"), F.array(*[F.lit(0.0)] * 3))))
+
+
+def tag_multiscale(meta: DataFrame, group: str) -> DataFrame:
+    """Mark a group of scale levels as a multiscale pyramid."""
+    return meta.withColumn("attrs", F.when(
+        F.col("dataset").startswith(group),
+        F.map_concat(F.coalesce(F.col("attrs"), F.create_map()),
+                     F.create_map(F.lit("multiScale"), F.lit("true")))).otherwise(F.col("attrs")))
