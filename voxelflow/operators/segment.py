@@ -47,13 +47,15 @@ def _same_block_cols(block_size, p=("x", "y", "z"), q=("qx", "qy", "qz")):
 # Pointer jumping
 # ---------------------------------------------------------------------------
 
-def pointer_jump(parent: DataFrame, max_rounds: int = 64) -> DataFrame:
+def pointer_jump(parent: DataFrame, max_rounds: int = 64, materialised: bool = False) -> DataFrame:
     """``(node, parent)`` with roots pointing at themselves -> ``(node, root)``.
 
     Each round replaces the parent by the grandparent (one equi-join); the
     number of rounds is logarithmic in the depth.  Stops when no parent moved.
     """
-    p = cut_lineage(parent.select("node", "parent"))
+    p = parent.select("node", "parent")
+    if not materialised:
+        p = cut_lineage(p)
     for _ in range(max_rounds):
         gp = p.select(F.col("node").alias("parent"), F.col("parent").alias("gp"))
         nxt = p.join(gp, "parent", "left").select(
@@ -142,23 +144,27 @@ def marker_forest(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> D
     comp = nodes.select("node", F.col("node").alias("comp"))
     mark = nodes.select(F.col("node").alias("comp"), "marker")
     e, comp, mark = cut_lineage(e), cut_lineage(comp), cut_lineage(mark)
+    rnd = 0
     for _ in range(max_rounds):
         d = e.select(F.col("c1").alias("c"), F.col("c2").alias("o"), "k").unionByName(
             e.select(F.col("c2").alias("c"), F.col("c1").alias("o"), "k"))
         d = d.join(mark.filter(F.col("marker") == 0).select("comp").withColumnRenamed("comp", "c"), "c")
         sel = d.groupBy("c").agg(F.max(F.struct("k", "o")).alias("b")).select(
             F.col("c").alias("node"), F.col("b.o").alias("parent"))
-        sel = cut_lineage(sel)
-        if sel.limit(1).count() == 0:
-            break
         back = sel.select(F.col("node").alias("parent"), F.col("parent").alias("pp"))
-        par = sel.join(back, "parent", "left").select(
+        par = cut_lineage(sel.join(back, "parent", "left").select(
             "node", F.when((F.col("pp") == F.col("node")) & (F.col("node") < F.col("parent")),
-                           F.col("node")).otherwise(F.col("parent")).alias("parent"))
-        roots = pointer_jump(par)           # selecting component -> new component id
+                           F.col("node")).otherwise(F.col("parent")).alias("parent")))
+        if par.limit(1).count() == 0:
+            break
+        rnd += 1
+        roots = pointer_jump(par, materialised=True)   # selecting component -> new id
         m = roots.select(F.col("node").alias("comp"), F.col("root").alias("new"))
-        comp = cut_lineage(comp.join(m, "comp", "left").select(
-            "node", F.coalesce("new", "comp").alias("comp")))
+        # comp only feeds the next round's comp: its plan grows linearly, so
+        # it is materialised every few rounds only
+        comp = comp.join(m, "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
+        if rnd % 4 == 0:
+            comp = cut_lineage(comp)
         # a merged component inherits its root's marker (the root is marked or unmarked)
         mark = cut_lineage(mark.join(m.filter(F.col("comp") != F.col("new")), "comp", "left_anti"))
         e2 = (e.join(m.select(F.col("comp").alias("c1"), F.col("new").alias("n1")), "c1", "left")
@@ -339,6 +345,7 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame, max_rounds: int = 256) -
         F.when(F.col("att"), key).alias("ka"), F.when(~F.col("att"), key).alias("kr"))
     e = cut_lineage(e.groupBy("c1", "c2").agg(F.max("ka").alias("ka"), F.max("kr").alias("kr")))
     comp = cut_lineage(nodes.select("node", F.col("node").alias("comp")))
+    rnd = 0
     for _ in range(max_rounds):
         both = e.select(F.col("c1").alias("c"), F.col("c2").alias("o"), "ka", "kr").unionByName(
             e.select(F.col("c2").alias("c"), F.col("c1").alias("o"), "ka", "kr"))
@@ -358,11 +365,13 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame, max_rounds: int = 256) -
         chosen = cut_lineage(chosen)
         if chosen.filter(F.col("node") != F.col("parent")).limit(1).count() == 0:
             break
-        roots = pointer_jump(chosen)
+        rnd += 1
+        roots = pointer_jump(chosen, materialised=True)
         m = roots.filter(F.col("node") != F.col("root")).select(
             F.col("node").alias("comp"), F.col("root").alias("new"))
-        comp = cut_lineage(comp.join(m, "comp", "left").select(
-            "node", F.coalesce("new", "comp").alias("comp")))
+        comp = comp.join(m, "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
+        if rnd % 4 == 0:
+            comp = cut_lineage(comp)
         e2 = (e.join(m.select(F.col("comp").alias("c1"), F.col("new").alias("a1")), "c1", "left")
                .join(m.select(F.col("comp").alias("c2"), F.col("new").alias("a2")), "c2", "left")
                .select(F.coalesce("a1", "c1").alias("a"), F.coalesce("a2", "c2").alias("b"), "ka", "kr")
