@@ -5,8 +5,8 @@ the edges stay distributed: alternating *large-star* / *small-star* rounds
 (Kiveris et al., "Connected Components in MapReduce and Beyond", SoCC 2014)
 contract every component into a star around its smallest member.  A round is
 two hash aggregates and two equi-joins; lineage is cut with a reliable
-checkpoint every ``checkpoint_every`` rounds; the loop stops when the edge set
-is a star forest (one aggregate per round, no driver-side data).
+checkpoint after each star step; the loop stops when the edge set is a star
+forest (one aggregate per round, no driver-side data).
 
 Root of a component = its smallest label.
 """
@@ -56,7 +56,7 @@ def _is_star_forest(e: DataFrame) -> bool:
 
 
 def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2",
-                         max_rounds: int = 64, checkpoint_every: int = 1) -> DataFrame:
+                         max_rounds: int = 64) -> DataFrame:
     """``(label, root)`` for every label that appears in ``edges``.
 
     Raises if ``max_rounds`` is exhausted (the bound is generous: rounds grow
