@@ -331,12 +331,17 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame, max_rounds: int = 256) -
     along its strongest live attractive edge when
 
     * that edge is also the other cluster's strongest live one (mutual), or
-    * the cluster has no repulsive edge stronger than it (nothing can forbid
-      the edge when the sequential algorithm reaches it: the cluster is
-      unchanged until then and mutexes come from its own repulsive edges).
-
-    Both rules only perform merges the sequential greedy algorithm performs;
-    chosen edges form chains that pointer jumping collapses in one round.
+    * every repulsive edge of the cluster that is stronger than it leads to a
+      cluster other than the target that has no stronger live attractive edge
+      of its own.  When the sequential algorithm reaches the edge, the cluster
+      is unchanged (its strongest live edge is this one), and those other
+      clusters are still separate, because any merge involving them needs a
+      stronger live edge incident to them.  So nothing can forbid the edge.
+
+    Both rules only perform merges the sequential greedy algorithm performs
+    (checked against it on random graphs and grids in the tests); chosen edges
+    form chains that pointer jumping collapses in one round.  On the sf0.01
+    affinities this takes 10 rounds, where mutual merges alone took 33.
     """
     key = F.struct(F.col("s").alias("s"), F.least("n1", "n2").alias("lo"),
                    F.greatest("n1", "n2").alias("hi"))
@@ -350,16 +355,22 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame, max_rounds: int = 256) -
         both = e.select(F.col("c1").alias("c"), F.col("c2").alias("o"), "ka", "kr").unionByName(
             e.select(F.col("c2").alias("c"), F.col("c1").alias("o"), "ka", "kr"))
         live = F.col("ka").isNotNull() & (F.col("kr").isNull() | (F.col("ka") > F.col("kr")))
-        per = both.groupBy("c").agg(
-            F.max(F.when(live, F.struct("ka", "o"))).alias("b"),
-            F.max("kr").alias("rmax"))
-        best = per.filter(F.col("b").isNotNull()).select(
-            "c", F.col("b.o").alias("o"), F.col("b.ka.s").alias("sa"), F.col("rmax.s").alias("sr"))
+        best = (both.groupBy("c").agg(F.max(F.when(live, F.struct("ka", "o"))).alias("b"))
+                    .filter(F.col("b").isNotNull())
+                    .select("c", F.col("b.o").alias("o"), F.col("b.ka").alias("ka")))
         back = best.select(F.col("c").alias("o"), F.col("o").alias("oo"))
         cand = best.join(back, "o", "left")
         mutual = F.col("oo") == F.col("c")
-        safe = F.col("sr").isNull() | (F.col("sr") < F.col("sa"))
-        chosen = cand.filter(mutual | safe).select(
+        # a repulsive edge of c stronger than its best attractive edge can
+        # only forbid it if its other cluster x is the target, or x can grow
+        # before then (x has a stronger live attractive edge of its own)
+        rep = both.filter(F.col("kr").isNotNull()).select("c", F.col("o").alias("x"), "kr")
+        v = (rep.join(best.select("c", "o", "ka"), "c").filter(F.col("kr") > F.col("ka"))
+                .join(best.select(F.col("c").alias("x"), F.col("ka").alias("kx")), "x", "left"))
+        viol = (v.filter((F.col("x") == F.col("o")) |
+                         (F.col("kx").isNotNull() & (F.col("kx") > F.col("ka"))))
+                 .select("c").distinct().withColumn("bad", F.lit(True)))
+        chosen = cand.join(viol, "c", "left").filter(mutual | F.col("bad").isNull()).select(
             F.col("c").alias("node"),
             F.when(mutual & (F.col("c") < F.col("o")), F.col("c")).otherwise(F.col("o")).alias("parent"))
         chosen = cut_lineage(chosen)
