@@ -178,3 +178,20 @@ def test_marker_forest_unreachable(spark):
     got = {r.node: r.marker for r in segment.marker_forest(nodes, e).collect()}
     # 1 and 2 go with the stronger side: edge 1-2 (0.7) > 0-1 (0.5), 2-3 (0.6) > 0-1
     assert got == {0: 1, 1: 2, 2: 2, 3: 2, 4: 0}
+
+
+@pytest.mark.parametrize("n,m,p_att,seed", [(40, 160, 0.3, 11), (60, 90, 0.8, 12), (40, 60, 0.5, 13)])
+def test_mutex_densities(spark, n, m, p_att, seed):
+    """Dense / repulsive-heavy / sparse graphs exercise the guarded chain rule."""
+    rng = random.Random(seed)
+    seen, edges = set(), []
+    while len(edges) < m:
+        u, v = rng.randrange(n), rng.randrange(n)
+        if u == v or (min(u, v), max(u, v)) in seen:
+            continue
+        seen.add((min(u, v), max(u, v)))
+        edges.append((u, v, rng.randrange(1, 10000) / 10000.0, rng.random() < p_att))
+    nodes = spark.createDataFrame([(i,) for i in range(n)], "node bigint")
+    e = spark.createDataFrame(edges, "n1 bigint, n2 bigint, s double, att boolean")
+    got = {r.node: r.label for r in segment.mutex_watershed(nodes, e).collect()}
+    assert got == seq_mutex(n, edges)
