@@ -1,12 +1,16 @@
 """Connected components of a label graph.
 
 The reference collects all edges to the driver and runs union-find there.  Here
-the edges stay distributed: alternating *large-star* / *small-star* rounds
-(Kiveris et al., "Connected Components in MapReduce and Beyond", SoCC 2014)
-contract every component into a star around its smallest member.  A round is
-two hash aggregates and two equi-joins; lineage is cut with a reliable
-checkpoint after each star step; the loop stops when the edge set is a star
-forest (one aggregate per round, no driver-side data).
+the edges stay distributed and are *contracted*: in every round each vertex
+points at its neighbour of lowest priority, a fixed hash of the id (or stays, as
+a local minimum), the pointers are doubled once, and the edges are rewritten to the
+pointed-at vertices.  Edges inside one target vanish.  The per-round maps are
+composed at the end.
+
+No vertex is a hot task: the minimum over neighbours is a hash aggregate with
+map-side combine, and the joins that rewrite edge ends go through
+``skew.join_unique``, which deals the edges of high-degree vertices over salts.
+The edge table shrinks every round; superseded checkpoints are deleted.
 
 Root of a component = its smallest label.
 """
@@ -16,61 +20,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_checkpoint
+from .skew import join_unique
 
 
-def _orient(edges: DataFrame, a: str = "e1", b: str = "e2") -> DataFrame:
+def _orient(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Undirected edges as ``(u, v)`` with ``u > v``; self loops and duplicates dropped."""
     return (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                  .filter(F.col("u") != F.col("v")).distinct())
 
 
-def _large_star(e: DataFrame) -> DataFrame:
-    """Connect every strictly larger neighbour of ``n`` to min(N(n) + n)."""
-    d = e.select(F.col("u").alias("n"), F.col("v").alias("nb")).unionByName(
-        e.select(F.col("v").alias("n"), F.col("u").alias("nb")))
-    m = (d.groupBy("n").agg(F.min("nb").alias("mn"))
-          .select("n", F.least(F.col("mn"), F.col("n")).alias("m")))
-    larger = d.filter(F.col("nb") > F.col("n"))
-    out = larger.join(m, "n").select(F.col("nb").alias("u"), F.col("m").alias("v"))
-    return out.filter(F.col("u") != F.col("v")).distinct()
-
-
-def _small_star(e: DataFrame) -> DataFrame:
-    """Connect ``n`` and its smaller neighbours to the smallest of them."""
-    m = e.groupBy("u").agg(F.min("v").alias("m"))
-    moved = e.join(m, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    own = m.select(F.col("u").alias("a"), F.col("m").alias("b"))
-    out = moved.unionByName(own)
-    return (out.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-               .filter(F.col("u") != F.col("v")).distinct())
-
+def _pointers(e: DataFrame) -> DataFrame:
+    """``(k, p, n)``: each vertex, the vertex it points at, its degree."""
+    def prio(c):
+        return F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("id"))
+    d = e.select(F.col("u").alias("k"), F.col("v").alias("nb")).unionByName(
+        e.select(F.col("v").alias("k"), F.col("u").alias("nb")))
+    return (d.groupBy("k").agg(F.min(prio("nb")).alias("m"), F.count(F.lit(1)).alias("n"))
+             .select("k", F.least(F.col("m"), prio("k"))["id"].alias("p"), "n"))
 
-def _is_star_forest(e: DataFrame) -> bool:
-    """Every leaf has exactly one centre and no centre is a leaf."""
-    t = e.select(F.col("u").alias("n"), F.lit(1).alias("cu"), F.lit(0).alias("cv")).unionByName(
-        e.select(F.col("v").alias("n"), F.lit(0).alias("cu"), F.lit(1).alias("cv")))
-    bad = (t.groupBy("n").agg(F.sum("cu").alias("cu"), F.max("cv").alias("cv"))
-            .filter((F.col("cu") > 1) | ((F.col("cu") >= 1) & (F.col("cv") == 1))))
-    return bad.limit(1).count() == 0
 
+def _jump(ptr: DataFrame) -> DataFrame:
+    """One pointer doubling: ``(k, p(p(k)), n)``."""
+    nxt = ptr.select(F.col("k").alias("p"), F.col("p").alias("pp"))
+    return join_unique(ptr, nxt, "p", n="c").select("k", F.coalesce("pp", "p").alias("p"), "n")
 
-def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2",
-                         max_rounds: int = 64) -> DataFrame:
-    """``(label, root)`` for every label that appears in ``edges``.
 
-    Raises if ``max_rounds`` is exhausted (the bound is generous: rounds grow
-    logarithmically with component size).
-    """
+def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2") -> DataFrame:
+    """``(label, root)`` for every label that appears in ``edges``."""
     e = cut_lineage(_orient(edges, a, b))
-    for i in range(1, max_rounds + 1):
-        # each star step reads its input two or three times, so materialise
-        # after every step: the plan of a round stays a few joins deep
-        e = cut_lineage(_small_star(cut_lineage(_large_star(e))))
-        if _is_star_forest(e):
-            break
+    own = e.select(F.col("u").alias("label")).unionByName(e.select(F.col("v").alias("label"))).distinct()
+    loops = edges.filter(F.col(a) == F.col(b)).select(F.col(a).alias("label")).distinct()
+    first, maps = e, []
+    while not e.isEmpty():
+        one = cut_lineage(_pointers(e))
+        ptr = cut_lineage(_jump(one))
+        drop_checkpoint(one)
+        maps.append(ptr)
+        to = ptr.select("k", "p")
+        deg = ptr.select("k", "n")
+        x = join_unique(e.withColumnRenamed("u", "k"), to, "k", deg).select(F.col("p").alias("u"), "v")
+        x = join_unique(x.withColumnRenamed("v", "k"), to, "k", deg).select("u", F.col("p").alias("v"))
+        new = cut_lineage(_orient(x, "u", "v"))
+        if e is not first:
+            drop_checkpoint(e)
+        e = new
+    roots = own.select(F.col("label"), F.col("label").alias("r"))
+    if maps:
+        total = maps[-1].select("k", "p")
+        for m in reversed(maps[:-1]):
+            nxt = total.select(F.col("k").alias("p"), F.col("p").alias("pp"))
+            total = cut_lineage(join_unique(m.select("k", "p"), nxt, "p")
+                                .select("k", F.coalesce("pp", "p").alias("p")))
+            drop_checkpoint(m)
+        reps = total.select(F.col("k").alias("label"), F.col("p").alias("r"))
+        low = cut_lineage(reps.groupBy("r").agg(F.min("label").alias("root"), F.count(F.lit(1)).alias("n")))
+        roots = cut_lineage(join_unique(reps, low.select("r", "root"), "r", low.select("r", "n"))
+                            .select("label", "root"))
+        for m in (first, total, low):
+            drop_checkpoint(m)
     else:
-        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-    leaves = e.select(F.col("u").alias("label"), F.col("v").alias("root"))
-    centres = e.select(F.col("v").alias("label"), F.col("v").alias("root")).distinct()
-    return leaves.unionByName(centres)
+        roots = roots.withColumnRenamed("r", "root")
+    alone = loops.join(roots.select("label"), "label", "left_anti")
+    return roots.unionByName(alone.select("label", F.col("label").alias("root")))

@@ -2,15 +2,11 @@
 
 Iterative operators (connected components, flooding, mutex clustering) cut
 their lineage every few rounds with ``DataFrame.checkpoint``.  The checkpoint
-folder is the cluster's ``spark.checkpoint.dir``; only when that is unset *and*
-the master is local (tests, bench) do we create one ourselves.
+folder is the cluster's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -30,7 +26,6 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     conf.update(extra or {})
@@ -45,10 +40,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point the SparkContext at the shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session.  If it is unset and the
-    master is local, a scratch folder is created (test/bench situation); on a
-    cluster an unset value is an error, because a machine-local folder would
-    not survive the loss of an executor.
+    The folder is the one the session names in ``spark.checkpoint.dir``; it has
+    to be shared by driver and executors.  An unset value is an error: a
+    machine-local folder would not survive the loss of an executor.  Tests and
+    the bench set a scratch folder of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,12 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = spark.conf.get(CHECKPOINT_CONF, None)
     if not d:
-        master = sc.master or ""
-        if not master.startswith("local"):
-            raise RuntimeError(
-                f"{CHECKPOINT_CONF} must name a shared folder for iterative operators")
-        d = tempfile.mkdtemp(prefix="voxelflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set(CHECKPOINT_CONF, d)
+        raise RuntimeError(
+            f"{CHECKPOINT_CONF} must name a shared folder for iterative operators")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
@@ -78,5 +69,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     c = df.checkpoint(eager=True)
+    rdd = c._jdf.queryExecution().analyzed().rdd()
     jdf = spark._jsparkSession.createDataFrame(c._jdf.rdd(), c._jdf.schema())
-    return DataFrame(jdf, spark)
+    out = DataFrame(jdf, spark)
+    out._checkpoint_rdd = rdd
+    return out
+
+
+def drop_checkpoint(df: DataFrame | None) -> None:
+    """Delete the files behind a ``cut_lineage`` frame that nothing reads any more.
+
+    Loops call it once the next round is materialised, so the folder holds the
+    current and the previous round only.  Frames of other origin are left alone.
+    """
+    rdd = getattr(df, "_checkpoint_rdd", None)
+    if rdd is None:
+        return
+    f = rdd.getCheckpointFile()
+    if f.isDefined():
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(f.get())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
