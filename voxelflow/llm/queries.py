@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import common, simhash
+import public_tokenizers
+
+from . import bpe, common, quality, simhash, suffix
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -17,3 +19,23 @@ def register(fn):
 def op9_simhash(spark, sf_dir):
     """Fingerprints over 3-word shingles, links at 3 bits or fewer, smallest id per component."""
     return simhash.digest(simhash.near_duplicates(common.table(spark, sf_dir, "documents"), 3, 3))
+
+
+@register
+def op5_suffix_dedup(spark, sf_dir):
+    """Bytes of 50-byte strings that start in a document with a smaller id, removed."""
+    return suffix.digest(suffix.remove_repeats(common.table(spark, sf_dir, "documents"), 50))
+
+
+@register
+def op4_bpe(spark, sf_dir):
+    """Byte-level BPE of every text by a public rank file, and back."""
+    return bpe.round_trip(common.table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register
+def op3_quality(spark, sf_dir):
+    """Shape counts and tokeniser fertility of every text, with bands per language or script."""
+    return quality.digest(quality.assess(common.table(spark, sf_dir, "documents"),
+                                         public_tokenizers.path("piece_bpe_32k.model")))
