@@ -39,7 +39,8 @@ from . import common
 
 #: A space that starts a new piece: its neighbours are no white space.
 PIECE = re.compile(r" (?=\S)(?<=\S )")
-KEPT_PIECES = 400_000
+KEPT_PIECES = 500_000
+KEPT_TOKENS = 300_000
 KEPT_LENGTH = 64
 
 
@@ -55,28 +56,34 @@ class PerfectHash:
         cut = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
         self.shift = np.zeros(self.buckets, np.int64)
         taken = np.zeros(n, bool)
-        for b in np.argsort(-(np.diff(cut)), kind="stable"):
-            own = h[order[cut[b]:cut[b + 1]]]
-            if not len(own):
+        sizes = np.diff(cut)
+        for b in np.argsort(-sizes, kind="stable"):
+            if sizes[b] < 2:
                 break
-            d = 0
+            own, d = h[order[cut[b]:cut[b + 1]]], 0
             while True:
-                at = self._place(own, d)
-                if not taken[at].any() and len(set(at.tolist())) == len(at):
+                # many displacements at once: the first that puts all keys of the bucket on free slots
+                at = np.sort(self._place(own, np.arange(d, d + 256)), axis=1)
+                ok = ~taken[at].any(axis=1) & (at[:, 1:] != at[:, :-1]).all(axis=1)
+                if ok.any():
                     break
-                d += 1
-            taken[at] = True
-            self.shift[b] = d
+                d += 256
+            taken[at[ok.argmax()]] = True
+            self.shift[b] = d + ok.argmax()
+        # a bucket of one key names its slot itself
+        alone = np.flatnonzero(sizes == 1)
+        self.shift[alone] = -1 - np.flatnonzero(~taken)[:len(alone)]
         self.shift = self.shift.tolist()
 
-    def _place(self, h: np.ndarray, d: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            x = (h ^ np.uint64((d * 0x9E3779B97F4A7C15) % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
+    def _place(self, h: np.ndarray, d: np.ndarray) -> np.ndarray:
+        x = (h ^ (d.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]) * np.uint64(0xD6E8FEB86659FD93)
         return ((x >> np.uint64(32)) % np.uint64(self.n)).astype(np.int64)
 
     def slot(self, key: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(key)
         d = self.shift[h % self.buckets]
+        if d < 0:
+            return -1 - d
         x = (h ^ (d * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF
         return (x >> 32) % self.n
 
@@ -97,6 +104,12 @@ class Codec:
         self.token = dict(zip(ranks, tokens))
         self.name = {r: str(r) for r in ranks}
         self.kept: dict[str, tuple[int, ...]] = {}
+        self.kept_tokens: dict[str, tuple[int, ...]] = {}
+        # every way to put an entry together from two entries
+        rank = dict(zip(tokens, ranks))
+        self.byte = [rank.get(bytes((x,)), -1) for x in range(256)]
+        self.pair = {(rank[t[:i]], rank[t[i:]]): r for t, r in rank.items()
+                     for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank}
 
     def rank(self, token: bytes) -> int:
         """Rank of a vocabulary entry, -1 for anything else."""
@@ -104,44 +117,48 @@ class Codec:
         return self.ids[s] if self.keys[s] == token else -1
 
     def merge(self, b: bytes) -> list[int]:
-        """Ids of a pre-token that isn't in the vocabulary: lowest rank first, leftmost on ties."""
-        n, rank = len(b), self.rank
-        nxt, prv, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        alive = [True] * n
-        heap = []
-
-        def push(i):
-            j = nxt[i]
-            if j < n and (r := rank(b[i:end[j]])) >= 0:
-                heapq.heappush(heap, (r, i, end[i], end[j]))
-        for i in range(n - 1):
-            push(i)
+        """Ids of a pre-token that isn't in the vocabulary: lowest rank first, leftmost on ties.
+
+        Symbols are linked by position; the heap holds (rank, position) as one number.
+        An entry is stale when its position is gone or now starts another pair.
+        """
+        n, pair = len(b), self.pair.get
+        sym = [self.byte[x] for x in b]
+        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [r << 32 | i for i, r in enumerate(map(pair, zip(sym, sym[1:]))) if r is not None]
+        heapq.heapify(heap)
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, i, mid, stop = heapq.heappop(heap)
-            if not alive[i] or end[i] != mid or mid >= n or end[mid] != stop or nxt[i] != mid:
+            top = pop(heap)
+            r, i = top >> 32, top & 0xFFFFFFFF
+            j = nxt[i]
+            if sym[i] < 0 or j >= n or pair((sym[i], sym[j])) != r:
                 continue
-            alive[mid] = False
-            end[i], nxt[i] = stop, nxt[mid]
-            if nxt[i] < n:
-                prv[nxt[i]] = i
-            push(i)
-            if prv[i] >= 0:
-                push(prv[i])
-        out, i = [], 0
-        while i < n:
-            out.append(rank(b[i:end[i]]))
-            i = nxt[i]
-        return out
+            sym[i], sym[j] = r, -1
+            j = nxt[i] = nxt[j]
+            if j < n:
+                prv[j] = i
+                if (q := pair((r, sym[j]))) is not None:
+                    push(heap, q << 32 | i)
+            h = prv[i]
+            if h >= 0 and (q := pair((sym[h], r))) is not None:
+                push(heap, q << 32 | h)
+        return [x for x in sym if x >= 0]
 
     def piece(self, s: str) -> tuple[int, ...]:
         out: list[int] = []
+        kept = self.kept_tokens
         for m in self.pattern.findall(s):
-            t = m.encode("utf-8")
-            r = self.rank(t)
-            if r >= 0:
-                out.append(r)
-            else:
-                out += self.merge(t)
+            ids = kept.get(m)
+            if ids is None:
+                t = m.encode("utf-8")
+                r = self.rank(t)
+                ids = (r,) if r >= 0 else tuple(self.merge(t))
+                if len(m) <= KEPT_LENGTH:
+                    if len(kept) > KEPT_TOKENS:
+                        kept.clear()
+                    kept[m] = ids
+            out += ids
         return tuple(out)
 
     def encode(self, text: str) -> list[int]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, common, quality, simhash, suffix
+from . import bpe, common, decontam, quality, secret_scan, simhash, suffix
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -39,3 +39,15 @@ def op3_quality(spark, sf_dir):
     """Shape counts and tokeniser fertility of every text, with bands per language or script."""
     return quality.digest(quality.assess(common.table(spark, sf_dir, "documents"),
                                          public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@register
+def op2_secrets(spark, sf_dir):
+    """Secrets in every text: base rules, and random strings by character Markov models."""
+    return secret_scan.digest(secret_scan.scan_documents(common.table(spark, sf_dir, "documents")))
+
+
+@register
+def op7_decontamination(spark, sf_dir):
+    """Benchmark items inside documents within the item's error budget."""
+    return decontam.matches(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
