@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, common, decontam, quality, secret_scan, simhash, suffix
+from . import bpe, common, decontam, quality, secret_scan, simhash, suffix, warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -51,3 +51,10 @@ def op2_secrets(spark, sf_dir):
 def op7_decontamination(spark, sf_dir):
     """Benchmark items inside documents within the item's error budget."""
     return decontam.matches(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op1_warc(spark, sf_dir):
+    """Pages written as WARC records, read back, and indexed in URL and time order."""
+    return warc.archive_and_index(common.table(spark, sf_dir, "pages"), common.shared_folder(spark, "warc")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "archive", "position")
