@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, common, decontam, quality, secret_scan, simhash, suffix, warc
+from . import bpe, common, decontam, langid, quality, secret_scan, simhash, suffix, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -58,3 +58,15 @@ def op1_warc(spark, sf_dir):
     """Pages written as WARC records, read back, and indexed in URL and time order."""
     return warc.archive_and_index(common.table(spark, sf_dir, "pages"), common.shared_folder(spark, "warc")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "archive", "position")
+
+
+@register
+def op6_language(spark, sf_dir):
+    """Language of every text, learned from the documents outside the held-out fold."""
+    return langid.digest(langid.predict_all(common.table(spark, sf_dir, "documents")))
+
+
+@register
+def op10_toxicity(spark, sf_dir):
+    """Toxicity of every text, learned from the labels outside the held-out fold."""
+    return toxicity.predict_all(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
