@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, langid, quality, secret_scan, simhash, suffix, toxicity, warc
+from . import bpe, common, decontam, langid, licenses, quality, secret_scan, simhash, suffix, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -70,3 +71,11 @@ def op6_language(spark, sf_dir):
 def op10_toxicity(spark, sf_dir):
     """Toxicity of every text, learned from the labels outside the held-out fold."""
     return toxicity.predict_all(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+@register
+def op8_licenses(spark, sf_dir):
+    """Licence of every document from its notices, or from the nearest licensed directory of its path."""
+    docs = common.table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.assign(docs.select(F.col("doc_id").alias("id"), path.alias("path"), "text")).withColumnRenamed("id", "doc_id")

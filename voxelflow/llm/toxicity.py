@@ -5,11 +5,11 @@ one word apart, each counted once.  FTRL-proximal keeps a rate per coordinate
 and drives weights of uninformative features to exactly zero (L1), so what is
 broadcast for scoring is a short list of (cell, weight).
 
-Training: labelled rows are sampled to at most about ``rows_per_label`` per
-label (a documented bound on the classifier's sample, by a hash of the id) and
-dealt over shards; each shard runs FTRL over its rows, the accumulators of the
-shards are averaged, and the next round starts from the average.  The state has
-2^18 cells whatever the data.
+Training: labelled rows are sampled to at most about ``rows_per_label`` rows of
+label 0 and 1 (a documented bound on the classifier's sample, by a hash of the
+id) and dealt over shards; each shard runs FTRL over its rows, the accumulators of a
+cell are averaged over the shards that saw it, and the next round starts from
+the average.  The state has 2^18 cells whatever the data.
 
 Nulls, blanks: a null or wordless text has no features and scores the bias.
 Rows without a label, or with a null id, are scored and never trained on; of
@@ -54,7 +54,7 @@ def split(text: str | None) -> list[str]:
 class Ftrl:
     """State (z, n) of FTRL-proximal; the bias is not regularised."""
 
-    def __init__(self, z=None, n=None, alpha=0.1, beta=1.0, l1=1.5, l2=1.0):
+    def __init__(self, z=None, n=None, alpha=1.0, beta=1.0, l1=4.0, l2=0.1):
         self.z = np.zeros(CELLS + 1) if z is None else z.copy()
         self.n = np.zeros(CELLS + 1) if n is None else n.copy()
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
@@ -64,9 +64,9 @@ class Ftrl:
         l1 = np.where(np.asarray(at) == BIAS, 0.0, self.l1)
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
 
-    def learn(self, at: np.ndarray, y: int) -> None:
+    def learn(self, at: np.ndarray, y: int, cost: float = 1.0) -> None:
         w = self.weights(at)
-        g = sigmoid(w.sum()) - y
+        g = (sigmoid(w.sum()) - y) * (cost if y else 1.0)
         n = self.n[at]
         self.z[at] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * w
         self.n[at] = n + g * g
@@ -76,22 +76,22 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows_per_label: int) -> DataFrame:
-    """``(doc_id, text, y)`` of at most about ``rows_per_label`` labelled rows per label."""
+def sample(docs: DataFrame, labels: DataFrame, rows_per_label: tuple[int, int]) -> DataFrame:
+    """``(doc_id, text, y)`` of at most about ``rows_per_label`` rows of label 0 and 1."""
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("y")))
     count = {r[0]: r[1] for r in known.filter("y in (0, 1)").groupBy("y").count().collect()}
     take = F.lit(False)
     for y, n in count.items():
-        bar = int(min(1.0, rows_per_label / n) * 1_000_000)
+        bar = int(min(1.0, rows_per_label[y] / n) * 1_000_000)
         take = take | ((F.col("y") == y) & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < bar))
     # the sample is bounded by its parameter, so it may be broadcast
     return common.doc_text(docs).join(F.broadcast(known.filter(take)), "doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = 6000, rounds: int = 2, shards: int = 6,
-          epochs: int = 2) -> tuple[np.ndarray, np.ndarray, float]:
-    """(cells, weights, bias) with the zero weights left out."""
+def train(docs: DataFrame, labels: DataFrame, rows_per_label: tuple[int, int] = (12_000, 4000), rounds: int = 3, shards: int = 4,
+          epochs: int = 3, miss_cost: float = 1.0) -> tuple[np.ndarray, np.ndarray, float]:
+    """(cells, weights, bias) with the zero weights left out; ``miss_cost``: weight of a toxic row."""
     rows = sample(docs, labels, rows_per_label).withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(shards)).cast("int"))
     state = Ftrl()
     for _ in range(rounds):
@@ -104,11 +104,11 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = 6000, rounds
             xs = [np.append(np.unique(np.concatenate(features(split(x))[1])), BIAS) for x in t["text"].to_pylist()]
             for e in range(epochs):
                 for i in sorted(range(len(ys)), key=lambda i: (zlib.crc32(f"{e} {ids[i]}".encode()), i)):
-                    f.learn(xs[i], ys[i])
+                    f.learn(xs[i], ys[i], miss_cost)
             at = np.flatnonzero(f.n)
             return pa.table({"cell": pa.array(at, pa.int64()), "z": f.z[at], "n": f.n[at]})
         mean = (rows.groupBy("shard").applyInArrow(run, "cell bigint, z double, n double")
-                .groupBy("cell").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n")))
+                .groupBy("cell").agg(F.avg("z").alias("z"), F.avg("n").alias("n")))
         got = mean.toArrow()
         state = Ftrl()
         state.z[got["cell"].to_numpy()] = got["z"].to_numpy()
