@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir
 
@@ -40,12 +42,15 @@ def slices(batch: pa.RecordBatch, col: str = "text", limit: int = SLICE_BYTES) -
     yield batch.slice(start)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """Arrow schema of a DDL string; needs the driver's session."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict[str, list]],
              col: str = "text") -> DataFrame:
     """``fn`` over row slices of ``df``; it returns the columns of ``schema`` by name."""
-    import pyspark.sql.pandas.types as T
-    from pyspark.sql.types import StructType
-    arrow = T.to_arrow_schema(StructType.fromDDL(schema))
+    arrow = arrow_schema(schema)
 
     def run(batches):
         for b in batches:

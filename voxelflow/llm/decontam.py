@@ -26,6 +26,8 @@ item row id.  Empty tables give an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -124,15 +126,13 @@ class Matcher:
         return out
 
 
-def blocks(items: DataFrame, block_bytes: int) -> list[list[tuple[int, str]]]:
+def blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of about ``block_bytes`` of text, each read by itself."""
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total // block_bytes) + 1
-    parts = []
     for b in range(n):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
-        parts.append([(r[0], r[1]) for r in own.collect()])
-    return parts
+        yield [(r[0], r[1]) for r in own.collect()]
 
 
 def matches(docs: DataFrame, items: DataFrame, chars_per_error: int = 16, least_chars: int = 48,
@@ -146,16 +146,13 @@ def matches(docs: DataFrame, items: DataFrame, chars_per_error: int = 16, least_
     spark, out = docs.sparkSession, None
     for part in blocks(items, block_bytes):
         held = spark.sparkContext.broadcast(part)
-        one = d.mapInArrow(_scan(held, chars_per_error, least_chars, schema), schema)
+        one = d.mapInArrow(_scan(held, chars_per_error, least_chars, common.arrow_schema(schema)), schema)
         out = one if out is None else out.unionByName(one)
     return out
 
 
-def _scan(held, chars_per_error: int, least_chars: int, schema: str):
+def _scan(held, chars_per_error: int, least_chars: int, arrow: pa.Schema):
     def run(batches):
-        import pyspark.sql.pandas.types as T
-        from pyspark.sql.types import StructType
-        arrow = T.to_arrow_schema(StructType.fromDDL(schema))
         m = Matcher(held.value, chars_per_error, least_chars)
         for b in batches:
             rows = [(i, *hit) for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())
