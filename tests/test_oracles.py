@@ -10,23 +10,21 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
+from voxelflow.plans.catalog import ORACLES, QUERIES  # noqa: E402
 from tools.oracle_check import compare, duck_con  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 
-# the slowest loops are covered by test_segment.py on hand-made inputs
-SLOW = {"mutex_watershed", "watershed_stitched"}
-
 
 @pytest.fixture(scope="module")
 def con():
     return duck_con(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    line = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF)
+    line = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert line.startswith("OK") or "(no oracle)" in line, line
 
 

@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from voxelflow.plans.catalog import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
@@ -20,9 +20,9 @@ LOOPS = {"steepest_ascent", "basin_merge", "seeded_watershed_height", "seeded_wa
 BAD = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - LOOPS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LOOPS))
 def test_no_nested_loops_or_python(spark, name):
-    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not [b for b in BAD if b in plan], name
 
 

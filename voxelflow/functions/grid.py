@@ -125,17 +125,20 @@ def snap_up(n: int, block: int) -> int:
     return -(-int(n) // int(block)) * int(block)
 
 
-def halo_blocks(df: DataFrame, block_size, halo) -> DataFrame:
+def halo_blocks(df: DataFrame, block_size, halo, dims=None) -> DataFrame:
     """Assign every voxel to each block whose box, expanded by ``halo``
     voxels per axis, contains it (``bx, by_, bz`` columns; a voxel near a face
     appears once per neighbouring block).  Used to give blocks context without
-    a band join: rows grow by at most the halo's face fraction."""
+    a band join: rows grow by at most the halo's face fraction.  With ``dims``
+    no block past the volume appears."""
     b = triple(block_size)
     h = triple(halo)
     out = df
-    for a, bc, bi, hi in zip(AXES, BLOCK_COLS, b, h):
+    for i, (a, bc, bi, hi) in enumerate(zip(AXES, BLOCK_COLS, b, h)):
         lo = F.greatest(floor_div(F.col(a) - int(hi), bi), F.lit(0).cast("bigint"))
         up = floor_div(F.col(a) + int(hi), bi)
+        if dims is not None:
+            up = F.least(up, F.lit((int(triple(dims)[i]) - 1) // int(bi)).cast("bigint"))
         out = out.withColumn(bc, F.explode(F.sequence(lo, up)))
     return out
 

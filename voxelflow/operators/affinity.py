@@ -56,7 +56,7 @@ def glia_threshold(thr: float, gmin: float = 0.0, gmax: float = 1.0) -> float:
 def average_affinities(aff: DataFrame, offsets: Sequence[Sequence[int]],
                        mask: DataFrame | None = None, glia: DataFrame | None = None,
                        glia_min: float = 0.0, glia_max: float = 1.0,
-                       glia_thr: float = NAN, nan_oob: bool = False) -> DataFrame:
+                       glia_thr: float = NAN, nan_oob: bool = False, dims=None) -> DataFrame:
     """Averaged affinity per voxel ``(x, y, z, v)``.
 
     ``v(p) = 0.5/n * sum_c [a_c(p) ok(p) + a_c(p - o_c) ok(p - o_c)]``: every edge
@@ -64,7 +64,8 @@ def average_affinities(aff: DataFrame, offsets: Sequence[Sequence[int]],
     non-finite values are skipped; contributions that leave the volume are
     dropped.  ``ok`` is the mask at the edge's source voxel (absent mask voxel
     = 0; no mask = every voxel valid).  With ``nan_oob`` a masked edge makes
-    both end voxels NaN instead.
+    both end voxels NaN instead; given ``dims``, an edge whose source lies
+    outside the volume (where the mask is 0) does so to its inside end.
 
     Plan: one ``explode`` of two contributions per edge and one hash aggregate
     on the target voxel (partial aggregation before the shuffle); the mask is
@@ -84,9 +85,15 @@ def average_affinities(aff: DataFrame, offsets: Sequence[Sequence[int]],
     fin = _is_finite(F.col("a"))
     val = F.when(F.col("_ok") & fin, F.col("a")).otherwise(F.lit(0.0))
     inv = (~F.col("_ok")).cast("int") if nan_oob else F.lit(0)
+    own_inv = inv
+    if nan_oob and mask is not None and dims is not None:
+        out = F.lit(False)
+        for ax, o, n_ax in zip(AXES, (dx, dy, dz), dims):
+            out = out | (F.col(ax) - o < 0) | (F.col(ax) - o >= int(n_ax))
+        own_inv = F.greatest(inv, out.cast("int"))
     contrib = F.array(
         F.struct(F.col("x").alias("x"), F.col("y").alias("y"), F.col("z").alias("z"),
-                 val.alias("s"), inv.alias("inv"), F.lit(1).alias("own")),
+                 val.alias("s"), own_inv.alias("inv"), F.lit(1).alias("own")),
         F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"),
                  (F.col("z") + dz).alias("z"), val.alias("s"), inv.alias("inv"),
                  F.lit(0).alias("own")))
@@ -161,13 +168,20 @@ def invalidate_cross_block(aff: DataFrame, offsets: Sequence[Sequence[int]], blo
     return aff.select(*AXES, "c", F.when(leaves, F.lit(NAN)).otherwise(F.col("a")).alias("a"))
 
 
-def weight_edges(aff: DataFrame, offsets: Sequence[Sequence[int]], mask: DataFrame,
-                 glia: DataFrame) -> DataFrame:
+def weight_edges(aff: DataFrame, offsets: Sequence[Sequence[int]], mask: DataFrame | None = None,
+                 glia: DataFrame | None = None) -> DataFrame:
     """NaN unless mask == 1 at both ends, else ``a (1-clamp01 g_from)(1-clamp01 g_to)``.
 
+    Without a mask every voxel of ``aff`` is valid, without glia no edge is weakened.
     Mask and glia are first combined per voxel (one co-partitioned join), then
     attached to the edge's source voxel and to its target voxel (two equi-joins).
     """
+    if mask is None and glia is None:
+        return aff.select(*AXES, "c", "a")
+    if mask is None:
+        mask = aff.select(*AXES).distinct().withColumn("m", F.lit(1))
+    if glia is None:
+        glia = mask.select(*AXES, F.lit(0.0).alias("g"))
     mg = (mask.select(*AXES, "m").join(glia.select(*AXES, "g"), list(AXES), "full")
               .select(*AXES, F.coalesce("m", F.lit(0)).alias("m"),
                       (F.lit(1.0) - F.least(F.lit(1.0), F.greatest(F.lit(0.0),

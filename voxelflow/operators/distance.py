@@ -1,83 +1,115 @@
 """Distance transforms.
 
-``D(p) = min_q f(q) + sum_d w_d (p_d - q_d)^2`` over ``q`` in a box window of
-radius ``R_d`` around ``p`` (the reference's 32-voxel context), then ``sqrt``.
-The minimum over a box separates into three 1-D passes (Felzenszwalb and
-Huttenlocher, "Distance Transforms of Sampled Functions", 2012); each pass is
-an equi-join on the two other axes plus a bucket of the pass axis:
-
-* targets carry bucket ``k = p_d div R``; sources are copied to buckets
-  ``k-1, k, k+1`` (3 copies), so every pair with ``|p_d - q_d| <= R`` meets in
-  exactly one bucket and a row's candidates are bounded by ``3R`` whatever the
-  row length;
-* ``min`` over the candidates is a partial+final hash aggregate.
+``D(p) = min_q f(q) + sum_d w_d (p_d - q_d)^2`` over all voxels ``q``, then
+``sqrt``.  The minimum separates into three 1-D passes, each the lower envelope
+of parabolas along the lines of one axis (Felzenszwalb and Huttenlocher,
+"Distance Transforms of Sampled Functions", 2012): O(n) per line, no search
+radius and no join.  A pass deals the voxels by line, sorts each partition, and
+streams over the lines; a task holds one line at a time, and a line is bounded
+by the volume's extent.  The input value travels along, so the whole transform
+is one scan and three exchanges.
+
+The envelope is the one step here that runs in Arrow batches: its running
+intersections are a stack machine that no built-in expression gives.
 
 Outside the volume's extent every voxel counts as boundary (H5: NaN outside)
-or as ``f = 0`` (H6: zero outside), so the nearest outside point of axis ``d``
-contributes ``w_d * min(p_d + 1, n_d - p_d)^2`` when that is within the
-window.  Inputs are dense inside their extent.
+or as ``f = 0`` (H6: zero outside): parabolas of height 0 at positions ``-1``
+and ``n`` of every line.  Inputs are dense inside their extent.
 """
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.grid import AXES, floor_div, triple
+from ..functions.grid import AXES, triple
 
 INF = float("inf")
 
 
-def _outside_term(ax: str, n: int, w: float, r: int) -> F.Column:
-    lo = F.col(ax) + 1
-    hi = F.lit(int(n)) - F.col(ax)
-    t_lo = F.when(lo <= r, F.lit(float(w)) * lo * lo)
-    t_hi = F.when(hi <= r, F.lit(float(w)) * hi * hi)
-    return F.least(F.coalesce(t_lo, F.lit(INF)), F.coalesce(t_hi, F.lit(INF)))
-
-
-def separable_pass(f: DataFrame, ax: str, w: float, radius: int, n: int | None = None) -> DataFrame:
-    """One 1-D pass along ``ax``: ``g(p) = min_{|p_ax - q_ax| <= R} f(q) + w (p_ax - q_ax)^2``.
-
-    ``f`` has columns ``x, y, z, f``.  With ``n`` (the extent along ``ax``) the
-    outside boundary term is included.
-    """
-    r = max(int(radius), 1)
+def lower_envelope(pos: list[int], f: list[float], w: float, n: int) -> list[float]:
+    """``min_q f(q) + w (p - q)^2`` at every ``p`` of ``pos`` (ascending), with zeros at -1 and n."""
+    if w <= 0:
+        low = min(0.0, min(f))
+        return [low] * len(pos)
+    qs, fs, starts = [-1], [0.0], [-INF]
+    for q, h in zip([*pos, n], [*f, 0.0]):
+        if h == INF:
+            continue
+        while True:
+            # where the parabola at q falls below the last one of the envelope
+            x = ((h / w + q * q) - (fs[-1] / w + qs[-1] * qs[-1])) / (2 * (q - qs[-1]))
+            if x > starts[-1] or len(qs) == 1:
+                break
+            qs.pop()
+            fs.pop()
+            starts.pop()
+        qs.append(q)
+        fs.append(h)
+        starts.append(x)
+    out, k, last = [], 0, len(qs) - 1
+    for p in pos:
+        while k < last and starts[k + 1] < p:
+            k += 1
+        d = float(p - qs[k])
+        best = fs[k] + w * d * d
+        # rounding of an intersection can hide an equal or slightly smaller neighbour
+        if k < last:
+            d = float(p - qs[k + 1])
+            best = min(best, fs[k + 1] + w * d * d)
+        if k:
+            d = float(p - qs[k - 1])
+            best = min(best, fs[k - 1] + w * d * d)
+        out.append(best)
+    return out
+
+
+def separable_pass(f: DataFrame, ax: str, w: float, n: int) -> DataFrame:
+    """One 1-D pass along ``ax`` over ``f(x, y, z, v, f)``; ``v`` is carried along."""
     others = [a for a in AXES if a != ax]
-    tgt = f.select(*AXES, floor_div(ax, r).alias("_k"))
-    src = f.select(*others, F.col(ax).alias("_q"), F.col("f").alias("_f"),
-                   F.explode(F.array(floor_div(ax, r) - 1, floor_div(ax, r), floor_div(ax, r) + 1))
-                   .alias("_k"))
-    j = tgt.join(src, others + ["_k"]).filter(F.abs(F.col(ax) - F.col("_q")) <= r)
-    d = (F.col(ax) - F.col("_q")).cast("double")
-    g = j.groupBy(*AXES).agg(F.min(F.col("_f") + F.lit(float(w)) * d * d).alias("f"))
-    if n is not None:
-        g = g.withColumn("f", F.least(F.col("f"), _outside_term(ax, n, w, radius)))
-    return g
-
-
-def _finish(g: DataFrame, src: DataFrame) -> DataFrame:
-    """sqrt; NaN where the input value is NaN; null where no boundary is in reach."""
-    j = g.join(src.select(*AXES, F.col("v").alias("_v")), list(AXES))
-    v = (F.when(F.isnan("_v"), F.lit(float("nan")))
-          .when(F.col("f") == F.lit(INF), F.lit(None).cast("double"))
-          .otherwise(F.sqrt("f")))
-    return j.select(*AXES, v.alias("v"))
-
-
-def distance_transform_binary(relief: DataFrame, thr: float, dims, weights=(1.0, 1.0, 1.0),
-                              radius: int = 32) -> DataFrame:
+    lines = f.select(*AXES, "v", "f").repartition(*others).sortWithinPartitions(*others, ax)
+
+    def run(batches):
+        rest = None
+        for b in batches:
+            b = pa.Table.from_batches([b])
+            if rest is not None:
+                b = pa.concat_tables([rest, b])
+            if not b.num_rows:
+                continue
+            o1, o2 = (b[a].to_numpy() for a in others)
+            cut = np.flatnonzero((o1[1:] != o1[:-1]) | (o2[1:] != o2[:-1])) + 1
+            end = int(cut[-1]) if len(cut) else 0      # the last line may go on in the next batch
+            if end:
+                yield done(b.slice(0, end), [0, *cut[:-1], end])
+            rest = b.slice(end)
+        if rest is not None:
+            yield done(rest, [0, rest.num_rows])
+
+    def done(t, cuts):
+        pos, val = t[ax].to_pylist(), t["f"].to_pylist()
+        out = []
+        for a, b in zip(cuts, cuts[1:]):
+            out += lower_envelope(pos[a:b], val[a:b], w, n)
+        t = t.set_column(t.schema.get_field_index("f"), "f", pa.array(out, pa.float64()))
+        return t.combine_chunks().to_batches()[0]
+    return lines.mapInArrow(run, lines.schema)
+
+
+def _transform(relief: DataFrame, f: F.Column, dims, weights) -> DataFrame:
+    g = relief.select(*AXES, F.col("v").cast("double").alias("v"), f.alias("f"))
+    for ax, wi, ni in zip(AXES, triple(weights), triple(dims)):
+        g = separable_pass(g, ax, float(wi), int(ni))
+    return g.select(*AXES, F.when(F.isnan("v"), F.lit(float("nan"))).otherwise(F.sqrt("f")).alias("v"))
+
+
+def distance_transform_binary(relief: DataFrame, thr: float, dims, weights=(1.0, 1.0, 1.0)) -> DataFrame:
     """H5: Euclidean distance (weights = resolution^2) to the nearest voxel with
-    ``not (v >= thr)`` (below threshold, NaN, or outside the volume)."""
-    n = triple(dims)
-    w = triple(weights)
+    ``not (v >= thr)`` (below threshold, NaN, or outside the volume), however far."""
     inside = ~F.isnan("v") & (F.col("v") >= F.lit(float(thr)))   # NaN sorts high in Spark
-    f = relief.select(*AXES, F.when(inside, F.lit(INF)).otherwise(F.lit(0.0)).alias("f"))
-    for ax, wi, ni in zip(AXES, w, n):
-        f = separable_pass(f, ax, wi, radius, ni)
-    return _finish(f, relief)
+    return _transform(relief, F.when(inside, F.lit(INF)).otherwise(F.lit(0.0)), dims, weights)
 
 
 def sampled_weights(resolution=(1.0, 1.0, 1.0), weight: float = 0.01) -> tuple:
@@ -87,24 +119,8 @@ def sampled_weights(resolution=(1.0, 1.0, 1.0), weight: float = 0.01) -> tuple:
     return tuple(float(weight) * (float(r) / m) ** 2 for r in res)
 
 
-def distance_transform_sampled(relief: DataFrame, dims, weights=(0.01, 0.01, 0.01),
-                               radius: int = 32, value_bound: float | None = None) -> DataFrame:
+def distance_transform_sampled(relief: DataFrame, dims, weights=(0.01, 0.01, 0.01)) -> DataFrame:
     """H6: ``sqrt(min_q a(q)^2 + sum_d w_d (p_d - q_d)^2)``; NaN counts as 0
-    for the transform (and stays NaN in the output); outside is 0.
-
-    The search radius per axis is cut exactly to ``floor(sqrt(max f / w_d))``
-    (a farther candidate costs more than ``f(p)`` itself), never above
-    ``radius``.  ``value_bound`` is ``max a^2``; when not given it is measured
-    with one aggregate.
-    """
-    n = triple(dims)
-    w = triple(weights)
+    for the transform (and stays NaN in the output); outside is 0."""
     a = F.when(F.isnan("v"), F.lit(0.0)).otherwise(F.col("v"))
-    f = relief.select(*AXES, (a * a).alias("f"))
-    if value_bound is None:
-        value_bound = f.agg(F.max("f")).collect()[0][0] or 0.0
-    for ax, wi, ni in zip(AXES, w, n):
-        r = min(int(radius), int(math.floor(math.sqrt(float(value_bound) / float(wi)))) if wi > 0 else radius)
-        f = separable_pass(f, ax, wi, max(r, 1), ni) if r >= 1 else \
-            f.withColumn("f", F.least(F.col("f"), _outside_term(ax, ni, wi, 1)))
-    return _finish(f, relief)
+    return _transform(relief, (a * a).cast("double"), dims, weights)

@@ -43,16 +43,20 @@ def local_maxima(relief: DataFrame, thr: float = float("-inf"), block_size=None,
     neighbours (26-neighbourhood by default; plateaus all count).  With
     ``block_size`` only neighbours in the same block are looked at (outside
     voxels are absent).  NaN voxels are never maxima and never neighbours."""
-    offs = offsets or NEIGHBOURS_26
+    offs = list(offsets or NEIGHBOURS_26)
     r = relief.select(*AXES, "v").filter(~F.isnan("v"))
-    s = r.select(*AXES, "v", F.explode(_offset_array(offs)).alias("o"))
-    s = s.select(*AXES, "v", (F.col("x") + F.col("o.dx")).alias("qx"),
-                 (F.col("y") + F.col("o.dy")).alias("qy"), (F.col("z") + F.col("o.dz")).alias("qz"))
-    s = s.filter(_same_block(block_size))
-    sent = s.select(F.col("qx").alias("x"), F.col("qy").alias("y"), F.col("qz").alias("z"),
-                    F.lit(None).cast("double").alias("own"), F.col("v").alias("nb"))
-    own = r.select(*AXES, F.col("v").alias("own"), F.lit(None).cast("double").alias("nb"))
-    g = sent.unionByName(own).groupBy(*AXES).agg(F.max("own").alias("v"), F.max("nb").alias("nb"))
+    return _maxima(r.withColumn("o", F.explode(_offset_array([(0, 0, 0)] + offs))), thr, block_size, [])
+
+
+def _maxima(sent: DataFrame, thr: float, block_size, keys: list) -> DataFrame:
+    """Maxima among the voxels of equal ``keys``: each row sends ``v`` to ``o`` away, itself included."""
+    s = sent.select(*AXES, *keys, "v", "o", (F.col("x") + F.col("o.dx")).alias("qx"),
+                    (F.col("y") + F.col("o.dy")).alias("qy"), (F.col("z") + F.col("o.dz")).alias("qz"))
+    self = (F.col("o.dx") == 0) & (F.col("o.dy") == 0) & (F.col("o.dz") == 0)
+    s = s.filter(_same_block(block_size)).select(
+        F.col("qx").alias("x"), F.col("qy").alias("y"), F.col("qz").alias("z"), *keys,
+        F.when(self, F.col("v")).alias("own"), F.when(~self, F.col("v")).alias("nb"))
+    g = s.groupBy(*AXES, *keys).agg(F.max("own").alias("v"), F.max("nb").alias("nb"))
     keep = F.col("v").isNotNull() & (F.col("v") >= F.lit(float(thr))) & \
         (F.col("nb").isNull() | (F.col("v") >= F.col("nb")))
     return g.filter(keep).select(*AXES, "v")
@@ -65,30 +69,24 @@ def edge_only_maxima(relief: DataFrame, block_size, dims, thr: float = float("-i
     """H2: 2-D maxima on each of the six faces of every block (8-neighbourhood
     inside the face plane and the block).  The last block's upper face is the
     volume's last slice.  Output: distinct ``(x, y, z, v)``."""
-    b = triple(block_size)
-    d = triple(dims)
+    b, d = triple(block_size), triple(dims)
     r = relief.select(*AXES, "v").filter(~F.isnan("v"))
-    parts = []
-    for ax_i, ax in enumerate(AXES):
-        bi, di = int(b[ax_i]), int(d[ax_i])
-        lo = F.pmod(F.col(ax), F.lit(bi)) == 0
-        hi = (F.pmod(F.col(ax), F.lit(bi)) == bi - 1) | (F.col(ax) == di - 1)
-        u, w = _FACE_AXES[ax_i]
-        offs2 = []
+    faces = []
+    for i, ax in enumerate(AXES):
+        u, w = (AXES.index(a) for a in _FACE_AXES[i])
+        plane = []
         for du, dw in itertools.product((-1, 0, 1), repeat=2):
-            if (du, dw) == (0, 0):
-                continue
             o = [0, 0, 0]
-            o[AXES.index(u)] = du
-            o[AXES.index(w)] = dw
-            offs2.append(tuple(o))
-        for side, cond in (("lo", lo), ("hi", hi)):
-            face = r.filter(cond)
-            parts.append(local_maxima(face, thr, b, offs2))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+            o[u], o[w] = du, dw
+            plane.append(tuple(o))
+        at = F.pmod(F.col(ax), F.lit(int(b[i])))
+        hi = (at == int(b[i]) - 1) | (F.col(ax) == int(d[i]) - 1)
+        for side, on in ((0, at == 0), (1, hi)):
+            faces.append(F.when(on, F.struct(F.lit(2 * i + side).alias("face"), _offset_array(plane).alias("os"))))
+    # a voxel is sent once per face it lies on, with the face in the key: one scan, one aggregate
+    f = (r.select(*AXES, "v", F.explode(F.array(*faces)).alias("f")).filter(F.col("f").isNotNull())
+          .select(*AXES, "v", F.col("f.face").alias("face"), F.explode("f.os").alias("o")))
+    return _maxima(f, thr, b, ["face"]).distinct()
 
 
 def seed_ids(seeds: DataFrame, block_size) -> DataFrame:
@@ -98,16 +96,33 @@ def seed_ids(seeds: DataFrame, block_size) -> DataFrame:
     return s.select(*AXES, *BLOCK_COLS, F.row_number().over(w).cast("bigint").alias("seed"))
 
 
-def boundary_seeds(labels: DataFrame, offsets=None) -> DataFrame:
-    """H4: uint8 mask over labelled voxels: 1 where a neighbour along
-    +-offsets is background (a present voxel with label 0), else 0."""
+def boundary_seeds(labels: DataFrame, offsets=None, dims=None) -> DataFrame:
+    """H4: uint8 mask over labelled voxels: 1 where a neighbour along +-offsets
+    is background, else 0.
+
+    Background is a stored 0 and, with ``dims``, also a voxel inside the volume
+    that isn't stored.  Every labelled voxel counts its labelled neighbours; one
+    that has fewer of them than neighbours inside the volume touches background.
+    Without ``dims`` only stored zeros count.
+    """
     offs = offsets or [(1, 0, 0), (0, 1, 0), (0, 0, 1)]
-    both = list(offs) + [tuple(-v for v in o) for o in offs]
+    both = sorted(set(tuple(o) for o in offs) | {tuple(-v for v in o) for o in offs})
     lab = labels.select(*AXES, "label")
-    zeros = lab.filter(F.col("label") == 0).select(*AXES, F.explode(_offset_array(both)).alias("o"))
-    touch = zeros.select((F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"),
-                         (F.col("z") + F.col("o.dz")).alias("z"), F.lit(1).alias("t"),
-                         F.lit(0).alias("own"))
+    src = lab.filter(F.col("label") == 0) if dims is None else lab.filter(F.col("label") != 0)
+    touch = src.select(*AXES, F.explode(_offset_array(both)).alias("o")).select(
+        (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y"),
+        (F.col("z") + F.col("o.dz")).alias("z"), F.lit(1).alias("t"), F.lit(0).alias("own"))
     own = lab.filter(F.col("label") != 0).select(*AXES, F.lit(0).alias("t"), F.lit(1).alias("own"))
-    g = touch.unionByName(own).groupBy(*AXES).agg(F.max("t").alias("m"), F.max("own").alias("own"))
-    return g.filter(F.col("own") == 1).select(*AXES, F.col("m").cast("int").alias("m"))
+    g = (touch.unionByName(own).groupBy(*AXES).agg(F.sum("t").alias("t"), F.max("own").alias("own"))
+              .filter(F.col("own") == 1))
+    if dims is None:
+        hit = F.col("t") > 0
+    else:
+        inside = F.lit(0)
+        for o in both:
+            ok = F.lit(True)
+            for ax, v, n in zip(AXES, o, triple(dims)):
+                ok = ok & (F.col(ax) + int(v)).between(0, int(n) - 1)
+            inside = inside + ok.cast("int")
+        hit = F.col("t") < inside
+    return g.select(*AXES, hit.cast("int").alias("m"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.grid import AXES, floor_div, linear_index, triple
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_checkpoint
 from .affinity import offset_cols
 
 INF = float("inf")
@@ -47,25 +47,25 @@ def _same_block_cols(block_size, p=("x", "y", "z"), q=("qx", "qy", "qz")):
 # Pointer jumping
 # ---------------------------------------------------------------------------
 
-def pointer_jump(parent: DataFrame, max_rounds: int = 64, materialised: bool = False) -> DataFrame:
+def pointer_jump(parent: DataFrame, materialised: bool = False) -> DataFrame:
     """``(node, parent)`` with roots pointing at themselves -> ``(node, root)``.
 
     Each round replaces the parent by the grandparent (one equi-join); the
     number of rounds is logarithmic in the depth.  Stops when no parent moved.
     """
-    p = parent.select("node", "parent")
+    p, old = parent.select("node", "parent"), None
     if not materialised:
-        p = cut_lineage(p)
-    for _ in range(max_rounds):
+        p = old = cut_lineage(p)
+    while True:
         gp = p.select(F.col("node").alias("parent"), F.col("parent").alias("gp"))
         nxt = p.join(gp, "parent", "left").select(
             "node", F.coalesce("gp", "parent").alias("parent"),
             (F.coalesce(F.col("gp"), F.col("parent")) != F.col("parent")).alias("moved"))
         nxt = cut_lineage(nxt)
-        if nxt.filter("moved").limit(1).count() == 0:
+        drop_checkpoint(old)
+        if nxt.filter("moved").isEmpty():
             return nxt.select("node", F.col("parent").alias("root"))
-        p = nxt.select("node", "parent")
-    raise RuntimeError("pointer jumping did not converge")
+        p, old = nxt.select("node", "parent"), nxt
 
 
 # ---------------------------------------------------------------------------
@@ -128,7 +128,7 @@ def merge_basins(basins: DataFrame, edges: DataFrame, thr: float) -> DataFrame:
 # Marker-rooted maximum spanning forest (Borůvka)
 # ---------------------------------------------------------------------------
 
-def marker_forest(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def marker_forest(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Assign every node the marker of its tree in a maximum spanning forest
     rooted at the marked nodes.
 
@@ -145,7 +145,7 @@ def marker_forest(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> D
     mark = nodes.select(F.col("node").alias("comp"), "marker")
     e, comp, mark = cut_lineage(e), cut_lineage(comp), cut_lineage(mark)
     rnd = 0
-    for _ in range(max_rounds):
+    while True:
         d = e.select(F.col("c1").alias("c"), F.col("c2").alias("o"), "k").unionByName(
             e.select(F.col("c2").alias("c"), F.col("c1").alias("o"), "k"))
         d = d.join(mark.filter(F.col("marker") == 0).select("comp").withColumnRenamed("comp", "c"), "c")
@@ -155,10 +155,11 @@ def marker_forest(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> D
         par = cut_lineage(sel.join(back, "parent", "left").select(
             "node", F.when((F.col("pp") == F.col("node")) & (F.col("node") < F.col("parent")),
                            F.col("node")).otherwise(F.col("parent")).alias("parent")))
-        if par.limit(1).count() == 0:
+        if par.isEmpty():
             break
         rnd += 1
         roots = pointer_jump(par, materialised=True)   # selecting component -> new id
+        drop_checkpoint(par)
         m = roots.select(F.col("node").alias("comp"), F.col("root").alias("new"))
         # comp only feeds the next round's comp: its plan grows linearly, so
         # it is materialised every few rounds only
@@ -166,15 +167,16 @@ def marker_forest(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> D
         if rnd % 4 == 0:
             comp = cut_lineage(comp)
         # a merged component inherits its root's marker (the root is marked or unmarked)
+        old_mark, old_e = mark, e
         mark = cut_lineage(mark.join(m.filter(F.col("comp") != F.col("new")), "comp", "left_anti"))
+        drop_checkpoint(old_mark)
         e2 = (e.join(m.select(F.col("comp").alias("c1"), F.col("new").alias("n1")), "c1", "left")
                .join(m.select(F.col("comp").alias("c2"), F.col("new").alias("n2")), "c2", "left")
                .select(F.coalesce("n1", "c1").alias("a"), F.coalesce("n2", "c2").alias("b"), "k")
                .filter(F.col("a") != F.col("b")))
         e = cut_lineage(e2.groupBy(F.least("a", "b").alias("c1"), F.greatest("a", "b").alias("c2"))
                           .agg(F.max("k").alias("k")))
-    else:
-        raise RuntimeError("marker forest did not converge")
+        drop_checkpoint(old_e)
     return comp.join(mark, "comp", "left").select("node", F.coalesce("marker", F.lit(0)).cast("bigint")
                                                   .alias("marker"))
 
@@ -239,13 +241,12 @@ def seeded_growth(labels: DataFrame, aff: DataFrame, offsets, dims, block_size=N
 def _node_to_xyz(df: DataFrame, dims) -> DataFrame:
     nx, ny, _ = triple(dims)
     n = F.col("node")
-    return df.select((n % nx).alias("x"), ((n / nx).cast("bigint") % ny).alias("y"),
-                     (n / (nx * ny)).cast("bigint").alias("z"),
+    return df.select((n % nx).alias("x"), (floor_div(n, nx) % ny).alias("y"),
+                     floor_div(n, nx * ny).alias("z"),
                      *[c for c in df.columns if c != "node"])
 
 
-def flood_heights(relief: DataFrame, seeds: DataFrame, dims, block_size=None,
-                  max_rounds: int = 10000) -> DataFrame:
+def flood_heights(relief: DataFrame, seeds: DataFrame, dims, block_size=None) -> DataFrame:
     """Bottleneck height of the seeded flood: ``h(seed) = +inf`` and
     ``h(p) = max over neighbours q of min(h(q), v(p))`` (NaN impassable), by
     semi-naive relaxation: only voxels that rose in the last round send.
@@ -258,7 +259,7 @@ def flood_heights(relief: DataFrame, seeds: DataFrame, dims, block_size=None,
     frontier = h
     nb = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy"), F.lit(c).alias("dz"))
                    for a, b, c in ((1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1))])
-    for _ in range(max_rounds):
+    while True:
         s = frontier.select(*AXES, "h", F.explode(nb).alias("o")).select(
             *AXES, "h", (F.col("x") + F.col("o.dx")).alias("qx"), (F.col("y") + F.col("o.dy")).alias("qy"),
             (F.col("z") + F.col("o.dz")).alias("qz"))
@@ -270,11 +271,14 @@ def flood_heights(relief: DataFrame, seeds: DataFrame, dims, block_size=None,
                   .filter(F.col("h").isNull() | (F.col("nh") > F.col("h")))
                   .select(*AXES, F.col("nh").alias("h")))
         up = cut_lineage(up)
-        if up.limit(1).count() == 0:
+        if up.isEmpty():
             return h
+        old_h, old_up = h, frontier
         h = cut_lineage(h.join(up.select(*AXES), list(AXES), "left_anti").unionByName(up))
+        drop_checkpoint(old_h)
+        if old_up is not old_h:
+            drop_checkpoint(old_up)
         frontier = up
-    raise RuntimeError("flood heights did not converge")
 
 
 # ---------------------------------------------------------------------------
@@ -285,7 +289,7 @@ def mutex_edges(aff: DataFrame, offsets, dims, block_size=None, thr: float | Non
                 keep_long: float = 1.0, attractive_max_norm2: int = 1) -> DataFrame:
     """Edges ``(n1, n2, s, att)`` for the mutex watershed.
 
-    Attractive: ``|o|^2 <= 1`` (or ``a >= thr`` when ``thr`` is given) with
+    Attractive: ``|o|^2 <= 1`` (or ``a >= thr`` when ``thr`` is 0 or more) with
     strength ``a``; repulsive otherwise, with strength ``1 - a``.  Long-range
     edges are kept with probability ``keep_long`` (I8).
     """
@@ -296,7 +300,7 @@ def mutex_edges(aff: DataFrame, offsets, dims, block_size=None, thr: float | Non
         short = F.element_at(F.array(*[F.lit(n <= attractive_max_norm2) for n in norms]),
                              F.col("c").cast("int") + 1)
         e = e.filter(short | sample_mask(keep_long))
-    if thr is None:
+    if thr is None or thr < 0:
         att = F.element_at(F.array(*[F.lit(n <= attractive_max_norm2) for n in norms]),
                            F.col("c").cast("int") + 1)
     else:
@@ -317,11 +321,11 @@ def mutex_edges(aff: DataFrame, offsets, dims, block_size=None, thr: float | Non
 
 def sample_mask(keep: float) -> F.Column:
     """I8: deterministic per-edge sample, seeded by position and channel."""
-    k = int(round(float(keep) * 10000))
-    return F.pmod(F.xxhash64("x", "y", "z", "c"), F.lit(10000)) < k
+    h = F.conv(F.substring(F.md5(F.concat_ws(",", "x", "y", "z", "c")), 1, 13), 16, 10).cast("bigint")
+    return h < int(float(keep) * (1 << 52))
 
 
-def mutex_watershed(nodes: DataFrame, edges: DataFrame, max_rounds: int = 256) -> DataFrame:
+def mutex_watershed(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Mutex watershed clustering by rounds; returns ``(node, label)`` with
     the smallest node id of each cluster as label.
 
@@ -351,7 +355,7 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame, max_rounds: int = 256) -
     e = cut_lineage(e.groupBy("c1", "c2").agg(F.max("ka").alias("ka"), F.max("kr").alias("kr")))
     comp = cut_lineage(nodes.select("node", F.col("node").alias("comp")))
     rnd = 0
-    for _ in range(max_rounds):
+    while True:
         both = e.select(F.col("c1").alias("c"), F.col("c2").alias("o"), "ka", "kr").unionByName(
             e.select(F.col("c2").alias("c"), F.col("c1").alias("o"), "ka", "kr"))
         live = F.col("ka").isNotNull() & (F.col("kr").isNull() | (F.col("ka") > F.col("kr")))
@@ -374,10 +378,12 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame, max_rounds: int = 256) -
             F.col("c").alias("node"),
             F.when(mutual & (F.col("c") < F.col("o")), F.col("c")).otherwise(F.col("o")).alias("parent"))
         chosen = cut_lineage(chosen)
-        if chosen.filter(F.col("node") != F.col("parent")).limit(1).count() == 0:
+        if chosen.filter(F.col("node") != F.col("parent")).isEmpty():
             break
         rnd += 1
         roots = pointer_jump(chosen, materialised=True)
+        drop_checkpoint(chosen)
+        old_e = e
         m = roots.filter(F.col("node") != F.col("root")).select(
             F.col("node").alias("comp"), F.col("root").alias("new"))
         comp = comp.join(m, "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
@@ -389,8 +395,7 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame, max_rounds: int = 256) -
                .filter(F.col("a") != F.col("b")))
         e = cut_lineage(e2.groupBy(F.least("a", "b").alias("c1"), F.greatest("a", "b").alias("c2"))
                           .agg(F.max("ka").alias("ka"), F.max("kr").alias("kr")))
-    else:
-        raise RuntimeError("mutex watershed did not converge")
+        drop_checkpoint(old_e)
     # label = smallest node of the cluster
     small = comp.groupBy("comp").agg(F.min("node").alias("label"))
     return comp.join(small, "comp").select("node", "label")
@@ -398,12 +403,13 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame, max_rounds: int = 256) -
 
 def mutex_segmentation(aff: DataFrame, offsets, dims, block_size=None, thr=None,
                        keep_long: float = 1.0) -> DataFrame:
-    """I7 over an affinity volume: ``(x, y, z, label)`` (label = smallest
-    voxel id of the cluster, inside the block when ``block_size`` is set)."""
+    """I7 over an affinity volume: ``(x, y, z, label)``; label = smallest voxel
+    id of the cluster plus 1 (0 is background), inside the block when
+    ``block_size`` is set."""
     d = triple(dims)
     nodes = aff.select(linear_index(d).alias("node")).distinct()
     e = mutex_edges(aff, offsets, d, block_size, thr, keep_long)
-    return _node_to_xyz(mutex_watershed(nodes, e), d)
+    return _node_to_xyz(mutex_watershed(nodes, e).withColumn("label", F.col("label") + 1), d)
 
 
 __all__ = ["steepest_ascent", "merge_basins", "marker_forest", "seeded_watershed",

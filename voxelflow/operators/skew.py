@@ -21,9 +21,8 @@ def hot_keys(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
 
     Fewer than HOT_SHARE rows.  ``counts`` is read twice: pass a cut or cheap frame.
     """
-    total = counts.agg(F.sum(n).alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-                  .filter(F.col(n) * F.lit(HOT_SHARE) > F.col("_total")).select(key))
+    total = counts.agg(F.sum(n)).scalar()
+    return counts.filter(F.col(n) * F.lit(HOT_SHARE) > total).select(key)
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, counts: DataFrame | None = None,

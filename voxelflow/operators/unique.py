@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from ..functions.grid import BLOCK_COLS, block_position, floor_div, triple, check_factors
 
 
-def unique_labels(labels: DataFrame, block_size) -> DataFrame:
-    """Distinct labels per block; 0 included."""
+def unique_labels(labels: DataFrame, block_size, include_background: bool = True) -> DataFrame:
+    """Distinct labels per block; 0 included unless told otherwise."""
+    if not include_background:
+        labels = labels.filter(F.col("label") != 0)
     return (block_position(labels.select("x", "y", "z", "label"), block_size)
             .select(*BLOCK_COLS, "label").distinct())
 

@@ -264,11 +264,17 @@ def _avg_sql(masked: bool, nan_oob: bool) -> str:
     ok = "coalesce(k.m, 0) <> 0" if masked else "TRUE"
     join = "LEFT JOIN MASK k USING (x, y, z)" if masked else ""
     inv = "CASE WHEN ok THEN 0 ELSE 1 END" if nan_oob else "0"
+    # an edge from outside the volume, where the mask is 0, reaches its inside end
+    faces = """
+      UNION ALL
+      SELECT x, y, z, 0.0, 1, 0 FROM AFF JOIN OFFS USING (c),
+             (SELECT max(x) AS mx, max(y) AS my, max(z) AS mz FROM MASK) m
+      WHERE x - dx NOT BETWEEN 0 AND mx OR y - dy NOT BETWEEN 0 AND my OR z - dz NOT BETWEEN 0 AND mz""" if masked and nan_oob else ""
     return f"""E AS (SELECT x, y, z, c, a, dx, dy, dz, {ok} AS ok
        FROM AFF {join} JOIN OFFS USING (c)),
 C AS (SELECT x, y, z, CASE WHEN ok AND isfinite(a) THEN a ELSE 0.0 END AS s, {inv} AS inv, 1 AS own FROM E
       UNION ALL
-      SELECT x + dx, y + dy, z + dz, CASE WHEN ok AND isfinite(a) THEN a ELSE 0.0 END, {inv}, 0 FROM E),
+      SELECT x + dx, y + dy, z + dz, CASE WHEN ok AND isfinite(a) THEN a ELSE 0.0 END, {inv}, 0 FROM E{faces}),
 AVG AS (SELECT x, y, z, CASE WHEN max(inv) = 1 THEN CAST('nan' AS DOUBLE)
                              ELSE sum(s) * {AVG_FACTOR!r} END AS v
         FROM C GROUP BY x, y, z HAVING max(own) = 1)"""
@@ -290,7 +296,8 @@ def q_average_affinities_masked(spark, sf):
           "SELECT x, y, z, v FROM AVG")
 def q_average_affinities_nan(spark, sf):
     return affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS,
-                                       mask=fx.mask_volume(spark, sf), nan_oob=True)
+                                       mask=fx.mask_volume(spark, sf), nan_oob=True,
+                                       dims=volume.extent(fx.mask_volume(spark, sf)).first())
 
 
 @register("glia_weight", with_sql(A_SQL, _avg_sql(False, False)) + """
@@ -402,7 +409,8 @@ SELECT x, y, z, CASE WHEN isnan(v) THEN CAST('-inf' AS DOUBLE) ELSE v END AS v F
 def q_nan_replace(spark, sf):
     """NaN -> -inf before flooding."""
     avg = affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS,
-                                      mask=fx.mask_volume(spark, sf), nan_oob=True)
+                                      mask=fx.mask_volume(spark, sf), nan_oob=True,
+                                      dims=volume.extent(fx.mask_volume(spark, sf)).first())
     return affinity.replace_nan(avg, "v", float("-inf"))
 
 
@@ -710,50 +718,41 @@ SELECT p.x, p.y, p.z, CAST(CASE WHEN EXISTS (
   THEN 1 ELSE 0 END AS INTEGER) AS m
 FROM SEG p WHERE p.label <> 0""")
 def q_boundary_seeds(spark, sf):
-    return extrema.boundary_seeds(fx.seg_volume(spark, sf))
-
-
-def _outside_sql(w, r=32):
-    terms = []
-    for a, wi in zip("xyz", w):
-        terms.append(f"CASE WHEN p.{a} + 1 <= {r} THEN {wi!r} * (p.{a} + 1) * (p.{a} + 1) "
-                     f"ELSE CAST('inf' AS DOUBLE) END")
-        terms.append(f"CASE WHEN n{a} - p.{a} <= {r} THEN {wi!r} * (n{a} - p.{a}) * (n{a} - p.{a}) "
-                     f"ELSE CAST('inf' AS DOUBLE) END")
-    return "least(" + ", ".join(terms) + ")"
+    """H4 on the sparse form: background voxels aren't stored."""
+    seg = fx.seg_volume(spark, sf)
+    return extrema.boundary_seeds(seg.filter(F.col("label") != 0), dims=_extent_tuple(seg))
 
 
 def _dt_sql(src_f: str, w) -> str:
-    wx, wy, wz = (repr(v) for v in w)
-    return f"""EXT AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM RELIEF),
-FQ AS ({src_f}),
-DT AS (
-  SELECT p.x, p.y, p.z, p.v,
-         least(coalesce(min(((q.f + {wx} * (p.x - q.x) * (p.x - q.x)) + {wy} * (p.y - q.y) * (p.y - q.y))
-                            + {wz} * (p.z - q.z) * (p.z - q.z)), CAST('inf' AS DOUBLE)),
-               any_value({_outside_sql(w)})) AS d
-  FROM RELIEF p CROSS JOIN EXT
-  LEFT JOIN FQ q ON q.x BETWEEN p.x - 32 AND p.x + 32 AND q.y BETWEEN p.y - 32 AND p.y + 32
-                AND q.z BETWEEN p.z - 32 AND p.z + 32
-  GROUP BY p.x, p.y, p.z, p.v)
-SELECT x, y, z, CASE WHEN isnan(v) THEN CAST('nan' AS DOUBLE) WHEN d = CAST('inf' AS DOUBLE) THEN NULL
-                     ELSE sqrt(d) END AS v FROM DT"""
+    """Minimum over every voxel and over the nearest voxel outside each face, axis by axis."""
+    sql = [f"""EXT AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM RELIEF),
+D0 AS ({src_f})"""]
+    for i, (a, wi) in enumerate(zip("xyz", w)):
+        o = [c for c in "xyz" if c != a]
+        sql.append(f"""D{i + 1} AS (
+  SELECT p.x, p.y, p.z, any_value(p.v) AS v,
+         least(min(q.f + {wi!r} * (p.{a} - q.{a}) * (p.{a} - q.{a})),
+               any_value({wi!r} * (p.{a} + 1) * (p.{a} + 1)), any_value({wi!r} * (n{a} - p.{a}) * (n{a} - p.{a}))) AS f
+  FROM D{i} p JOIN D{i} q ON {' AND '.join(f'q.{c} = p.{c}' for c in o)}, EXT
+  GROUP BY p.x, p.y, p.z)""")
+    return ",\n".join(sql) + """
+SELECT x, y, z, CASE WHEN isnan(v) THEN CAST('nan' AS DOUBLE) ELSE sqrt(f) END AS v FROM D3"""
 
 
 @register("distance_binary", with_sql(A_SQL, _dt_sql(
-    "SELECT x, y, z, 0.0 AS f FROM RELIEF WHERE isnan(v) OR v < 0.5", DT_W5)))
+    "SELECT x, y, z, v, CASE WHEN isnan(v) OR v < 0.5 THEN 0.0 ELSE CAST('inf' AS DOUBLE) END AS f FROM RELIEF", DT_W5)))
 def q_distance_binary(spark, sf):
     """H5 on the relief thresholded at 0.5, resolution (1, 1, 2)."""
     rel = fx.relief_volume(spark, sf)
-    return distance.distance_transform_binary(rel, 0.5, _extent_tuple(rel), DT_W5, 32)
+    return distance.distance_transform_binary(rel, 0.5, _extent_tuple(rel), DT_W5)
 
 
 @register("distance_sampled", with_sql(A_SQL, _dt_sql(
-    "SELECT x, y, z, CASE WHEN isnan(v) THEN 0.0 ELSE v * v END AS f FROM RELIEF", DT_W6)))
+    "SELECT x, y, z, v, CASE WHEN isnan(v) THEN 0.0 ELSE v * v END AS f FROM RELIEF", DT_W6)))
 def q_distance_sampled(spark, sf):
     """H6 on the relief, weight 0.01, resolution (1, 1, 2)."""
     rel = fx.relief_volume(spark, sf)
-    return distance.distance_transform_sampled(rel, _extent_tuple(rel), DT_W6, 32)
+    return distance.distance_transform_sampled(rel, _extent_tuple(rel), DT_W6)
 
 
 # ---------------------------------------------------------------------------
@@ -892,7 +891,9 @@ def q_mutex_watershed(spark, sf):
 LONG_OFFS = OFFS + ((0, -3, 0),)       # channel 3 of A read as a long-range edge
 
 
-@register("edge_sampling")
+@register("edge_sampling", with_sql(A_SQL) + f"""
+SELECT x, y, z, c, a FROM A
+WHERE c < 3 OR CAST('0x' || substr(md5(concat_ws(',', x, y, z, c)), 1, 13) AS BIGINT) < {int(0.01 * (1 << 52))}""")
 def q_edge_sampling(spark, sf):
     """I8: short edges kept, long-range ones sampled at 1% by a position hash."""
     a = fx.affinity_volume(spark, sf).select("x", "y", "z", "c", "a")

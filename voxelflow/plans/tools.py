@@ -23,15 +23,34 @@ from ..sources import volume
 # Output writing with status
 # ---------------------------------------------------------------------------
 
-def write_outputs(outputs: dict[str, DataFrame], path: str, block_size, level: int = 0) -> DataFrame:
-    """Write every output volume and return their ``volumes_meta`` rows
-    (status 'complete' only after the write succeeded)."""
+def write_outputs(outputs: dict[str, DataFrame], path: str, block_size, dims=None, level: int = 0,
+                  args: dict | None = None, resolution=(1.0, 1.0, 1.0), factors: dict | None = None) -> DataFrame:
+    """Write every output volume and return the ``volumes_meta`` rows.
+
+    Outputs with voxel coordinates are written block-addressed; their rows say
+    'running' until the write has succeeded, then 'complete', with the true data
+    type, the dims (measured where not given) and the arguments.  An output of
+    one value (``.../max_id``) becomes the max id of the volume it belongs to;
+    a table without coordinates is written as plain Parquet beside the volumes.
+    """
     spark = next(iter(outputs.values())).sparkSession
     metas = []
     for name, df in outputs.items():
-        volume.write_volume(df, path, name, level, block_size)
-        metas.append(volume.meta_row(spark, name, level, (0, 0, 0), block_size,
-                                     "uint64", status="complete"))
+        if len(df.columns) == 1:
+            continue
+        cols = [c for c in df.columns if c not in ("x", "y", "z")]
+        kind = df.schema[cols[0]].dataType.simpleString() if cols else "boolean"
+        voxels = {"x", "y", "z"} <= set(df.columns)
+        own = dims or (volume.extent(df).first() if voxels else (0, 0, 0))
+        top = outputs.get(f"{name}/max_id")
+        row = volume.meta_row(spark, name, level, [v or 0 for v in own], block_size, kind, resolution,
+                              factors=(factors or {}).get(name),
+                              max_id=top.first()[0] if top is not None else None, status="running")
+        if voxels:
+            volume.write_volume(df, path, name, level, block_size, whole=True)
+        else:
+            df.write.mode("overwrite").parquet(f"{path}-tables/{name}/level={int(level)}")
+        metas.append(volume.with_provenance(volume.set_status(row, name, "complete"), args or {}))
     out = metas[0]
     for m in metas[1:]:
         out = out.unionByName(m)
@@ -51,7 +70,8 @@ def convert_tool(labels: DataFrame, block_size=64, in_name="labels", out_name="m
 
 def downsample_tool(ms: DataFrame, factor_strings, block_sizes=None, max_entries=None,
                     prev_block=64) -> dict:
-    """B8/B7 -> D3 (levels s1..sn; each from the previous level)."""
+    """B8/B7 -> D3 -> D4 (levels s1..sn, each from the previous level, without
+    empty blocks).  ``factors`` holds the accumulated factors of every level (B6)."""
     factors = [attrs.parse_factors(s) for s in factor_strings]
     factors, blocks, caps = pyramid.normalise_pyramid_args(len(factors), factors, block_sizes, max_entries)
     prev = grid.triple(prev_block)
@@ -60,10 +80,19 @@ def downsample_tool(ms: DataFrame, factor_strings, block_sizes=None, max_entries
         prev = b
     levels = pyramid.multiset_pyramid(ms, factors, caps)
     out = {"s0": ms}
-    acc = None
     for i, lv in enumerate(levels[1:], start=1):
-        acc = attrs.accumulate_factors(acc, factors[i - 1])
-        out[f"s{i}"] = lv
+        out[f"s{i}"] = pyramid.drop_empty_blocks(lv, blocks[i - 1])
+    return out
+
+
+def downsample_metadata(factor_strings, max_entries=None) -> dict:
+    """P2's level attributes: accumulated factors (B6) and entry cap, by level name."""
+    factors = [attrs.parse_factors(s) for s in factor_strings]
+    factors, _, caps = pyramid.normalise_pyramid_args(len(factors), factors, None, max_entries)
+    out, acc = {}, None
+    for i, f in enumerate(factors, start=1):
+        acc = attrs.accumulate_factors(acc, f)
+        out[f"s{i}"] = {"factors": tuple(acc), "max_entries": caps[i - 1] if caps else None}
     return out
 
 
@@ -102,22 +131,33 @@ def label_to_block_mapping_tool(levels: list[DataFrame], dims0, blocks, factors,
 
 def stitched_watersheds(relief: DataFrame, dims, block_size, seed_thr: float = -math.inf,
                         merge_thr: float = 0.9, face_thr: float = -math.inf,
-                        impassable_zero: bool = False, seeds: str = "all") -> dict:
+                        impassable_zero: bool = False, seeds: str = "all",
+                        merge_values: DataFrame | None = None, merge_rule: str = "median",
+                        relabel: bool = True, nan_value: float = -math.inf) -> dict:
     """P6 (and P10-P12 given a distance-transform relief):
-    A7 -> H1/H2 -> H3 -> I3 -> I5 -> I9 -> J1/J3 -> J6 -> J5 -> J9 -> J10."""
+    A7 -> H1/H2 -> H3 -> I3 -> I5/I6 -> I9 -> J1/J3 -> J6 -> J5 -> J9 -> J10.
+
+    ``merge_values``: the values by which fragments and face contacts are merged
+    (default: the relief).  ``merge_rule``: ``median`` (I5) or ``min`` (I6).
+    ``relabel=False`` stops after the merge inside blocks.
+    """
     d = grid.triple(dims)
-    rel = affinity.replace_nan(relief.select(*grid.AXES, "v"), "v", float("nan"))
+    rel = affinity.replace_nan(relief.select(*grid.AXES, "v"), "v", nan_value)
+    by = rel if merge_values is None else affinity.replace_nan(merge_values.select(*grid.AXES, "v"), "v", -math.inf)
+    merge = {"median": stitch.merge_fragments_median, "min": stitch.merge_fragments_min}[merge_rule]
     if seeds == "faces":
         mx = extrema.edge_only_maxima(rel, block_size, d, seed_thr)
     else:
         mx = extrema.local_maxima(rel, seed_thr, block_size)
     sid = extrema.seed_ids(mx, block_size)
     ws = segment.seeded_watershed(rel, sid.select(*grid.AXES, "seed"), d, block_size, impassable_zero)
-    pairs = stitch.merge_fragments_median(ws, rel, block_size, merge_thr)
+    pairs = merge(ws, by, block_size, merge_thr)
     merged = stitch.merge_pairs_within_blocks(ws, pairs, block_size)
     merged = stitch.drop_singletons(merged, block_size)
+    if not relabel:
+        return {"seeds": sid, "seeded-watersheds": ws, "merged": merged}
     dense = stitch.relabel_dense(merged, block_size, d)
-    edges = stitch.merge_edges_median(dense, rel, block_size, face_thr)
+    edges = stitch.merge_edges_median(dense, by, block_size, face_thr)
     mapping = graph.connected_components(edges.select("e1", "e2"), "e1", "e2")
     final = stitch.apply_mapping(dense, mapping, keep_unmapped=True)
     return {"seeds": sid, "seeded-watersheds": ws, "merged": merged, "relabelled": dense,
@@ -126,17 +166,19 @@ def stitched_watersheds(relief: DataFrame, dims, block_size, seed_thr: float = -
 
 def dt_watersheds(aff_avg: DataFrame, dims, block_size, kind: str = "binary", thr: float = 0.9,
                   weight: float = 0.01, resolution=(1.0, 1.0, 1.0), seed_dist: float = 0.0,
-                  seeds: str = "all", merge_thr: float = -math.inf) -> dict:
+                  seeds: str = "all", merge_thr: float = -math.inf, merge_rule: str = "median",
+                  relabel: bool = True) -> dict:
     """Distance-transform relief (H5 or H6), then the P6 chain with
-    relief 0 impassable; ``seeds='faces'`` seeds on block faces only (H2)."""
+    relief 0 and NaN impassable; ``seeds='faces'`` seeds on block faces only (H2).
+    Fragments and faces merge by the averaged affinities, not by distances."""
     if kind == "binary":
         w = tuple(float(r) ** 2 for r in grid.triple(resolution))
         rel = distance.distance_transform_binary(aff_avg, thr, dims, w)
     else:
         rel = distance.distance_transform_sampled(aff_avg, dims, distance.sampled_weights(resolution, weight))
-    rel = rel.withColumn("v", F.coalesce("v", F.lit(float("nan"))))
     out = stitched_watersheds(rel, dims, block_size, seed_dist, merge_thr, merge_thr,
-                              impassable_zero=True, seeds=seeds)
+                              impassable_zero=True, seeds=seeds, merge_values=aff_avg,
+                              merge_rule=merge_rule, relabel=relabel, nan_value=math.nan)
     out["distance-transform"] = rel
     return out
 
@@ -160,16 +202,16 @@ def prediction_mask_tool(input_mask: DataFrame, out_extent: DataFrame, net_out_w
 
 def average_affinities_tool(aff: DataFrame, offset_specs=("-1,0,0", "0,-1,0", "0,0,-1"),
                             mask_df: DataFrame | None = None, glia: DataFrame | None = None,
-                            glia_min=0.0, glia_max=1.0, glia_thr=float("nan"), nan_oob=False) -> dict:
-    """B9 -> G2 -> G1 -> G3 -> G4 (channels taken from the offset specs)."""
+                            glia_min=0.0, glia_max=1.0, glia_thr=float("nan"), nan_oob=False,
+                            dims=None) -> dict:
+    """B9 -> G2 -> G1 -> G3 -> G4.  Only the named channels are read, and the
+    average is over as many offsets as are named."""
     chans = attrs.enumerate_offsets(offset_specs)
-    offsets = [None] * (max(c for c, _ in chans) + 1)
-    for c, o in chans:
-        offsets[c] = o
-    a = aff.filter(F.col("c").isin(*[c for c, _ in chans]))
-    offsets = [o if o is not None else (0, 0, 0) for o in offsets]
-    return {"averaged": affinity.average_affinities(a, offsets, mask_df, glia, glia_min, glia_max,
-                                                    glia_thr, nan_oob)}
+    place = F.create_map(*[F.lit(int(v)) for i, (c, _) in enumerate(chans) for v in (c, i)])
+    a = (aff.filter(F.col("c").isin(*[c for c, _ in chans]))
+            .withColumn("c", place[F.col("c").cast("int")].cast(aff.schema["c"].dataType)))
+    return {"averaged": affinity.average_affinities(a, [o for _, o in chans], mask_df, glia, glia_min, glia_max,
+                                                    glia_thr, nan_oob, dims)}
 
 
 # ---------------------------------------------------------------------------
@@ -177,8 +219,12 @@ def average_affinities_tool(aff: DataFrame, offset_specs=("-1,0,0", "0,-1,0", "0
 # ---------------------------------------------------------------------------
 
 def rain_tool(aff: DataFrame, offsets, dims, block_size, thr: float = 0.9, min_aff: float = -math.inf,
-              min_size: int = -1, invert: bool = False) -> dict:
-    """A8 -> G7 -> G6 -> I1 -> I2 -> I10 -> H4 -> I4 -> J1/J2."""
+              min_size: int = -1, invert: bool = False, relabel: bool = True) -> dict:
+    """A8 -> G7 -> G6 -> I1 -> I2 -> I10 -> H4 -> I4 -> J1/J2.
+
+    A basin's label is its root's voxel index plus 1, since 0 is background.
+    With ``relabel`` all four label outputs get dense ids, block by block.
+    """
     d = grid.triple(dims)
     a = affinity.invert_channels(aff, len(offsets)) if invert else aff
     a = affinity.invalidate_cross_block(a, offsets, block_size)
@@ -189,23 +235,22 @@ def rain_tool(aff: DataFrame, offsets, dims, block_size, thr: float = 0.9, min_a
     basins = segment.steepest_ascent(nodes, edges)
     merged = segment.merge_basins(basins, edges, thr)
     to_xyz = segment._node_to_xyz
-    ws = to_xyz(basins.withColumnRenamed("root", "label"), d)
-    mg = to_xyz(merged.withColumnRenamed("root", "label"), d)
+    ws = to_xyz(basins.select("node", (F.col("root") + 1).alias("label")), d)
+    mg = to_xyz(merged.select("node", (F.col("root") + 1).alias("label")), d)
     sized = stitch.size_filter(mg, block_size, min_size)
-    seeds = extrema.boundary_seeds(sized, offsets)
+    seeds = extrema.boundary_seeds(sized, offsets, d)
     grown = segment.seeded_growth(sized, a, offsets, d, block_size)
-    dense = stitch.relabel_dense(grown, block_size, d)
-    return {"watersheds": ws, "merged": mg, "size-filtered": sized, "seeds": seeds,
-            "seeded": grown, "relabelled": dense}
+    out = {"watersheds": ws, "merged": mg, "size-filtered": sized, "seeded": grown}
+    if relabel:
+        out = {k: stitch.relabel_dense(v, block_size, d) for k, v in out.items()}
+    return out | {"seeds": seeds}
 
 
 def mutex_tool(aff: DataFrame, offsets, dims, block_size, mask_df: DataFrame | None = None,
                glia: DataFrame | None = None, thr: float | None = None, keep_long: float = 0.01) -> dict:
     """G8 -> I8 -> I7 -> I9 -> J1/J3 -> J7 -> J5 -> J9."""
     d = grid.triple(dims)
-    a = aff
-    if mask_df is not None and glia is not None:
-        a = affinity.weight_edges(aff, offsets, mask_df, glia)
+    a = affinity.weight_edges(aff, offsets, mask_df, glia)
     raw = segment.mutex_segmentation(a, offsets, d, block_size, thr, keep_long)
     raw = stitch.drop_singletons(raw, block_size)
     dense = stitch.relabel_dense(raw, block_size, d)

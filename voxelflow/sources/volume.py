@@ -10,6 +10,8 @@ pushes into the Parquet scan as ``PushedFilters`` / ``PartitionFilters`` (A2).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,25 +96,39 @@ def world_shift(offset, resolution) -> tuple:
 # ---------------------------------------------------------------------------
 
 def write_volume(vol: DataFrame, path: str, dataset: str, level: int, block_size,
-                 mode: str = "overwrite") -> None:
-    """A3: block-addressed write; each written ``bz`` slab replaces its old files.
+                 mode: str = "overwrite", whole: bool = False) -> None:
+    """A3: block-addressed write of one dataset level; each written ``bz`` slab replaces its old files.
 
     Rows are range-partitioned on the block key so every task writes whole,
     contiguous blocks; dynamic partition overwrite leaves untouched slabs alone.
+    With ``whole`` the rows are the whole level: slabs of an earlier run that get
+    no rows any more are deleted after the write.
     """
     b = triple(block_size)
     out = vol.withColumns({bc: floor_div(a, bi) for a, bc, bi in zip(AXES, BLOCK_COLS, b)})
     out = (out.withColumn("dataset", F.lit(dataset)).withColumn("level", F.lit(int(level)))
               .repartitionByRange(F.col("bz"), F.col("by_"), F.col("bx"))
               .sortWithinPartitions("bz", "by_", "bx", "z", "y", "x"))
-    spark = vol.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (out.drop("bx", "by_").write.mode(mode)
-            .partitionBy("dataset", "level", "bz").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    before = _slabs(vol.sparkSession, path, dataset, level) if whole else []
+    (out.drop("bx", "by_").write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset", "level", "bz").parquet(path))
+    for fs, slab, stamp in before:
+        # a slab that was written anew has files younger than those listed before
+        if fs.exists(slab) and _youngest(fs, slab) == stamp:
+            fs.delete(slab, True)
+
+
+def _youngest(fs, slab) -> tuple:
+    return tuple(sorted(f.getPath().getName() for f in fs.listStatus(slab)))
+
+
+def _slabs(spark: SparkSession, path: str, dataset: str, level: int) -> list:
+    """(file system, folder, file names) of every stored slab of a dataset level."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dataset={dataset.replace('/', '%2F')}/level={int(level)}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [(fs, s.getPath(), _youngest(fs, s.getPath())) for s in fs.listStatus(p) if s.isDirectory()]
 
 
 def read_volume(spark: SparkSession, path: str, dataset: str, level: int = 0,
@@ -159,10 +175,15 @@ def check_preconditions(in_name: str | None, out_name: str | None, df: DataFrame
             raise TypeError(f"label column must be integral, got {t.simpleString()}")
 
 
-def check_block_size(existing: DataFrame | None, block_size) -> None:
+def check_block_size(existing: DataFrame | None, block_size, dataset: str | None = None,
+                     level: int | None = None) -> None:
     """Refuse to overwrite a dataset level with another block size."""
     if existing is None:
         return
+    if dataset is not None:
+        existing = existing.filter(F.col("dataset") == dataset)
+    if level is not None:
+        existing = existing.filter(F.col("level") == int(level))
     rows = existing.select("block_size").limit(1).collect()
     if rows and rows[0][0] is not None and list(rows[0][0]) != [int(v) for v in triple(block_size)]:
         raise ValueError(f"block size {triple(block_size)} differs from stored {rows[0][0]}")
@@ -209,6 +230,7 @@ def with_provenance(meta: DataFrame, args: dict) -> DataFrame:
 def tag_multiscale(meta: DataFrame, group: str) -> DataFrame:
     """Mark a group of scale levels as a multiscale pyramid."""
     return meta.withColumn("attrs", F.when(
-        F.col("dataset").startswith(group),
+        (F.col("dataset") == group) | F.col("dataset").startswith(group.rstrip("/") + "/")
+        | F.regexp_like(F.regexp_replace("dataset", F.lit("[0-9]+$"), F.lit("#")), F.lit("^" + re.escape(group) + "#$")),
         F.map_concat(F.coalesce(F.col("attrs"), F.create_map()),
                      F.create_map(F.lit("multiScale"), F.lit("true")))).otherwise(F.col("attrs")))
