@@ -191,7 +191,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 20.0) -> DataFrame:
         flat = [w for ws in words for w in ws]
         lens = np.array(list(map(len, flat)), np.int64)
         rows = s.words([w.lower() for w in flat])
-        labels = viterbi(s.rows, rows, sizes, penalty)
+        labels = viterbi(s.rows, rows, sizes, penalty) if langs else rows
         s.trim()
         doc = np.repeat(np.arange(len(texts)), sizes)
         mass = np.zeros((len(texts), max(1, len(langs))))
