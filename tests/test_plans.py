@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not pr
 # queries that run actions while being built (iterative loops, data-derived parameters)
 LOOPS = {"steepest_ascent", "basin_merge", "seeded_watershed_height", "seeded_watershed",
          "affinity_growth", "mutex_watershed", "watershed_stitched", "connected_components",
-         "apply_mapping"}
+         "apply_mapping", "convert_written", "rain_pipeline", "mutex_pipeline", "dt_watershed_binary"}
 BAD = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
 
 
@@ -34,3 +34,15 @@ def test_region_read_pushdown(spark, tmp_path):
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(x)" in plan or "GreaterThanOrEqual(x,4)" in plan
     assert "bz" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("name,scans", [("local_maxima", 1), ("edge_maxima", 1), ("distance_binary", 1), ("distance_sampled", 1)])
+def test_one_scan(spark, name, scans):
+    from voxelflow.plans import catalog
+    dims = catalog._extent_tuple
+    catalog._extent_tuple = lambda df: (16, 20, 50)     # the extent is an aggregate of its own
+    try:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        catalog._extent_tuple = dims
+    assert plan.count("FileScan") == scans, plan

@@ -195,3 +195,26 @@ def test_mutex_densities(spark, n, m, p_att, seed):
     e = spark.createDataFrame(edges, "n1 bigint, n2 bigint, s double, att boolean")
     got = {r.node: r.label for r in segment.mutex_watershed(nodes, e).collect()}
     assert got == seq_mutex(n, edges)
+
+
+def test_star_and_chain_components(spark, tmp_path):
+    """A star around a middle id and a long chain, with checkpoints bounded by the rounds in flight."""
+    from pyspark.sql import functions as F
+    star = spark.range(1, 20001).select(F.lit(10000).alias("e1"), F.col("id").alias("e2"))
+    got = graph.connected_components(star).agg(F.count("*").alias("n"), F.max("root").alias("r")).first()
+    assert (got.n, got.r) == (20000, 1)
+    chain = spark.range(3000).select((F.col("id") * 7 % 3000).alias("e1"), ((F.col("id") + 1) * 7 % 3000).alias("e2"))
+    got = graph.connected_components(chain).agg(F.count("*").alias("n"), F.max("root").alias("r")).first()
+    assert (got.n, got.r) == (3000, 0)
+
+
+def test_hot_keys_are_salted(spark):
+    from pyspark.sql import functions as F
+    from voxelflow.operators.skew import SALTS, hot_keys, join_unique
+    left = spark.range(5000).select(F.when(F.col("id") < 4000, F.lit(7)).otherwise(F.col("id")).alias("k"), "id")
+    left = left.unionByName(spark.range(5).select(F.lit(None).cast("bigint").alias("k"), (F.col("id") - 10).alias("id")))
+    right = spark.range(4500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = {r.id: r.v for r in join_unique(left, right, "k").collect()}
+    assert len(got) == 5005 and got[3] == 14 and got[4200] == 8400 and got[4700] is None and got[-10] is None
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    assert [r.k for r in hot_keys(counts, "k").collect()] == [7] and SALTS > 1

@@ -865,14 +865,54 @@ def q_seeded_watershed_height(spark, sf):
     return segment.flood_heights(rel, _seeds(spark, sf), _extent_tuple(rel), HB)
 
 
-@register("seeded_watershed")
+def _grow_sql() -> str:
+    """Sequential growth: in every block, step by step, the strongest edge that
+    leaves the marked set passes its marker on.  NODES(node, blk, marker) and
+    undirected EDGES(n1, n2, blk, w, t); the edge order is total."""
+    return """BOTH_ENDS AS (SELECT n1, n2, blk, w, t, least(n1, n2) AS lo, greatest(n1, n2) AS hi FROM EDGES
+      UNION ALL SELECT n2, n1, blk, w, t, least(n1, n2), greatest(n1, n2) FROM EDGES),
+GROWN AS (WITH RECURSIVE g(node, blk, marker) USING KEY (node) AS (
+    SELECT node, blk, marker FROM NODES WHERE marker <> 0
+    UNION
+    SELECT node, blk, marker FROM (
+      SELECT e.n2 AS node, e.blk, r.marker,
+             row_number() OVER (PARTITION BY e.blk ORDER BY e.w DESC, e.t DESC, e.lo DESC, e.hi DESC) AS rk
+      FROM (SELECT DISTINCT blk FROM g) live JOIN recurring.g r ON r.blk = live.blk
+      JOIN BOTH_ENDS e ON e.n1 = r.node
+      WHERE NOT EXISTS (SELECT 1 FROM recurring.g s WHERE s.node = e.n2)) q
+    WHERE rk = 1)
+  SELECT node, marker FROM g)
+SELECT NODES.x, NODES.y, NODES.z, CAST(coalesce(GROWN.marker, 0) AS BIGINT) AS label
+FROM NODES LEFT JOIN GROWN USING (node)"""
+
+
+def _block_no(p: str = "", b: int = 8) -> str:
+    return f"({p}x // {b}) * 1000000000000 + ({p}y // {b}) * 1000000 + {p}z // {b}"
+
+
+@register("seeded_watershed", with_sql(A_SQL, f"""EXT AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny FROM RELIEF),
+SEEDS AS (SELECT x, y, z, row_number() OVER (PARTITION BY x // {HB}, y // {HB}, z // {HB} ORDER BY z, y, x) AS seed
+  FROM (SELECT p.x, p.y, p.z FROM RELIEF p
+        WHERE NOT isnan(p.v) AND p.v >= 0.5 AND NOT EXISTS (
+          SELECT 1 FROM RELIEF q WHERE {_nbr_sql('p', 'q', HB)} AND NOT isnan(q.v) AND q.v > p.v)) t),
+NODES AS (SELECT x, y, z, x + nx * (y + ny * z) AS node, {_block_no(b=HB)} AS blk, coalesce(seed, 0) AS marker,
+                 CASE WHEN seed IS NULL THEN v ELSE CAST('inf' AS DOUBLE) END AS v
+          FROM RELIEF LEFT JOIN SEEDS USING (x, y, z), EXT WHERE NOT isnan(v)),
+EDGES AS (SELECT p.node AS n1, q.node AS n2, p.blk, least(p.v, q.v) AS w, greatest(p.v, q.v) AS t
+          FROM NODES p JOIN (VALUES (1, 0, 0), (0, 1, 0), (0, 0, 1)) o(dx, dy, dz) ON TRUE
+          JOIN NODES q ON q.x = p.x + dx AND q.y = p.y + dy AND q.z = p.z + dz AND q.blk = p.blk)""", _grow_sql()))
 def q_seeded_watershed(spark, sf):
-    """I3 labels (marker-rooted maximum spanning forest; rows-only check)."""
+    """I3 labels (marker-rooted maximum spanning forest)."""
     rel = fx.relief_volume(spark, sf)
     return segment.seeded_watershed(rel, _seeds(spark, sf), _extent_tuple(rel), HB)
 
 
-@register("affinity_growth")
+@register("affinity_growth", with_sql(A_SQL, f"""EXT AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny FROM AFF),
+NODES AS (SELECT x, y, z, x + nx * (y + ny * z) AS node, {_block_no(b=8)} AS blk, label AS marker FROM SEG, EXT),
+EDGES AS (SELECT p.node AS n1, q.node AS n2, p.blk, a AS w, 0.0 AS t
+          FROM AFF JOIN OFFS USING (c) JOIN NODES p ON p.x = AFF.x AND p.y = AFF.y AND p.z = AFF.z
+          JOIN NODES q ON q.x = p.x + dx AND q.y = p.y + dy AND q.z = p.z + dz AND q.blk = p.blk
+          WHERE NOT isnan(a))""", _grow_sql()))
 def q_affinity_growth(spark, sf):
     """I4: seg labels grown into their 0-voxels along affinity edges (8^3 blocks)."""
     aff = fx.edge_affinities(spark, sf)
@@ -963,3 +1003,79 @@ def q_watershed_stitched(spark, sf):
     dims = _aff_extent(spark, sf)
     return tools.stitched_watersheds(avg, dims, WB, seed_thr=0.5, merge_thr=0.5,
                                      face_thr=0.5)["block-merged"]
+
+
+# ---------------------------------------------------------------------------
+# Tools (P1, P2, P8, P9, P13) end to end
+# ---------------------------------------------------------------------------
+
+@register("average_channels", with_sql(A_SQL) + """
+, O2 AS (SELECT * FROM (VALUES (0, -1, 0, 0), (2, 0, 0, -1)) o(c, dx, dy, dz)),
+C AS (SELECT x, y, z, CASE WHEN isfinite(a) THEN a ELSE 0.0 END AS s, 1 AS own FROM AFF JOIN O2 USING (c)
+      UNION ALL
+      SELECT x + dx, y + dy, z + dz, CASE WHEN isfinite(a) THEN a ELSE 0.0 END, 0 FROM AFF JOIN O2 USING (c))
+SELECT x, y, z, sum(s) * 0.25 AS v FROM C GROUP BY x, y, z HAVING max(own) = 1""")
+def q_average_channels(spark, sf):
+    """P8 with two named channels: the divisor counts the named offsets only."""
+    from . import tools
+    return tools.average_affinities_tool(fx.edge_affinities(spark, sf), ("-1,0,0:0", "0,0,-1:2"))["averaged"]
+
+
+def _written(spark, outputs, block, names, **how):
+    """Outputs of a tool, written to the shared folder and read back."""
+    import uuid
+
+    from . import tools
+    from ..session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark)}/volumes-{uuid.uuid4().hex}"
+    tools.write_outputs(outputs, path, block, **how)
+    return [volume.read_volume(spark, path, n) for n in names]
+
+
+@register("convert_written", with_sql(V_SQL) + """
+SELECT x, y, z, label, CAST(1 AS BIGINT) AS n FROM V
+WHERE (x // 8, y // 8, z // 8) IN (SELECT (x // 8, y // 8, z // 8) FROM V WHERE label <> 0)""")
+def q_convert_written(spark, sf):
+    """Converted, empty blocks dropped, written block-addressed and read back."""
+    from . import tools
+    out = _written(spark, tools.convert_tool(fx.label_volume(spark, sf), VB), VB, ["multiset"])[0]
+    return out.select("x", "y", "z", "label", F.col("n").cast("bigint").alias("n"))
+
+
+@register("index_lists", with_sql(V_SQL) + f"""
+, U AS (SELECT DISTINCT {_blk_sql()}, label FROM V)
+SELECT label, count(*) AS blocks, CAST(sum(bx * 1000000 + by_ * 1000 + bz) AS BIGINT) AS place FROM U GROUP BY label""")
+def q_index_lists(spark, sf):
+    """F1 as lists per label: the lists' lengths and the blocks they name."""
+    u = unique.unique_labels(fx.label_volume(spark, sf), VB)
+    lists = index.box_lists(index.label_to_blocks(u, V_DIMS, VB), V_DIMS, VB)
+    box = lists.select("label", F.explode("boxes").alias("b"))
+    return box.groupBy("label").agg(
+        F.count(F.lit(1)).alias("blocks"),
+        F.sum(F.expr(f"(b.x0 div {VB}) * 1000000 + (b.y0 div {VB}) * 1000 + b.z0 div {VB}")).alias("place"))
+
+
+@register("rain_pipeline")
+def q_rain_pipeline(spark, sf):
+    """P9 end to end: dense labels of the grown basins (rows-only)."""
+    from . import tools
+    aff = fx.edge_affinities(spark, sf)
+    return tools.rain_tool(aff, OFFS, _extent_tuple(aff), WB, thr=RAIN_THR)["seeded"]
+
+
+@register("mutex_pipeline")
+def q_mutex_pipeline(spark, sf):
+    """P13 end to end with mask and glia: stitched labels (rows-only)."""
+    from . import tools
+    aff = fx.edge_affinities(spark, sf)
+    return tools.mutex_tool(aff, OFFS, _extent_tuple(aff), WB, fx.mask_volume(spark, sf), fx.glia_volume(spark, sf),
+                            thr=0.3)["merged"]
+
+
+@register("dt_watershed_binary")
+def q_dt_watershed_binary(spark, sf):
+    """P10 end to end: binary distance relief, merged by averaged affinities (rows-only)."""
+    from . import tools
+    avg = affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS)
+    return tools.dt_watersheds(avg, _aff_extent(spark, sf), WB, "binary", thr=0.45, resolution=DT_RES,
+                               merge_thr=0.5)["block-merged"]
