@@ -141,10 +141,9 @@ def marker_forest(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                    F.least("n1", "n2").alias("lo"), F.greatest("n1", "n2").alias("hi"))
     e = edges.select(F.col("n1").alias("c1"), F.col("n2").alias("c2"), key.alias("k"))
     e = e.filter(F.col("c1") != F.col("c2"))
-    comp = nodes.select("node", F.col("node").alias("comp"))
     mark = nodes.select(F.col("node").alias("comp"), "marker")
-    e, comp, mark = cut_lineage(e), cut_lineage(comp), cut_lineage(mark)
-    rnd = 0
+    e, mark = cut_lineage(e), cut_lineage(mark)
+    maps = []
     while True:
         d = e.select(F.col("c1").alias("c"), F.col("c2").alias("o"), "k").unionByName(
             e.select(F.col("c2").alias("c"), F.col("c1").alias("o"), "k"))
@@ -157,15 +156,10 @@ def marker_forest(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                            F.col("node")).otherwise(F.col("parent")).alias("parent")))
         if par.isEmpty():
             break
-        rnd += 1
         roots = pointer_jump(par, materialised=True)   # selecting component -> new id
         drop_checkpoint(par)
         m = roots.select(F.col("node").alias("comp"), F.col("root").alias("new"))
-        # comp only feeds the next round's comp: its plan grows linearly, so
-        # it is materialised every few rounds only
-        comp = comp.join(m, "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
-        if rnd % 4 == 0:
-            comp = cut_lineage(comp)
+        maps.append(m.filter(F.col("comp") != F.col("new")))
         # a merged component inherits its root's marker (the root is marked or unmarked)
         old_mark, old_e = mark, e
         mark = cut_lineage(mark.join(m.filter(F.col("comp") != F.col("new")), "comp", "left_anti"))
@@ -177,10 +171,28 @@ def marker_forest(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         e = cut_lineage(e2.groupBy(F.least("a", "b").alias("c1"), F.greatest("a", "b").alias("c2"))
                           .agg(F.max("k").alias("k")))
         drop_checkpoint(old_e)
+    comp = nodes.select("node", F.col("node").alias("comp"))
+    if maps:
+        comp = (comp.join(compose(maps), "comp", "left")
+                    .select("node", F.coalesce("new", "comp").alias("comp")))
     return comp.join(mark, "comp", "left").select("node", F.coalesce("marker", F.lit(0)).cast("bigint")
                                                   .alias("marker"))
 
 
+def compose(maps: list[DataFrame]) -> DataFrame:
+    """One map ``(comp, new)`` for maps applied in turn; a component absent from a map stays.
+
+    The maps shrink round by round, so composing them from the last to the first
+    and joining the voxels once is cheaper than joining the voxels every round.
+    """
+    out = maps[-1]
+    for m in reversed(maps[:-1]):
+        later = out.select(F.col("comp").alias("new"), F.col("new").alias("later"))
+        moved = m.join(later, "new", "left").select("comp", F.coalesce("later", "new").alias("new"))
+        out = cut_lineage(moved.unionByName(out.join(m.select("comp"), "comp", "left_anti")))
+    return out
+
+
 def relief_edges(relief: DataFrame, seeds: DataFrame, dims, block_size=None,
                  impassable_zero: bool = False) -> tuple[DataFrame, DataFrame]:
     """Nodes and 6-neighbour edges for a seeded flood over a relief.
@@ -353,8 +365,8 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         F.least("n1", "n2").alias("c1"), F.greatest("n1", "n2").alias("c2"),
         F.when(F.col("att"), key).alias("ka"), F.when(~F.col("att"), key).alias("kr"))
     e = cut_lineage(e.groupBy("c1", "c2").agg(F.max("ka").alias("ka"), F.max("kr").alias("kr")))
-    comp = cut_lineage(nodes.select("node", F.col("node").alias("comp")))
-    rnd = 0
+    comp = nodes.select("node", F.col("node").alias("comp"))
+    maps = []
     while True:
         both = e.select(F.col("c1").alias("c"), F.col("c2").alias("o"), "ka", "kr").unionByName(
             e.select(F.col("c2").alias("c"), F.col("c1").alias("o"), "ka", "kr"))
@@ -380,15 +392,12 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         chosen = cut_lineage(chosen)
         if chosen.filter(F.col("node") != F.col("parent")).isEmpty():
             break
-        rnd += 1
         roots = pointer_jump(chosen, materialised=True)
         drop_checkpoint(chosen)
         old_e = e
         m = roots.filter(F.col("node") != F.col("root")).select(
             F.col("node").alias("comp"), F.col("root").alias("new"))
-        comp = comp.join(m, "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
-        if rnd % 4 == 0:
-            comp = cut_lineage(comp)
+        maps.append(m)
         e2 = (e.join(m.select(F.col("comp").alias("c1"), F.col("new").alias("a1")), "c1", "left")
                .join(m.select(F.col("comp").alias("c2"), F.col("new").alias("a2")), "c2", "left")
                .select(F.coalesce("a1", "c1").alias("a"), F.coalesce("a2", "c2").alias("b"), "ka", "kr")
@@ -396,6 +405,9 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         e = cut_lineage(e2.groupBy(F.least("a", "b").alias("c1"), F.greatest("a", "b").alias("c2"))
                           .agg(F.max("ka").alias("ka"), F.max("kr").alias("kr")))
         drop_checkpoint(old_e)
+    if maps:
+        comp = cut_lineage(comp.join(compose(maps), "comp", "left")
+                               .select("node", F.coalesce("new", "comp").alias("comp")))
     # label = smallest node of the cluster
     small = comp.groupBy("comp").agg(F.min("node").alias("label"))
     return comp.join(small, "comp").select("node", "label")
