@@ -39,8 +39,8 @@ from . import common
 
 #: A space that starts a new piece: its neighbours are no white space.
 PIECE = re.compile(r" (?=\S)(?<=\S )")
-KEPT_PIECES = 500_000
-KEPT_TOKENS = 300_000
+KEPT_PIECES = 800_000
+KEPT_TOKENS = 400_000
 KEPT_LENGTH = 64
 
 
@@ -105,11 +105,18 @@ class Codec:
         self.name = {r: str(r) for r in ranks}
         self.kept: dict[str, tuple[int, ...]] = {}
         self.kept_tokens: dict[str, tuple[int, ...]] = {}
-        # every way to put an entry together from two entries
+        # by left part: right part -> entry, for every way to put an entry together from two
         rank = dict(zip(tokens, ranks))
         self.byte = [rank.get(bytes((x,)), -1) for x in range(256)]
-        self.pair = {(rank[t[:i]], rank[t[i:]]): r for t, r in rank.items()
-                     for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank}
+        none: dict[int, int] = {}
+        self.pairs = [none] * (max(ranks) + 1)
+        for t, r in rank.items():
+            for i in range(1, len(t)):
+                left, right = rank.get(t[:i]), rank.get(t[i:])
+                if left is not None and right is not None:
+                    if self.pairs[left] is none:
+                        self.pairs[left] = {}
+                    self.pairs[left][right] = r
 
     def rank(self, token: bytes) -> int:
         """Rank of a vocabulary entry, -1 for anything else."""
@@ -122,27 +129,35 @@ class Codec:
         Symbols are linked by position; the heap holds (rank, position) as one number.
         An entry is stale when its position is gone or now starts another pair.
         """
-        n, pair = len(b), self.pair.get
+        n, pairs = len(b), self.pairs
+        pop, push = heapq.heappop, heapq.heappush
         sym = [self.byte[x] for x in b]
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [r << 32 | i for i, r in enumerate(map(pair, zip(sym, sym[1:]))) if r is not None]
+        heap = []
+        for i in range(n - 1):
+            r = pairs[sym[i]].get(sym[i + 1])
+            if r is not None:
+                heap.append(r << 32 | i)
         heapq.heapify(heap)
-        pop, push = heapq.heappop, heapq.heappush
+        # one more position ends the list; no pair holds its symbol
+        nxt, prv = list(range(1, n + 1)), list(range(-1, n))
+        sym.append(-1)
         while heap:
             top = pop(heap)
-            r, i = top >> 32, top & 0xFFFFFFFF
-            j = nxt[i]
-            if sym[i] < 0 or j >= n or pair((sym[i], sym[j])) != r:
+            i = top & 0xFFFFFFFF
+            s, r, j = sym[i], top >> 32, nxt[i]
+            if s < 0 or pairs[s].get(sym[j]) != r:
                 continue
             sym[i], sym[j] = r, -1
             j = nxt[i] = nxt[j]
-            if j < n:
-                prv[j] = i
-                if (q := pair((r, sym[j]))) is not None:
-                    push(heap, q << 32 | i)
+            prv[j] = i
+            q = pairs[r].get(sym[j])
+            if q is not None:
+                push(heap, q << 32 | i)
             h = prv[i]
-            if h >= 0 and (q := pair((sym[h], r))) is not None:
-                push(heap, q << 32 | h)
+            if h >= 0:
+                q = pairs[sym[h]].get(r)
+                if q is not None:
+                    push(heap, q << 32 | h)
         return [x for x in sym if x >= 0]
 
     def piece(self, s: str) -> tuple[int, ...]:
