@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,23 +38,33 @@ from .quality import SCRIPT_STARTS, SCRIPTS
 WORD = re.compile(r"[^\W\d_]+")
 CELLS = 1 << 16
 GRAMS = (1, 2, 3)
-KEPT_WORDS = 300_000
-KEPT_LENGTH = 40
+KEPT_SCORES = 4_000_000   # words kept x languages
 NEVER = -1e4
 NAMES = sorted({n for _, n in SCRIPTS})
 OF_RANGE = np.array([NAMES.index(n) for _, n in SCRIPTS])
 
 
-def script(word: str) -> int:
-    i = int(np.searchsorted(SCRIPT_STARTS, ord(word[0]), side="right")) - 1
-    return int(OF_RANGE[max(i, 0)])
-
-
-def cells(word: str) -> list[int]:
-    """Hash cells of the n-grams of a word and of the word itself."""
-    w = f"<{word}>"
-    crc = zlib.crc32
-    return [crc(w[i:i + n].encode()) & 0xFFFF for n in GRAMS for i in range(len(w) - n + 1)] + [crc(w.encode()) & 0xFFFF]
+def grams(words: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Hash cells of the n-grams of all words at once, and the script of each word's first letter.
+
+    Per n the cells of all words one after another with each word's first place;
+    last the cell of every whole word.
+    """
+    c = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.array(list(map(len, words))) + 2
+    start = np.cumsum(sizes) - sizes
+    word = np.repeat(np.arange(len(words)), sizes)
+    out, h = [], c
+    for n in GRAMS:
+        if n > 1:
+            h = h[:-1] * np.uint64(0x100000001B3) + c[n - 1:]
+        own = h[word[:len(h)] == word[n - 1:]]
+        cell = (own + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)
+        out.append((cell.astype(np.int64), start - (n - 1) * np.arange(len(words))))
+    whole = np.array([zlib.crc32(w.encode()) & 0xFFFF for w in words], np.int64)
+    out.append((whole, np.arange(len(words))))
+    at = np.searchsorted(SCRIPT_STARTS, c[start + 1], side="right") - 1
+    return out, OF_RANGE[np.maximum(at, 0)]
 
 
 def fold(doc_id: str, folds: int, n: int) -> Column:
@@ -82,16 +93,20 @@ def train(rows: DataFrame, rows_per_language: int = 2000, most_languages: int =
 
     def count(batches):
         total: dict[int, np.ndarray] = {}
-        for b in batches:
+        for b in (s for b in batches for s in common.slices(b)):
+            seen: dict[int, Counter] = {}
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = total.setdefault(number[lang], np.zeros(CELLS + len(NAMES), np.int64))
-                words = [w.lower() for w in WORD.findall(text)]
-                seen: dict[str, int] = {}
-                for w in words:
-                    seen[w] = seen.get(w, 0) + 1
-                for w, k in seen.items():
-                    np.add.at(own, cells(w), k)
-                    own[CELLS + script(w)] += k
+                seen.setdefault(number[lang], Counter()).update([w.lower() for w in WORD.findall(text)])
+            for i, words in seen.items():
+                own = total.setdefault(i, np.zeros(CELLS + len(NAMES), np.int64))
+                if not words:
+                    continue
+                k = np.array(list(words.values()))
+                by, scripts = grams(list(words))
+                for cell, first in by:
+                    n = np.diff(np.append(first, len(cell)))
+                    own[:CELLS] += np.bincount(cell, np.repeat(k, n), CELLS).astype(np.int64)
+                own[CELLS:] += np.bincount(scripts, k, len(NAMES)).astype(np.int64)
         for i, own in total.items():
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i, np.int32)), pa.array(at.astype(np.int32)),
@@ -101,8 +116,8 @@ def train(rows: DataFrame, rows_per_language: int = 2000, most_languages: int =
               .groupBy("lang", "cell").agg(F.sum("n").alias("n")))
     for r in summed.toLocalIterator():
         counts[r[0], r[1]] = r[2]
-    grams, scripts = counts[:, :CELLS] + alpha, counts[:, CELLS:]
-    logp = np.log(grams / grams.sum(1, keepdims=True)).astype(np.float32)
+    smooth, scripts = counts[:, :CELLS] + alpha, counts[:, CELLS:]
+    logp = np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32)
     allowed = scripts >= least_share * np.maximum(scripts.sum(1, keepdims=True), 1)
     allowed[:, ~allowed.any(0)] = True
     return Model(langs, logp, allowed)
@@ -113,23 +128,30 @@ class Scorer:
         self.m = model
         self.number: dict[str, int] = {}
         self.rows = np.zeros((1024, len(model.langs)), np.float32)
+        self.by_cell = np.ascontiguousarray(model.logp.T)
+        self.never = np.where(model.allowed.T, 0, NEVER).astype(np.float32)
 
     def words(self, words: list[str]) -> np.ndarray:
         """Row numbers of the words' scores."""
         number = self.number
-        for w in set(words):
-            if w not in number:
-                if len(number) == len(self.rows):
-                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                s = self.m.logp[:, cells(w)].sum(1)
-                s[~self.m.allowed[:, script(w)]] = NEVER
-                self.rows[len(number)] = s - s.max()
-                number[w] = len(number)
+        new = [w for w in set(words) if w not in number]
+        if new:
+            by, scripts = grams(new)
+            s = self.never[scripts]
+            for cell, first in by:
+                s += np.add.reduceat(self.by_cell[cell], first, axis=0)
+            s -= s.max(1, keepdims=True)
+            n = len(number)
+            while n + len(new) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[n:n + len(new)] = s
+            number.update(zip(new, range(n, n + len(new))))
         return np.array(list(map(number.__getitem__, words)), np.int64)
 
     def trim(self):
-        if len(self.number) > KEPT_WORDS:
+        if len(self.number) * len(self.m.langs) > KEPT_SCORES:
             self.number.clear()
+            self.rows = self.rows[:1024]
 
 
 def viterbi(scores: np.ndarray, rows: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
