@@ -235,6 +235,32 @@ def test_licences(spark):
     assert licenses.assign(f.limit(0)).count() == 0
 
 
+def test_licences_of_wrapped_headers_and_of_texts_without_line_breaks(spark):
+    gnu = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU {}General Public License as published by",
+           "the Free Software Foundation, either version {} of the License, or", "(at your option) any later version."]
+    mpl = ["This Source Code Form is subject to the terms of the Mozilla Public", "License, v. 2.0. If a copy of the MPL was not distributed with this file."]
+    bsd = ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions are met:",
+           "1. Redistributions of source code must retain the above copyright notice,", "   this list of conditions and the following disclaimer.",
+           "2. Redistributions in binary form must reproduce the above copyright notice,", "   this list of conditions and the following disclaimer in the documentation",
+           "   and/or other materials provided with the distribution."]
+    bsd3 = bsd + ["3. Neither the name of the copyright holder nor the names of its contributors", "   may be used to endorse or promote products derived from this software",
+                  "   without specific prior written permission."]
+    prose = [f"word{i}" for i in range(400)]
+
+    def header(lines, mark, *names):
+        return "\n".join(mark + x for x in ["code before", "", *lines, "", "code after"]).format(*names)
+    one_line = " ".join(prose[:200] + ["Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."] + prose[200:])
+    rows = [(1, header(gnu, "# ", "", 3), "GPL-3.0"), (2, header(gnu, " * ", "", 2), "GPL-2.0"), (3, header(gnu, "// ", "Affero ", 3), "AGPL-3.0"),
+            (4, header(gnu, "", "Lesser ", 2.1), "LGPL-2.1"), (5, header(mpl, "// "), "MPL-2.0"), (6, header(bsd, "# "), "BSD-2-Clause"),
+            (7, header(bsd3, " * "), "BSD-3-Clause"), (8, " ".join(bsd3), "BSD-3-Clause"), (9, one_line, "Apache-2.0"),
+            (10, " ".join(prose + ["a license plate"] + prose), None), (11, " ".join(["license"] * 3000 + prose[:300] + gnu).format("", 3), "GPL-3.0"),
+            (12, "released into the public\ndomain: this is free and unencumbered software", "Unlicense"), (13, "... --", None),
+            (14, header([x.replace("the copyright holder", "Some Firm Inc.") for x in bsd3] + [" ".join(prose[:90])], " * "), "BSD-3-Clause"),
+            (15, header(bsd + [" ".join(prose[:90])], " * "), "BSD-2-Clause"), (16, None, None)]
+    f = spark.createDataFrame([(i, f"src/f{i}.c", t) for i, t, _ in rows], "id int, path string, text string")
+    assert {r.id: r.own for r in licenses.assign(f).collect()} == {i: w for i, _, w in rows}
+
+
 # ----------------------------------------------------------------------- warc
 
 def test_warc_round_trip(spark, tmp_path):
