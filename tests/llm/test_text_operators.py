@@ -56,6 +56,16 @@ def test_quality_bands_reject_the_odd_one(spark):
     assert all(got[i] for i in range(60))
 
 
+def test_quality_document_of_a_thin_band_meets_a_wider_one(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice(["ta", "re", "ing", "the", "on"]) for _ in range(rng.randrange(1, 4))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(200)), "en") for i in range(60)]
+    odd = " ".join(rng.choice(words).upper() + "%%%$$" for _ in range(120))
+    rows += [(99, odd, "en"), (100, odd, "sw"), (101, " ".join(rng.choice(words) for _ in range(200)), "sw")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert [r.doc_id for r in quality.assess(docs, VOCABULARY).filter("not kept").orderBy("doc_id").collect()] == [99, 100]
+
+
 def test_fertility_by_word_equals_whole_text_counts():
     m = quality.meter(VOCABULARY)
     words = "Thtieding. onhe haedea 12 été".encode().split()

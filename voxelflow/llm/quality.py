@@ -11,8 +11,12 @@ size class (power of two of the token count), the median and the median
 absolute deviation of each measure over *all* documents that pass the base
 rules.  A document is rejected when a measure lies more than ``width`` scaled
 deviations from the median, or beyond a fixed floor.  Size classes make the
-measures comparable: both spread and entropy depend on the length.  A band of
-fewer than ``least`` documents has no usable spread; only the floors hold there.
+measures comparable: both spread and entropy depend on the length.  A document
+whose band has fewer than ``least`` documents takes the next wider full one:
+its language over one and two neighbouring size classes to each side, then its
+script, then all documents likewise, then all documents of any size.  Only a
+table with fewer than ``least`` documents that pass has no usable spread; the
+floors alone hold there.
 
 Nulls, blanks: a null or wordless text has no words, so the base rule rejects
 it.  Null or unknown ``lang`` values use the script.  Rows with a null id and
@@ -138,6 +142,8 @@ def measure(text: str | None, m: Meter) -> tuple:
 
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens",
          "chars_per_token", "byte_share", "token_entropy")
+#: Neighbouring size classes to each side of a band, from narrow to wide.
+REACH = (0, 1, 2)
 BANDED = ("chars_per_token", "byte_share", "token_entropy")
 
 
@@ -150,15 +156,36 @@ def measures(docs: DataFrame, vocabulary: str) -> DataFrame:
         m = meter(vocabulary)
         texts = b.column("text").to_pylist()
         out = dict(zip(NAMES, map(list, zip(*[measure(t, m) for t in texts]))))
-        band = [f"{g if g else script_of(t or '')}/{n.bit_length()}"
-                for g, t, n in zip(b.column("lang").to_pylist(), texts, out["n_tokens"])]
-        return {"doc_id": b.column("doc_id"), "band": band} | out
+        script = [script_of(t or "") for t in texts]
+        band = [f"{g if g else s}/{n.bit_length()}"
+                for g, s, n in zip(b.column("lang").to_pylist(), script, out["n_tokens"])]
+        return {"doc_id": b.column("doc_id"), "band": band, "script": script} | out
     return common.map_rows(
         docs.select("doc_id", "text", lang.alias("lang")),
-        f"doc_id {kind}, band string, " + ", ".join(f"{c} bigint" for c in NAMES[:6]) + ", "
+        f"doc_id {kind}, band string, script string, " + ", ".join(f"{c} bigint" for c in NAMES[:6]) + ", "
         + ", ".join(f"{c} double" for c in NAMES[6:]), run)
 
 
+def _wide_bands(cells: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """``(cell, wide)``, the narrowest full band of each of ``cells(cell, band, script, n)``, and ``(cell, fed)``, the bands in use
+    that the cell's documents count in (28 at most)."""
+    size = F.substring_index("band", "/", -1)
+    group = F.expr("substring(band, 1, length(band) - length(substring_index(band, '/', -1)))")
+    kinds = [F.concat(F.lit("language/"), group), F.concat(F.lit("script/"), "script", F.lit("/")), F.lit("all/")]
+
+    def name(kind, r, d):
+        return F.concat(kind, (size.cast("int") + d).cast("string"), F.lit(f"/{r}"))
+    every = F.lit("all")
+    own = F.array(*[name(g, r, 0) for g in kinds for r in REACH], every)
+    meets = F.array(*[name(g, r, d) for g in kinds for r in REACH for d in range(-r, r + 1)], every)
+    met = cells.select("cell", "n", F.explode(meets).alias("wide"))
+    full = met.groupBy("wide").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("wide")
+    chosen = cut_lineage(cells.select("cell", F.posexplode(own).alias("at", "wide")).join(full, "wide")
+                              .groupBy("cell").agg(F.min(F.struct("at", "wide"))["wide"].alias("wide")))
+    fed = cut_lineage(met.join(chosen.select("wide").distinct(), "wide").groupBy("cell").agg(F.collect_list("wide").alias("fed")))
+    return chosen, fed
+
+
 def verdicts(measured: DataFrame, width: float = 5.0, least_spread: tuple = (0.015, 0.005, 0.05),
              least: int = 30, fewest_chars: float = 1.0, most_bytes: float = 0.3) -> DataFrame:
     """``measured`` with base_failed and kept; ``measured`` is read several times.
@@ -168,16 +195,19 @@ def verdicts(measured: DataFrame, width: float = 5.0, least_spread: tuple = (0.0
     ``most_bytes`` (share of byte-fallback tokens) hold in every band.
     """
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    m = measured.withColumn("base_failed", base)
+    m = measured.withColumn("base_failed", base).withColumn("cell", F.concat_ws("/", "script", "band"))
     good = m.filter(~F.col("base_failed"))
     mids, devs = [f"_m{i}" for i in range(3)], [f"_s{i}" for i in range(3)]
-    mid = cut_lineage(good.groupBy("band").agg(
+    cells = cut_lineage(good.groupBy("cell", "band", "script").agg(F.count(F.lit(1)).alias("n")))
+    chosen, fed = _wide_bands(cells, least)
+    good = join_unique(good.select("cell", *BANDED), fed, "cell", cells).select(F.explode("fed").alias("wide"), *BANDED)
+    mid = cut_lineage(good.groupBy("wide").agg(
         *[F.percentile_approx(c, 0.5, 1000).alias(o) for c, o in zip(BANDED, mids)], F.count(F.lit(1)).alias("n")))
-    far = join_unique(good, mid.drop("n"), "band", mid.select("band", "n"))
-    dev = far.groupBy("band").agg(*[F.percentile_approx(F.abs(F.col(c) - F.col(o)), 0.5, 1000).alias(d)
+    far = join_unique(good, mid.drop("n"), "wide", mid.select("wide", "n"))
+    dev = far.groupBy("wide").agg(*[F.percentile_approx(F.abs(F.col(c) - F.col(o)), 0.5, 1000).alias(d)
                                     for c, o, d in zip(BANDED, mids, devs)])
-    bands = cut_lineage(mid.filter(F.col("n") >= least).drop("n").join(dev, "band"))
-    m = join_unique(m, bands, "band")
+    bands = cut_lineage(chosen.join(mid.drop("n").join(dev, "wide"), "wide").drop("wide"))
+    m = join_unique(m, bands, "cell")
     bad = (F.col(BANDED[0]) < fewest_chars) | (F.col(BANDED[1]) > most_bytes)
     for c, o, d, e in zip(BANDED, mids, devs, least_spread):
         bad = bad | F.coalesce(F.abs(F.col(c) - F.col(o)) > width * F.greatest(1.4826 * F.col(d), F.lit(e)), F.lit(False))
