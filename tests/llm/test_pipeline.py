@@ -38,3 +38,33 @@ def test_stages_in_turn(spark):
         docs = out
     assert secret_scan.KINDS[0] == "assign"
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "simhash", "decontamination", "secrets", "bpe"]
+
+
+def test_stages_on_odd_rows(spark, odd_docs, no_docs, tmp_path):
+    """Nulls, blanks, repeated and null ids, a long text, clashing names; and an empty table."""
+    common.table(spark, SF, "benchmark").write.parquet(str(tmp_path / "benchmark.parquet"))
+    extra = {c: __import__("pyspark.sql.functions", fromlist=["lit"]).lit(c) for c in ("_row", "row", "a", "b", "stays", "_new")}
+    for df in (odd_docs, no_docs):
+        docs = df.withColumns(extra)
+        columns, n = docs.columns, docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            folder = common.shared_folder(spark, f"test-odd-{name}")
+            stage(spark, docs, str(tmp_path)).write.parquet(folder)
+            out = spark.read.parquet(folder)
+            assert out.count() <= n
+            if name != "bpe":
+                assert out.columns == columns
+            if name == "simhash":
+                # what quality kept of the odd rows: the long text, the text without id, one of the four equal ones
+                assert out.count() == len({r.text for r in docs.select("text").collect()})
+            docs, n = out, out.count()
+
+
+def test_kept_table_is_bounded():
+    kept = common.Kept(10_000)
+    for i in range(1000):
+        kept.put(b"%d" % i, b"x")
+        assert kept.get(b"0") in (b"x", None) and len(kept.young) + len(kept.old) < 200
+    assert kept.get(b"999") == b"x" and kept.get(b"1") is None
+    kept.clear()
+    assert kept.get(b"999") is None

@@ -86,6 +86,25 @@ def test_rows(spark, odd_docs, no_docs):
     assert sorted(map(str, ((r.doc_id, r.fingerprint, r.component_id) for r in got))) == \
         sorted(map(str, ((r.doc_id, f"{f:016x}", c) for r, f, c in zip(rows, fps, comp))))
     assert simhash.near_duplicates(no_docs).count() == 0
-    kept = simhash.representatives(odd_docs)
-    assert kept.columns == odd_docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, {c for c, r in zip(comp, rows) if r.doc_id is not None} | {None}))
+
+
+def test_one_row_of_each_component_stays(spark, odd_docs, no_docs):
+    """Repeated ids, null ids, exact copies and equal rows: no text that has no copy goes."""
+    a, b, c = ("alpha beta gamma delta epsilon " * 9, "one two three four five six " * 9, "red green blue black white " * 9)
+    rows = [(1, a, "x"), (1, b, "x"), (5, b, "x"), (None, c, "x"), (None, c, "x"), (None, a, "y"), (7, c, None), (None, None, "z"),
+            (None, "q r s", "z"), (None, "q r s", "w")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumns(
+        {k: __import__("pyspark.sql.functions", fromlist=["lit"]).lit(1) for k in ("_row", "row", "a", "b", "n", "stays")})
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (1, b), (7, c), (None, None), (None, "q r s")], key=str)
+    for df in (odd_docs, no_docs):
+        rows = df.select("doc_id", "text").collect()
+        fps = [brute_fp(r.text) for r in rows]
+        comp = brute_components(fps, list(range(len(rows))))
+        kept = simhash.representatives(df)
+        assert kept.columns == df.columns
+        left = kept.select("doc_id", "text").collect()
+        assert len(left) == len(set(comp))
+        assert {comp[i] for i, r in enumerate(rows) if (r.doc_id, r.text) in {(k.doc_id, k.text) for k in left}} == set(comp)

@@ -27,7 +27,6 @@ import hashlib
 import heapq
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +38,8 @@ from . import common
 
 #: A space that starts a new piece: its neighbours are no white space.
 PIECE = re.compile(r" (?=\S)(?<=\S )")
-KEPT_PIECES = 800_000
-KEPT_TOKENS = 400_000
+KEPT_PIECES = 32 << 20      # bytes, each of two generations
+KEPT_TOKENS = 12 << 20
 KEPT_LENGTH = 64
 
 
@@ -103,8 +102,9 @@ class Codec:
             self.keys[s], self.ids[s] = t, r
         self.token = dict(zip(ranks, tokens))
         self.name = {r: str(r) for r in ranks}
-        self.kept: dict[str, tuple[int, ...]] = {}
-        self.kept_tokens: dict[str, tuple[int, ...]] = {}
+        self.type = np.dtype("<u2" if max(ranks) < 1 << 16 else "<u4")
+        self.kept = common.Kept(KEPT_PIECES)
+        self.kept_tokens = common.Kept(KEPT_TOKENS)
         # by left part: right part -> entry, for every way to put an entry together from two
         rank = dict(zip(tokens, ranks))
         self.byte = [rank.get(bytes((x,)), -1) for x in range(256)]
@@ -160,37 +160,39 @@ class Codec:
                     push(heap, q << 32 | h)
         return [x for x in sym if x >= 0]
 
-    def piece(self, s: str) -> tuple[int, ...]:
-        out: list[int] = []
+    def piece(self, s: str) -> bytes:
+        out: list[bytes] = []
         kept = self.kept_tokens
         for m in self.pattern.findall(s):
             ids = kept.get(m)
             if ids is None:
                 t = m.encode("utf-8")
                 r = self.rank(t)
-                ids = (r,) if r >= 0 else tuple(self.merge(t))
+                ids = np.array([r] if r >= 0 else self.merge(t), self.type).tobytes()
                 if len(m) <= KEPT_LENGTH:
-                    if len(kept) > KEPT_TOKENS:
-                        kept.clear()
-                    kept[m] = ids
-            out += ids
-        return tuple(out)
+                    kept.put(m, ids)
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
         parts = PIECE.split(text)
         parts[1:] = [" " + p for p in parts[1:]]
         kept = self.kept
-        found = list(map(kept.get, parts))
+        found = list(map(kept.young.get, parts))
         if None in found:
-            if len(kept) > KEPT_PIECES:
-                kept.clear()
             for i, f in enumerate(found):
                 if f is None:
                     p = parts[i]
-                    found[i] = f = kept.get(p) or self.piece(p)
-                    if len(p) <= KEPT_LENGTH:
-                        kept[p] = f
-        return list(chain.from_iterable(found))
+                    found[i] = f = kept.get(p)
+                    if f is None:
+                        found[i] = f = self.piece(p)
+                        if len(p) <= KEPT_LENGTH:
+                            kept.put(p, f)
+        return np.frombuffer(b"".join(found), self.type).tolist()
+
+    def clear(self) -> None:
+        self.kept.clear()
+        self.kept_tokens.clear()
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -209,7 +211,8 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         c = codec(path, pattern)
         ids = [c.encode(t or "") for t in b.column("text").to_pylist()]
         return {"doc_id": b.column("doc_id"), "n_tokens": list(map(len, ids)), "ids": ids}
-    return common.map_rows(common.doc_text(docs), f"doc_id {kind}, n_tokens bigint, ids array<int>", run)
+    return common.map_rows(common.doc_text(docs), f"doc_id {kind}, n_tokens bigint, ids array<int>", run,
+                           done=lambda: codec(path, pattern).clear())
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -239,4 +242,5 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             out_sha.append(hashlib.sha256(c.decode(ids)).hexdigest())
         return {"doc_id": b.column("doc_id"), "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": out_sha}
     return common.map_rows(common.doc_text(docs),
-                           f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", run)
+                           f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", run,
+                           done=lambda: codec(path, pattern).clear())

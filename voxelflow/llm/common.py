@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -48,8 +48,12 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 
 def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict[str, list]],
-             col: str = "text") -> DataFrame:
-    """``fn`` over row slices of ``df``; it returns the columns of ``schema`` by name."""
+             col: str = "text", done: Callable[[], None] | None = None) -> DataFrame:
+    """``fn`` over row slices of ``df``; it returns the columns of ``schema`` by name.
+
+    ``done`` runs after a partition's last row: workers live on, and what a
+    worker has kept would stay beside the next stage's memory.
+    """
     arrow = arrow_schema(schema)
 
     def run(batches):
@@ -58,9 +62,57 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict[str
                 out = fn(s)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        if done is not None:
+            done()
     return df.mapInArrow(run, schema)
 
 
 def doc_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, text)``: the two columns an operator needs, whatever else the table holds."""
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+
+
+def row_key(cols: list[str]) -> list[Column]:
+    """Two 64-bit hashes of a row's ``cols``, named ``a`` and ``b``; which columns are null is part of both."""
+    nulls = F.concat(*[F.isnull(c).cast("int").cast("string") for c in cols])
+    return [F.xxhash64(nulls, *cols).alias("a"), F.xxhash64(F.lit(1), nulls, *cols).alias("b")]
+
+
+def keyed_rows(df: DataFrame, *cols: str) -> DataFrame:
+    """``(row, a, b, *cols)``: the whole row as a struct, its key, and the columns an operator reads.
+
+    The row's own columns are fields of ``row``, so no name of theirs can clash.
+    """
+    hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return df.select(F.struct(*df.columns).alias("row"), *row_key(hashed), *cols)
+
+
+class Kept:
+    """A bounded table of results by key, in two generations.
+
+    Once the young generation holds ``limit`` estimated bytes it becomes the
+    old one and the previous old one goes, so keys that keep coming stay.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.size = limit, 0
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value: bytes) -> None:
+        if self.size > self.limit:
+            self.old, self.young, self.size = self.young, {}, 0
+        self.young[key] = value
+        # dictionary slot and the headers of both objects
+        self.size += 180 + len(key) + len(value)
+
+    def clear(self) -> None:
+        self.young, self.old, self.size = {}, {}, 0

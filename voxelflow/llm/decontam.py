@@ -163,7 +163,7 @@ def _scan(held, chars_per_error: int, least_chars: int, arrow: pa.Schema):
 
 
 def drop_matched(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that hold no item; rows with a null id go by their own text."""
-    key = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    found = matches(key.select(F.col("_row").alias("doc_id"), "text"), items, **how)
-    return key.join(found.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that hold no item; rows are told apart by a key of the whole row, so ids may be null or repeat."""
+    keyed = common.keyed_rows(docs, "text")
+    found = matches(keyed.select(F.struct("a", "b").alias("doc_id"), "text"), items, **how).select("doc_id.a", "doc_id.b").distinct()
+    return keyed.select("row", "a", "b").join(found, ["a", "b"], "left_anti").select("row.*")

@@ -38,7 +38,7 @@ from ..operators.skew import join_unique
 from ..session import cut_lineage
 from . import common
 
-KEPT_WORDS = 600_000
+KEPT_BYTES = 24 << 20       # each of two generations
 KEPT_LENGTH = 64
 BLANKS = "\t\n\x0b\x0c\r "
 SYMBOLS = b"#*$%&|<>"
@@ -59,25 +59,21 @@ class Meter:
 
     def __init__(self, path: str):
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.byte = np.array([self.sp.is_byte(i) for i in range(self.sp.get_piece_size())])
-        self.kept: dict[bytes, tuple[int, ...]] = {}
+        size = self.sp.get_piece_size()
+        self.byte = np.array([self.sp.is_byte(i) for i in range(size)])
+        self.type = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.kept = common.Kept(KEPT_BYTES)
 
     def tokens(self, words: list[bytes]) -> np.ndarray:
         """Token ids of the words, each tokenised by itself."""
-        kept = self.kept
-        new = [w for w in set(words) if w not in kept]
-        extra = {}
-        if new:
-            if len(kept) > KEPT_WORDS:
-                kept.clear()
-                new = list(set(words))
-            for w, ids in zip(new, self.sp.encode([w.decode("utf-8") for w in new], num_threads=1)):
-                (kept if len(w) <= KEPT_LENGTH else extra)[w] = tuple(ids)
-        get = kept.get if not extra else lambda w: kept.get(w) or extra[w]
-        out: list[int] = []
-        for ids in map(get, words):
-            out += ids
-        return np.array(out, np.int64)
+        distinct = set(words)
+        found = dict(zip(distinct, map(self.kept.get, distinct)))
+        new = [w for w, ids in found.items() if ids is None]
+        for w, ids in zip(new, self.sp.encode([w.decode("utf-8") for w in new], num_threads=1)):
+            found[w] = packed = np.array(ids, self.type).tobytes()
+            if len(w) <= KEPT_LENGTH:
+                self.kept.put(w, packed)
+        return np.frombuffer(b"".join(map(found.__getitem__, words)), self.type)
 
 
 @lru_cache(maxsize=2)
@@ -163,7 +159,7 @@ def measures(docs: DataFrame, vocabulary: str) -> DataFrame:
     return common.map_rows(
         docs.select("doc_id", "text", lang.alias("lang")),
         f"doc_id {kind}, band string, script string, " + ", ".join(f"{c} bigint" for c in NAMES[:6]) + ", "
-        + ", ".join(f"{c} double" for c in NAMES[6:]), run)
+        + ", ".join(f"{c} double" for c in NAMES[6:]), run, done=lambda: meter(vocabulary).kept.clear())
 
 
 def _wide_bands(cells: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
@@ -228,10 +224,10 @@ def digest(result: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, vocabulary: str, **bands) -> DataFrame:
     """The rows of ``docs`` that pass; the decision is taken per row, so repeated rows go or stay alike.
 
-    Rows with a null id are decided by their own text through a row key.
+    Rows are told apart by a 128-bit key of the whole row, so a null or repeated id is no matter.
     """
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text", *(["lang"] if "lang" in docs.columns else [])))
-    cols = ["text"] + (["lang"] if "lang" in docs.columns else [])
-    got = assess(keyed.select(F.col("_row").alias("doc_id"), *cols), vocabulary, **bands)
-    keep = got.filter("kept").select(F.col("doc_id").alias("_row")).distinct()
-    return keyed.join(keep, "_row", "left_semi").select(docs.columns)
+    lang = "lang" if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")
+    keyed = common.keyed_rows(docs, "text", lang)
+    got = assess(keyed.select(F.struct("a", "b").alias("doc_id"), "text", "lang"), vocabulary, **bands)
+    keep = got.filter("kept").select("doc_id.a", "doc_id.b").distinct()
+    return keyed.select("row", "a", "b").join(keep, ["a", "b"], "left_semi").select("row.*")

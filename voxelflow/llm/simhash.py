@@ -276,12 +276,21 @@ def digest(result: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one row per component: its row of the smallest id.
+    """``docs`` with exactly one row per component: that of the smallest id (nulls last), then of the smallest row key.
 
-    Rows with a null id stay (nothing names the row to keep); of repeated rows
-    with the same id, one stays.
+    Components are told apart by their chosen row, not by an id, so repeated
+    or null ids lose no text.  The choice is made on slim rows; the texts meet
+    only the keys of the rows that go.  Rows that are equal in every column
+    count as one.
     """
-    found = near_duplicates(docs, shingle, radius)
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return (docs.dropDuplicates(["doc_id"]).join(keep, "doc_id", "left_semi").select(docs.columns)
-                .unionByName(docs.filter(F.col("doc_id").isNull())))
+    keyed = common.keyed_rows(docs, "doc_id", "text")
+    name = F.struct(F.isnull("doc_id").alias("missing"), F.col("doc_id").alias("id"), "a", "b")
+    found = cut_lineage(near_duplicates(keyed.select(name.alias("doc_id"), "text"), shingle, radius)
+                        .select("doc_id.a", "doc_id.b", (F.col("doc_id") == F.col("component_id")).alias("stays")))
+    left = keyed.select("row", "a", "b").join(found.filter(~F.col("stays")).select("a", "b").distinct(), ["a", "b"], "left_anti")
+    again = cut_lineage(found.filter("stays").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+                        .filter("n > 1").select("a", "b"))
+    if not again.isEmpty():
+        left = left.join(again, ["a", "b"], "left_anti").unionByName(
+            left.join(again, ["a", "b"], "left_semi").dropDuplicates(["a", "b"]))
+    return left.select("row.*")
