@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
     """``(doc_id, fp, component_id)`` of every row of ``docs(doc_id, text)``."""
     fp = cut_lineage(fingerprints(common.doc_text(docs), shingle))
     distinct = cut_lineage(fp.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
-    comp = connected_components(link_forest(distinct.select("fp"), radius), "a", "b")
+    comp = connected_components(link_forest(distinct.select("fp"), radius), "a", "b", local_edges=0)
     rooted = (distinct.join(comp.withColumnRenamed("label", "fp"), "fp", "left")
                       .withColumn("root", F.coalesce("root", "fp")))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n"))
