@@ -10,19 +10,26 @@ composed at the end.
 No vertex is a hot task: the minimum over neighbours is a hash aggregate with
 map-side combine, and the joins that rewrite edge ends go through
 ``skew.join_unique``, which deals the edges of high-degree vertices over salts.
-The edge table shrinks every round; superseded checkpoints are deleted.
+The edge table shrinks every round; superseded checkpoints are deleted.  Once it
+holds at most ``LOCAL_EDGES`` edges (a fixed bound, a few MB), one task finishes by
+union-find: the last rounds would cost more in scheduling than in work.
 
 Root of a component = its smallest label.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import cut_lineage, drop_checkpoint
 from .skew import join_unique
 
+#: Edges that one task may finish by itself.
+LOCAL_EDGES = 1 << 15
+
 
 def _orient(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Undirected edges as ``(u, v)`` with ``u > v``; self loops and duplicates dropped."""
@@ -46,13 +53,56 @@ def _jump(ptr: DataFrame) -> DataFrame:
     return join_unique(ptr, nxt, "p", n="c").select("k", F.coalesce("pp", "p").alias("p"), "n")
 
 
-def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2") -> DataFrame:
+class Forest:
+    """Union-find over hashable keys."""
+
+    def __init__(self):
+        self.parent: dict = {}
+
+    def find(self, k):
+        p = self.parent
+        p.setdefault(k, k)
+        while p[k] != k:
+            p[k] = p[p[k]]
+            k = p[k]
+        return k
+
+
+def finish_here(e: DataFrame, schema: str, rows) -> DataFrame:
+    """``rows(list of dicts)`` over all of ``e`` in one task; for tables within ``LOCAL_EDGES`` only."""
+    out = e.sparkSession.createDataFrame([], schema).schema
+    arrow = to_arrow_schema(out)
+
+    def run(batches):
+        found = rows([r for b in batches for r in b.to_pylist()])
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
+    return e.coalesce(1).mapInArrow(run, out)
+
+
+def _union(rows: list[dict]) -> list[tuple]:
+    """``(k, p)`` of the components of edges ``(u, v)``; keys may be structs."""
+    names = list(rows[0]["u"]) if rows and isinstance(rows[0]["u"], dict) else None
+    f = Forest()
+    for r in rows:
+        u, v = (tuple(r[c].values()) if names else r[c] for c in "uv")
+        u, v = f.find(u), f.find(v)
+        f.parent[max(u, v)] = min(u, v)
+    out = [(k, f.find(k)) for k in f.parent]
+    return [tuple(dict(zip(names, x)) for x in kp) for kp in out] if names else out
+
+
+def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2", local_edges: int = LOCAL_EDGES) -> DataFrame:
     """``(label, root)`` for every label that appears in ``edges``."""
     e = cut_lineage(_orient(edges, a, b))
     own = e.select(F.col("u").alias("label")).unionByName(e.select(F.col("v").alias("label"))).distinct()
     loops = edges.filter(F.col(a) == F.col(b)).select(F.col(a).alias("label")).distinct()
     first, maps = e, []
-    while not e.isEmpty():
+    while left := e.count():
+        if left <= local_edges:
+            kind = e.schema["u"].dataType.simpleString()
+            maps.append(cut_lineage(finish_here(e, f"k {kind}, p {kind}", _union)))
+            break
         one = cut_lineage(_pointers(e))
         ptr = cut_lineage(_jump(one))
         drop_checkpoint(one)
@@ -77,7 +127,7 @@ def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2") -> Data
         low = cut_lineage(reps.groupBy("r").agg(F.min("label").alias("root"), F.count(F.lit(1)).alias("n")))
         roots = cut_lineage(join_unique(reps, low.select("r", "root"), "r", low.select("r", "n"))
                             .select("label", "root"))
-        for m in (first, total, low):
+        for m in (first, e, total, low):
             drop_checkpoint(m)
     else:
         roots = roots.withColumnRenamed("r", "root")

@@ -18,7 +18,8 @@ blocks are processed by the same distributed plan:
 * ``sample_edges``: deterministic hash sampling (I8).
 
 Node ids are global linear voxel indices (B12).  Lineage is cut with reliable
-checkpoints between rounds.
+checkpoints between rounds.  Once a contracted graph holds at most
+``graph.LOCAL_EDGES`` edges (a fixed bound), one task finishes it sequentially.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.grid import AXES, floor_div, linear_index, triple
 from ..session import cut_lineage, drop_checkpoint
 from .affinity import offset_cols
+from .graph import LOCAL_EDGES, Forest, finish_here
 
 INF = float("inf")
 
@@ -128,7 +130,21 @@ def merge_basins(basins: DataFrame, edges: DataFrame, thr: float) -> DataFrame:
 # Marker-rooted maximum spanning forest (Borůvka)
 # ---------------------------------------------------------------------------
 
-def marker_forest(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _grow(rows: list[dict]) -> list[tuple]:
+    """The rest of a marker forest: edges from the strongest down, no tree gets two markers."""
+    f, mark = Forest(), {}
+    for r in rows:
+        mark[r["c1"]], mark[r["c2"]] = r["m1"], r["m2"]
+    for r in sorted(rows, key=lambda r: tuple(r["k"].values()), reverse=True):
+        a, b = f.find(r["c1"]), f.find(r["c2"])
+        if a != b and not (mark[a] and mark[b]):
+            if mark[b] or (not mark[a] and b < a):
+                a, b = b, a
+            f.parent[b] = a
+    return [(c, f.find(c)) for c in f.parent if f.find(c) != c]
+
+
+def marker_forest(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """Assign every node the marker of its tree in a maximum spanning forest
     rooted at the marked nodes.
 
@@ -145,6 +161,12 @@ def marker_forest(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     e, mark = cut_lineage(e), cut_lineage(mark)
     maps = []
     while True:
+        if e.count() <= local_edges:
+            m1, m2 = (mark.select(F.col("comp").alias("c" + i), F.col("marker").alias("m" + i)) for i in "12")
+            m = cut_lineage(finish_here(e.join(m1, "c1").join(m2, "c2"), "comp bigint, new bigint", _grow))
+            maps.append(m)
+            mark = cut_lineage(mark.join(m.select("comp"), "comp", "left_anti"))
+            break
         d = e.select(F.col("c1").alias("c"), F.col("c2").alias("o"), "k").unionByName(
             e.select(F.col("c2").alias("c"), F.col("c1").alias("o"), "k"))
         d = d.join(mark.filter(F.col("marker") == 0).select("comp").withColumnRenamed("comp", "c"), "c")
@@ -337,7 +359,30 @@ def sample_mask(keep: float) -> F.Column:
     return h < int(float(keep) * (1 << 52))
 
 
-def mutex_watershed(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _cluster(rows: list[dict]) -> list[tuple]:
+    """The rest of a mutex clustering: edges of both kinds from the strongest down."""
+    f, apart = Forest(), {}
+    # of equal edges the repulsive one comes first
+    events = [(tuple(r[k].values()), k == "kr", r["c1"], r["c2"]) for r in rows for k in ("ka", "kr") if r[k] is not None]
+    for _, repulsive, a, b in sorted(events, reverse=True):
+        a, b = f.find(a), f.find(b)
+        if a == b:
+            continue
+        if repulsive:
+            apart.setdefault(a, set()).add(b)
+            apart.setdefault(b, set()).add(a)
+        elif b not in apart.get(a, ()):
+            if len(apart.get(a, ())) < len(apart.get(b, ())):
+                a, b = b, a
+            f.parent[b] = a
+            for o in apart.pop(b, ()):
+                apart[o].discard(b)
+                apart[o].add(a)
+                apart.setdefault(a, set()).add(o)
+    return [(c, f.find(c)) for c in f.parent if f.find(c) != c]
+
+
+def mutex_watershed(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """Mutex watershed clustering by rounds; returns ``(node, label)`` with
     the smallest node id of each cluster as label.
 
@@ -368,6 +413,9 @@ def mutex_watershed(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     comp = nodes.select("node", F.col("node").alias("comp"))
     maps = []
     while True:
+        if e.count() <= local_edges:
+            maps.append(cut_lineage(finish_here(e, "comp bigint, new bigint", _cluster)))
+            break
         both = e.select(F.col("c1").alias("c"), F.col("c2").alias("o"), "ka", "kr").unionByName(
             e.select(F.col("c2").alias("c"), F.col("c1").alias("o"), "ka", "kr"))
         live = F.col("ka").isNotNull() & (F.col("kr").isNull() | (F.col("ka") > F.col("kr")))

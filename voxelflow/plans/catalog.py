@@ -920,14 +920,6 @@ def q_affinity_growth(spark, sf):
     return segment.seeded_growth(fx.seg_volume(spark, sf), aff, OFFS, dims, WB)
 
 
-@register("mutex_watershed")
-def q_mutex_watershed(spark, sf):
-    """I7 with the threshold rule (a >= 0.5 attractive), 8^3 blocks."""
-    aff = fx.edge_affinities(spark, sf)
-    dims = _extent_tuple(aff)
-    return segment.mutex_segmentation(aff, OFFS, dims, WB, thr=0.5)
-
-
 LONG_OFFS = OFFS + ((0, -3, 0),)       # channel 3 of A read as a long-range edge
 
 
@@ -990,23 +982,7 @@ def q_volume_meta(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Step 10: end-to-end compositions
-# ---------------------------------------------------------------------------
-
-@register("watershed_stitched")
-def q_watershed_stitched(spark, sf):
-    """P6 end to end on the averaged affinities: seeds, per-block flood,
-    median fragment merge, singleton removal, dense ids, face-median stitching
-    and connected components (rows-only check: labels depend on flood ties)."""
-    from . import tools
-    avg = affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS)
-    dims = _aff_extent(spark, sf)
-    return tools.stitched_watersheds(avg, dims, WB, seed_thr=0.5, merge_thr=0.5,
-                                     face_thr=0.5)["block-merged"]
-
-
-# ---------------------------------------------------------------------------
-# Tools (P1, P2, P8, P9, P13) end to end
+# Tools (P1, P8) end to end
 # ---------------------------------------------------------------------------
 
 @register("average_channels", with_sql(A_SQL) + """
@@ -1055,27 +1031,5 @@ def q_index_lists(spark, sf):
         F.sum(F.expr(f"(b.x0 div {VB}) * 1000000 + (b.y0 div {VB}) * 1000 + b.z0 div {VB}")).alias("place"))
 
 
-@register("rain_pipeline")
-def q_rain_pipeline(spark, sf):
-    """P9 end to end: dense labels of the grown basins (rows-only)."""
-    from . import tools
-    aff = fx.edge_affinities(spark, sf)
-    return tools.rain_tool(aff, OFFS, _extent_tuple(aff), WB, thr=RAIN_THR)["seeded"]
-
-
-@register("mutex_pipeline")
-def q_mutex_pipeline(spark, sf):
-    """P13 end to end with mask and glia: stitched labels (rows-only)."""
-    from . import tools
-    aff = fx.edge_affinities(spark, sf)
-    return tools.mutex_tool(aff, OFFS, _extent_tuple(aff), WB, fx.mask_volume(spark, sf), fx.glia_volume(spark, sf),
-                            thr=0.3)["merged"]
-
-
-@register("dt_watershed_binary")
-def q_dt_watershed_binary(spark, sf):
-    """P10 end to end: binary distance relief, merged by averaged affinities (rows-only)."""
-    from . import tools
-    avg = affinity.average_affinities(fx.edge_affinities(spark, sf), OFFS)
-    return tools.dt_watersheds(avg, _aff_extent(spark, sf), WB, "binary", thr=0.45, resolution=DT_RES,
-                               merge_thr=0.5)["block-merged"]
+# stored volumes, indices and the staged tools register themselves
+from . import catalog_store, catalog_tools  # noqa: E402, F401

@@ -1,8 +1,9 @@
 """The reference's tools as compositions of operators.
 
-Each tool returns its outputs as lazy DataFrames (a dict name -> DataFrame);
-``write_outputs`` writes them block-addressed (A3) and records completion
-status in the metadata table (A13).  Nothing here runs its own loop over
+Each tool is a function from frames to a dict of lazy outputs, or a list of
+stages (P6, P9-P13) that ``stages.run`` writes one by one and ``stages.compose``
+chains lazily.  ``write_outputs`` writes outputs block-addressed (A3) and records
+them in the store's ledger (A13).  Nothing here runs its own loop over
 blocks: the per-block work is expressed by the block columns in the keys.
 """
 
@@ -16,7 +17,10 @@ from pyspark.sql import functions as F
 from ..functions import attrs, grid
 from ..operators import (affinity, convert, distance, extrema, graph, index, mask, pyramid,
                          segment, stitch, unique)
+from ..sources import ledger as led
 from ..sources import volume
+from . import stages as st
+from .stages import Stage
 
 
 # ---------------------------------------------------------------------------
@@ -24,37 +28,53 @@ from ..sources import volume
 # ---------------------------------------------------------------------------
 
 def write_outputs(outputs: dict[str, DataFrame], path: str, block_size, dims=None, level: int = 0,
-                  args: dict | None = None, resolution=(1.0, 1.0, 1.0), factors: dict | None = None) -> DataFrame:
-    """Write every output volume and return the ``volumes_meta`` rows.
-
-    Outputs with voxel coordinates are written block-addressed; their rows say
-    'running' until the write has succeeded, then 'complete', with the true data
-    type, the dims (measured where not given) and the arguments.  An output of
-    one value (``.../max_id``) becomes the max id of the volume it belongs to;
-    a table without coordinates is written as plain Parquet beside the volumes.
+                  args: dict | None = None, resolution=(1.0, 1.0, 1.0), factors: dict | None = None,
+                  offset=(0.0, 0.0, 0.0), copy_from: tuple | None = None, attrs: dict | None = None,
+                  cell_bits: int = volume.CELL_BITS) -> DataFrame:
+    """Write every output and return their rows of the ledger.
+
+    The ledger says 'running' before a write and 'complete' after it, with the true data type, the
+    arguments, and what the write itself measured: extent, rows and largest label.  An output of
+    one value (``.../max_id``) is not written: it stands for the max id where nothing was left to measure.
+    A table without coordinates is written as plain Parquet beside the volumes.
     """
     spark = next(iter(outputs.values())).sparkSession
-    metas = []
+    ledger = led.Ledger(spark, path)
+    rows = []
     for name, df in outputs.items():
         if len(df.columns) == 1:
             continue
-        cols = [c for c in df.columns if c not in ("x", "y", "z")]
-        kind = df.schema[cols[0]].dataType.simpleString() if cols else "boolean"
-        voxels = {"x", "y", "z"} <= set(df.columns)
-        own = dims or (volume.extent(df).first() if voxels else (0, 0, 0))
+        row = st.write_output(ledger, df, path, name, block_size, level, args, dims, (attrs or {}).get(name),
+                              resolution=resolution, offset=offset, factors=(factors or {}).get(name), copy_from=copy_from,
+                              cell_bits=cell_bits)
         top = outputs.get(f"{name}/max_id")
-        row = volume.meta_row(spark, name, level, [v or 0 for v in own], block_size, kind, resolution,
-                              factors=(factors or {}).get(name),
-                              max_id=top.first()[0] if top is not None else None, status="running")
-        if voxels:
-            volume.write_volume(df, path, name, level, block_size, whole=True)
-        else:
-            df.write.mode("overwrite").parquet(f"{path}-tables/{name}/level={int(level)}")
-        metas.append(volume.with_provenance(volume.set_status(row, name, "complete"), args or {}))
-    out = metas[0]
-    for m in metas[1:]:
-        out = out.unionByName(m)
-    return out
+        if row["max_id"] is None and top is not None:
+            row = ledger.complete(row, max_id=top.first()[0], rows=row["rows"])
+        rows.append([row[f.name] for f in led.SCHEMA.fields])
+    return spark.createDataFrame(rows, led.SCHEMA)
+
+
+def write_pyramid(ms: DataFrame, path: str, factor_strings, block_sizes=None, max_entries=None, prev_block=64, group="pyramid",
+                  args: dict | None = None) -> DataFrame:
+    """P2 written: level ``i`` from the stored level ``i - 1``, with accumulated factors (B6) and entry cap
+    in its attributes, and the group tagged as multiscale (D5).  Returns the levels' ledger rows."""
+    spark = ms.sparkSession
+    ledger = led.Ledger(spark, path)
+    told = downsample_metadata(factor_strings, max_entries)
+    factors = [attrs.parse_factors(s) for s in factor_strings]
+    factors, blocks, caps = pyramid.normalise_pyramid_args(len(factors), factors, block_sizes, max_entries)
+    prev = grid.triple(prev_block)
+    st.write_output(ledger, ms, path, f"{group}/s0", prev_block, args=args)
+    for i, (f, b) in enumerate(zip(factors, blocks), start=1):
+        grid.check_factors(f, prev, b)
+        prev = b
+        below = volume.read_volume(spark, path, f"{group}/s{i - 1}")
+        lv = pyramid.drop_empty_blocks(pyramid.downsample_multiset(below, f, caps[i - 1] if caps else -1), b)
+        own = told[f"s{i}"]
+        st.write_output(ledger, lv, path, f"{group}/s{i}", b, args=args, factors=own["factors"],
+                        attrs={"maxNumEntries": own["max_entries"]}, copy_from=(f"{group}/s{i - 1}", 0))
+    ledger.tag_multiscale(group)
+    return ledger.latest().filter(F.col("dataset").startswith(f"{group}/"))
 
 
 # ---------------------------------------------------------------------------
@@ -129,57 +149,87 @@ def label_to_block_mapping_tool(levels: list[DataFrame], dims0, blocks, factors,
 # Watersheds with stitching
 # ---------------------------------------------------------------------------
 
+def stitched_stages(dims, block_size, seed_thr: float = -math.inf, merge_thr: float = 0.9, face_thr: float = -math.inf,
+                    impassable_zero: bool = False, seeds: str = "all", merge_rule: str = "median", relabel: bool = True,
+                    nan_value: float = -math.inf, relief: str = "relief", values: str | None = None) -> list[Stage]:
+    """A7 -> H1/H2 -> H3 -> I3 -> I5/I6 -> I9 -> J1/J3 -> J6 -> J5 -> J9, from the frame named ``relief``.
+
+    ``values``: the frame by which fragments and face contacts are merged (default: the relief).
+    """
+    d = grid.triple(dims)
+    merge = {"median": stitch.merge_fragments_median, "min": stitch.merge_fragments_min}[merge_rule]
+    by = "relief-clean" if values is None else "values-clean"
+
+    def find_seeds(rel):
+        mx = extrema.edge_only_maxima(rel, block_size, d, seed_thr) if seeds == "faces" else \
+            extrema.local_maxima(rel, seed_thr, block_size)
+        return extrema.seed_ids(mx, block_size)
+
+    def merged(ws, v):
+        return stitch.drop_singletons(stitch.merge_pairs_within_blocks(ws, merge(ws, v, block_size, merge_thr), block_size), block_size)
+
+    def mapping(dense, v):
+        e = stitch.merge_edges_median(dense, v, block_size, face_thr)
+        return graph.connected_components(e.select("e1", "e2"), "e1", "e2")
+    out = [Stage("relief-clean", (relief,), lambda r: affinity.replace_nan(r.select(*grid.AXES, "v"), "v", nan_value))]
+    if values is not None:
+        out.append(Stage("values-clean", (values,), lambda r: affinity.replace_nan(r.select(*grid.AXES, "v"), "v", -math.inf)))
+    out += [Stage("seeds", ("relief-clean",), find_seeds, {"threshold": seed_thr, "seeds": seeds}),
+            Stage("seeded-watersheds", ("relief-clean", "seeds"), lambda rel, sid: segment.seeded_watershed(
+                rel, sid.select(*grid.AXES, "seed"), d, block_size, impassable_zero)),
+            Stage("merged", ("seeded-watersheds", by), merged, {"rule": merge_rule, "threshold": merge_thr})]
+    if relabel:
+        out += [Stage("relabelled", ("merged",), lambda m: stitch.relabel_dense(m, block_size, d)),
+                Stage("mapping", ("relabelled", by), mapping, {"threshold": face_thr}),
+                Stage("block-merged", ("relabelled", "mapping"), lambda dense, m: stitch.apply_mapping(dense, m, keep_unmapped=True))]
+    return out
+
+
 def stitched_watersheds(relief: DataFrame, dims, block_size, seed_thr: float = -math.inf,
                         merge_thr: float = 0.9, face_thr: float = -math.inf,
                         impassable_zero: bool = False, seeds: str = "all",
                         merge_values: DataFrame | None = None, merge_rule: str = "median",
                         relabel: bool = True, nan_value: float = -math.inf) -> dict:
-    """P6 (and P10-P12 given a distance-transform relief):
-    A7 -> H1/H2 -> H3 -> I3 -> I5/I6 -> I9 -> J1/J3 -> J6 -> J5 -> J9 -> J10.
+    """P6 (and P10-P12 given a distance-transform relief) as lazy frames; ``max_id`` is J10.
 
     ``merge_values``: the values by which fragments and face contacts are merged
     (default: the relief).  ``merge_rule``: ``median`` (I5) or ``min`` (I6).
     ``relabel=False`` stops after the merge inside blocks.
     """
-    d = grid.triple(dims)
-    rel = affinity.replace_nan(relief.select(*grid.AXES, "v"), "v", nan_value)
-    by = rel if merge_values is None else affinity.replace_nan(merge_values.select(*grid.AXES, "v"), "v", -math.inf)
-    merge = {"median": stitch.merge_fragments_median, "min": stitch.merge_fragments_min}[merge_rule]
-    if seeds == "faces":
-        mx = extrema.edge_only_maxima(rel, block_size, d, seed_thr)
-    else:
-        mx = extrema.local_maxima(rel, seed_thr, block_size)
-    sid = extrema.seed_ids(mx, block_size)
-    ws = segment.seeded_watershed(rel, sid.select(*grid.AXES, "seed"), d, block_size, impassable_zero)
-    pairs = merge(ws, by, block_size, merge_thr)
-    merged = stitch.merge_pairs_within_blocks(ws, pairs, block_size)
-    merged = stitch.drop_singletons(merged, block_size)
-    if not relabel:
-        return {"seeds": sid, "seeded-watersheds": ws, "merged": merged}
-    dense = stitch.relabel_dense(merged, block_size, d)
-    edges = stitch.merge_edges_median(dense, by, block_size, face_thr)
-    mapping = graph.connected_components(edges.select("e1", "e2"), "e1", "e2")
-    final = stitch.apply_mapping(dense, mapping, keep_unmapped=True)
-    return {"seeds": sid, "seeded-watersheds": ws, "merged": merged, "relabelled": dense,
-            "block-merged": final, "max_id": stitch.max_label_id(final)}
+    given = {"relief": relief} | ({} if merge_values is None else {"values": merge_values})
+    out = st.compose(stitched_stages(dims, block_size, seed_thr, merge_thr, face_thr, impassable_zero, seeds, merge_rule,
+                                     relabel, nan_value, values="values" if merge_values is not None else None), given)
+    keep = ("seeds", "seeded-watersheds", "merged", "relabelled", "block-merged")
+    out = {k: v for k, v in out.items() if k in keep}
+    if relabel:
+        out["max_id"] = stitch.max_label_id(out["block-merged"])
+    return out
+
+
+def dt_stages(dims, block_size, kind: str = "binary", thr: float = 0.9, weight: float = 0.01, resolution=(1.0, 1.0, 1.0),
+              seed_dist: float = 0.0, seeds: str = "all", merge_thr: float = -math.inf, merge_rule: str = "median",
+              relabel: bool = True) -> list[Stage]:
+    """Distance-transform relief (H5 or H6) of the frame ``affinities``, then the P6 chain with
+    relief 0 and NaN impassable; ``seeds='faces'`` seeds on block faces only (H2).
+    Fragments and faces merge by the averaged affinities, not by distances."""
+    def distances(aff):
+        if kind == "binary":
+            return distance.distance_transform_binary(aff, thr, dims, tuple(float(r) ** 2 for r in grid.triple(resolution)))
+        return distance.distance_transform_sampled(aff, dims, distance.sampled_weights(resolution, weight))
+    told = {"kind": kind, "resolution": list(grid.triple(resolution))} | ({"threshold": thr} if kind == "binary" else {"weight": weight})
+    return [Stage("distance-transform", ("affinities",), distances, told)] + stitched_stages(
+        dims, block_size, seed_dist, merge_thr, merge_thr, True, seeds, merge_rule, relabel, math.nan, "distance-transform", "affinities")
 
 
 def dt_watersheds(aff_avg: DataFrame, dims, block_size, kind: str = "binary", thr: float = 0.9,
                   weight: float = 0.01, resolution=(1.0, 1.0, 1.0), seed_dist: float = 0.0,
                   seeds: str = "all", merge_thr: float = -math.inf, merge_rule: str = "median",
                   relabel: bool = True) -> dict:
-    """Distance-transform relief (H5 or H6), then the P6 chain with
-    relief 0 and NaN impassable; ``seeds='faces'`` seeds on block faces only (H2).
-    Fragments and faces merge by the averaged affinities, not by distances."""
-    if kind == "binary":
-        w = tuple(float(r) ** 2 for r in grid.triple(resolution))
-        rel = distance.distance_transform_binary(aff_avg, thr, dims, w)
-    else:
-        rel = distance.distance_transform_sampled(aff_avg, dims, distance.sampled_weights(resolution, weight))
-    out = stitched_watersheds(rel, dims, block_size, seed_dist, merge_thr, merge_thr,
-                              impassable_zero=True, seeds=seeds, merge_values=aff_avg,
-                              merge_rule=merge_rule, relabel=relabel, nan_value=math.nan)
-    out["distance-transform"] = rel
+    """``dt_stages`` as lazy frames."""
+    out = st.compose(dt_stages(dims, block_size, kind, thr, weight, resolution, seed_dist, seeds, merge_thr, merge_rule, relabel),
+                     {"affinities": aff_avg})
+    if relabel:
+        out["max_id"] = stitch.max_label_id(out["block-merged"])
     return out
 
 
@@ -187,16 +237,28 @@ def dt_watersheds(aff_avg: DataFrame, dims, block_size, kind: str = "binary", th
 # Masks and averaged affinities
 # ---------------------------------------------------------------------------
 
-def prediction_mask_tool(input_mask: DataFrame, out_extent: DataFrame, net_out_world,
+def prediction_mask_tool(input_mask: DataFrame | None, out_extent: DataFrame | None, net_out_world,
                          in_res, out_res, in_off=(0, 0, 0), out_off=(0, 0, 0),
-                         net_in_world=None) -> dict:
+                         net_in_world=None, in_extent: DataFrame | None = None) -> dict:
     """Output block = network output size / output resolution; padding =
-    half the network's input/output size difference (B14 -> G5)."""
+    half the network's input/output size difference (B14 -> G5).
+
+    Without ``input_mask`` the input is 1 inside ``in_extent``.  Without ``out_extent`` the output covers
+    the input's world size, snapped up to whole network outputs.
+    """
     block = tuple(int(round(float(n) / float(r))) for n, r in zip(grid.triple(net_out_world), grid.triple(out_res)))
     if net_in_world is None:
         pad = (0.0, 0.0, 0.0)
     else:
         pad = tuple((float(i) - float(o)) / 2 for i, o in zip(grid.triple(net_in_world), grid.triple(net_out_world)))
+    if in_extent is None and (input_mask is None or out_extent is None):
+        if input_mask is None:
+            raise ValueError("an input mask or its dims are required")
+        in_extent = volume.extent(input_mask)
+    if out_extent is None:
+        out_extent = mask.snapped_extent(in_extent, in_res, out_res, net_out_world)
+    if input_mask is None:
+        return {"mask": mask.prediction_mask_dims(in_extent, out_extent, block, in_res, out_res, in_off, out_off, pad)}
     return {"mask": mask.prediction_mask(input_mask, out_extent, block, in_res, out_res, in_off, out_off, pad)}
 
 
@@ -218,42 +280,70 @@ def average_affinities_tool(aff: DataFrame, offset_specs=("-1,0,0", "0,-1,0", "0
 # Rain watershed;  P13: mutex watershed
 # ---------------------------------------------------------------------------
 
-def rain_tool(aff: DataFrame, offsets, dims, block_size, thr: float = 0.9, min_aff: float = -math.inf,
-              min_size: int = -1, invert: bool = False, relabel: bool = True) -> dict:
-    """A8 -> G7 -> G6 -> I1 -> I2 -> I10 -> H4 -> I4 -> J1/J2.
+def rain_stages(offsets, dims, block_size, thr: float = 0.9, min_aff: float = -math.inf, min_size: int = -1,
+                invert: bool = False, relabel: bool = True) -> list[Stage]:
+    """P9 from the frame ``affinities``: A8 -> G7 -> G6 -> I1 -> I2 -> I10 -> H4 -> I4 -> J1/J2.
 
     A basin's label is its root's voxel index plus 1, since 0 is background.
     With ``relabel`` all four label outputs get dense ids, block by block.
     """
     d = grid.triple(dims)
-    a = affinity.invert_channels(aff, len(offsets)) if invert else aff
-    a = affinity.invalidate_cross_block(a, offsets, block_size)
-    sym = affinity.symmetric_affinities(a, offsets)
-    sym_offs = affinity.symmetric_offsets(offsets)
-    edges = segment.voxel_edges(sym, sym_offs, d, block_size, min_aff)
-    nodes = a.select(grid.linear_index(d).alias("node")).distinct()
-    basins = segment.steepest_ascent(nodes, edges)
-    merged = segment.merge_basins(basins, edges, thr)
-    to_xyz = segment._node_to_xyz
-    ws = to_xyz(basins.select("node", (F.col("root") + 1).alias("label")), d)
-    mg = to_xyz(merged.select("node", (F.col("root") + 1).alias("label")), d)
-    sized = stitch.size_filter(mg, block_size, min_size)
-    seeds = extrema.boundary_seeds(sized, offsets, d)
-    grown = segment.seeded_growth(sized, a, offsets, d, block_size)
-    out = {"watersheds": ws, "merged": mg, "size-filtered": sized, "seeded": grown}
+    raw = "raw-" if relabel else ""
+
+    def valid(aff):
+        return affinity.invalidate_cross_block(affinity.invert_channels(aff, len(offsets)) if invert else aff, offsets, block_size)
+
+    def edges(a):
+        return segment.voxel_edges(affinity.symmetric_affinities(a, offsets), affinity.symmetric_offsets(offsets), d, block_size, min_aff)
+
+    def labelled(basins):
+        return segment._node_to_xyz(basins.select("node", (F.col("root") + 1).alias("label")), d)
+
+    def merged(ws, e):
+        return labelled(segment.merge_basins(ws.select(grid.linear_index(d).alias("node"), (F.col("label") - 1).alias("root")), e, thr))
+    out = [Stage("valid", ("affinities",), valid, {"invert": invert}),
+           Stage("edges", ("valid",), edges, {"least": min_aff}),
+           Stage(raw + "watersheds", ("valid", "edges"), lambda a, e: labelled(
+               segment.steepest_ascent(a.select(grid.linear_index(d).alias("node")).distinct(), e))),
+           Stage(raw + "merged", (raw + "watersheds", "edges"), merged, {"threshold": thr}),
+           Stage(raw + "size-filtered", (raw + "merged",), lambda m: stitch.size_filter(m, block_size, min_size), {"least": min_size}),
+           Stage("seeds", (raw + "size-filtered",), lambda m: extrema.boundary_seeds(m, offsets, d)),
+           Stage(raw + "seeded", (raw + "size-filtered", "valid"), lambda m, a: segment.seeded_growth(m, a, offsets, d, block_size))]
     if relabel:
-        out = {k: stitch.relabel_dense(v, block_size, d) for k, v in out.items()}
-    return out | {"seeds": seeds}
+        out += [Stage(k, (raw + k,), lambda v: stitch.relabel_dense(v, block_size, d))
+                for k in ("watersheds", "merged", "size-filtered", "seeded")]
+    return out
+
+
+def rain_tool(aff: DataFrame, offsets, dims, block_size, thr: float = 0.9, min_aff: float = -math.inf,
+              min_size: int = -1, invert: bool = False, relabel: bool = True) -> dict:
+    """``rain_stages`` as lazy frames: watersheds, merged, size-filtered, seeds, seeded."""
+    out = st.compose(rain_stages(offsets, dims, block_size, thr, min_aff, min_size, invert, relabel), {"affinities": aff})
+    return {k: out[k] for k in ("watersheds", "merged", "size-filtered", "seeded", "seeds")}
+
+
+def mutex_stages(offsets, dims, block_size, mask: bool = False, glia: bool = False, thr: float | None = None,
+                 keep_long: float = 0.01) -> list[Stage]:
+    """P13 from the frames ``affinities``, ``mask`` and ``glia``: G8 -> I8 -> I7 -> I9 -> J1/J3 -> J7 -> J5 -> J9."""
+    d = grid.triple(dims)
+    more = tuple(n for n, there in (("mask", mask), ("glia", glia)) if there)
+
+    def weighted(aff, *extra):
+        got = dict(zip(more, extra))
+        return affinity.weight_edges(aff, offsets, got.get("mask"), got.get("glia"))
+    return [Stage("weighted", ("affinities", *more), weighted),
+            Stage("mutex", ("weighted",), lambda a: stitch.drop_singletons(
+                segment.mutex_segmentation(a, offsets, d, block_size, thr, keep_long), block_size),
+                {"threshold": thr, "keep": keep_long}),
+            Stage("relabelled", ("mutex",), lambda m: stitch.relabel_dense(m, block_size, d)),
+            Stage("mapping", ("relabelled",), lambda m: graph.connected_components(
+                stitch.merge_edges_mutual_argmax(m, block_size), "e1", "e2")),
+            Stage("merged", ("relabelled", "mapping"), lambda m, cc: stitch.apply_mapping(m, cc, True))]
 
 
 def mutex_tool(aff: DataFrame, offsets, dims, block_size, mask_df: DataFrame | None = None,
                glia: DataFrame | None = None, thr: float | None = None, keep_long: float = 0.01) -> dict:
-    """G8 -> I8 -> I7 -> I9 -> J1/J3 -> J7 -> J5 -> J9."""
-    d = grid.triple(dims)
-    a = affinity.weight_edges(aff, offsets, mask_df, glia)
-    raw = segment.mutex_segmentation(a, offsets, d, block_size, thr, keep_long)
-    raw = stitch.drop_singletons(raw, block_size)
-    dense = stitch.relabel_dense(raw, block_size, d)
-    edges = stitch.merge_edges_mutual_argmax(dense, block_size)
-    mapping = graph.connected_components(edges, "e1", "e2")
-    return {"mutex": raw, "relabelled": dense, "merged": stitch.apply_mapping(dense, mapping, True)}
+    """``mutex_stages`` as lazy frames: mutex, relabelled, merged."""
+    given = {"affinities": aff} | {k: v for k, v in (("mask", mask_df), ("glia", glia)) if v is not None}
+    out = st.compose(mutex_stages(offsets, dims, block_size, mask_df is not None, glia is not None, thr, keep_long), given)
+    return {k: out[k] for k in ("mutex", "relabelled", "merged")}

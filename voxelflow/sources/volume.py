@@ -1,21 +1,30 @@
 """Volume storage: voxel tables in Parquet plus a ``volumes_meta`` table.
 
 A volume is a Parquet dataset of one row per (sparse) voxel; an absent voxel is
-background.  Writes are block-addressed: rows are partitioned by
-``dataset/level/bz`` and written with dynamic partition overwrite, so a rerun
-replaces exactly the block slabs it produced (A3).  Region reads are filters on
-``x, y, z`` (and the ``bz`` partition column when present), which Catalyst
-pushes into the Parquet scan as ``PushedFilters`` / ``PartitionFilters`` (A2).
+background.  Blocks are stored in bit-interleaved (Morton) order
+(``functions.morton``): a level's rows are partitioned by ``cell``, a cube of
+``2^cell_bits`` blocks per axis, and by ``bz`` inside it, and sorted by the
+block's key.
+
+* Writes are block-addressed (A3): the blocks of a write are replaced, other
+  blocks of the partitions it meets are carried over in the same write, other
+  partitions keep their files.
+* Region reads (A2) turn the box into a few ranges of cells, which prune
+  partitions on all three axes, and of block keys, which prune row groups; the exact
+  ``x, y, z`` bounds reach the scan as well.
+
+The durable metadata of a store is its ledger, see ``sources.ledger``.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import morton
 from ..functions.grid import AXES, BLOCK_COLS, block_box, floor_div, triple
 
 META_SCHEMA = T.StructType([
@@ -95,57 +104,113 @@ def world_shift(offset, resolution) -> tuple:
 # Parquet I/O (A1, A3)
 # ---------------------------------------------------------------------------
 
-def write_volume(vol: DataFrame, path: str, dataset: str, level: int, block_size,
-                 mode: str = "overwrite", whole: bool = False) -> None:
-    """A3: block-addressed write of one dataset level; each written ``bz`` slab replaces its old files.
+#: A cell is a cube of 2^CELL_BITS blocks per axis.
+CELL_BITS = 3
+PLACE = ("cell", "bz")
 
-    Rows are range-partitioned on the block key so every task writes whole,
-    contiguous blocks; dynamic partition overwrite leaves untouched slabs alone.
-    With ``whole`` the rows are the whole level: slabs of an earlier run that get
-    no rows any more are deleted after the write.
+
+def level_path(path: str, dataset: str, level: int) -> str:
+    return f"{path}/dataset={dataset.replace('/', '%2F')}/level={int(level)}"
+
+
+def _placed(vol: DataFrame, block_size, cell_bits: int) -> DataFrame:
+    """``vol`` with its block, the block's key, and its cell."""
+    out = vol.withColumns({bc: floor_div(a, bi) for a, bc, bi in zip(AXES, BLOCK_COLS, triple(block_size))})
+    out = out.withColumn("key", morton.key())
+    return out.withColumn("cell", morton.cell(F.col("key"), cell_bits))
+
+
+def write_volume(vol: DataFrame, path: str, dataset: str, level: int, block_size, mode: str = "overwrite", whole: bool = False,
+                 blocks: DataFrame | None = None, cell_bits: int = CELL_BITS) -> dict:
+    """A3: block-addressed write of one dataset level; returns metrics of the rows written.
+
+    The blocks of ``blocks(bx, by_, bz)`` (default: those that ``vol`` has rows in) are
+    replaced; a block without rows any more disappears.  Their partitions
+    are rewritten with the other blocks carried over, in one job; all others are left alone.
+    With ``whole`` the rows are the whole level: partitions of an earlier run that get no
+    rows any more are deleted after the write.
+
+    Metrics (``DataFrame.observe``, so no second scan): ``rows``, the extent ``nx, ny, nz``,
+    and ``max_label`` where the volume has labels.
     """
-    b = triple(block_size)
-    out = vol.withColumns({bc: floor_div(a, bi) for a, bc, bi in zip(AXES, BLOCK_COLS, b)})
-    out = (out.withColumn("dataset", F.lit(dataset)).withColumn("level", F.lit(int(level)))
-              .repartitionByRange(F.col("bz"), F.col("by_"), F.col("bx"))
-              .sortWithinPartitions("bz", "by_", "bx", "z", "y", "x"))
-    before = _slabs(vol.sparkSession, path, dataset, level) if whole else []
-    (out.drop("bx", "by_").write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dataset", "level", "bz").parquet(path))
-    for fs, slab, stamp in before:
-        # a slab that was written anew has files younger than those listed before
-        if fs.exists(slab) and _youngest(fs, slab) == stamp:
-            fs.delete(slab, True)
-
-
-def _youngest(fs, slab) -> tuple:
-    return tuple(sorted(f.getPath().getName() for f in fs.listStatus(slab)))
-
-
-def _slabs(spark: SparkSession, path: str, dataset: str, level: int) -> list:
-    """(file system, folder, file names) of every stored slab of a dataset level."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dataset={dataset.replace('/', '%2F')}/level={int(level)}")
+    spark = vol.sparkSession
+    out = _placed(vol, block_size, cell_bits)
+    stored = _partitions(spark, path, dataset, level)
+    met = stored
+    if stored and not whole:
+        own = _placed_blocks(blocks, cell_bits) if blocks is not None else out.select(*BLOCK_COLS, "cell").distinct()
+        # one row per partition that the write meets, of those that exist
+        hit = {(r[0], r[1]) for r in own.select("cell", "bz").distinct().collect()}
+        met = {k: v for k, v in stored.items() if k in hit}
+        if met:
+            old = _open(spark, path, dataset, level).filter(F.col("cell").isin(sorted({c for c, _ in met})))
+            old = old.withColumns({bc: floor_div(a, bi) for a, bc, bi in zip(AXES, BLOCK_COLS, triple(block_size))})
+            kept = (old.join(F.broadcast(own.select("cell", "bz").distinct()), ["cell", "bz"], "left_semi")
+                       .join(own.select(*BLOCK_COLS), list(BLOCK_COLS), "left_anti"))
+            out = out.unionByName(kept.select(out.columns))
+    seen = Observation()
+    found = [F.count(F.lit(1)).alias("rows"), *[(F.max(a) + 1).cast("bigint").alias("n" + a) for a in AXES]]
+    if "label" in vol.columns:
+        found.append(F.max("label").alias("max_label"))
+    out = (out.drop("bx", "by_").withColumn("dataset", F.lit(dataset)).withColumn("level", F.lit(int(level)))
+              .hint("rebalance", "cell", "bz").observe(seen, *found).sortWithinPartitions("cell", "bz", "key", "z", "y", "x"))
+    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset", "level", *PLACE).parquet(path))
+    for fs, folder, names in met.values():
+        # a partition that was written anew has other files than those listed before
+        if fs.exists(folder) and _names(fs, folder) == names:
+            fs.delete(folder, True)
+    return seen.get
+
+
+def _placed_blocks(blocks: DataFrame, cell_bits: int) -> DataFrame:
+    return blocks.select(*BLOCK_COLS, morton.cell(morton.key(), cell_bits).alias("cell")).distinct()
+
+
+def _names(fs, folder) -> tuple:
+    return tuple(sorted(f.getPath().getName() for f in fs.listStatus(folder)))
+
+
+def _partitions(spark: SparkSession, path: str, dataset: str, level: int) -> dict:
+    """``{(cell, bz): (file system, folder, file names)}`` of every stored partition of a dataset level."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(level_path(path, dataset, level))
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        return []
-    return [(fs, s.getPath(), _youngest(fs, s.getPath())) for s in fs.listStatus(p) if s.isDirectory()]
+        return {}
+    out = {}
+    for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(p, "cell=*/bz=*")):
+        f = s.getPath()
+        at = tuple(int(n.split("=")[1]) for n in (f.getParent().getName(), f.getName()))
+        out[at] = (fs, f, _names(fs, f))
+    return out
+
+
+def _open(spark: SparkSession, path: str, dataset: str, level: int) -> DataFrame:
+    """The stored rows of one dataset level; only its folder is listed, and its files give the schema."""
+    df = spark.read.option("basePath", path).parquet(level_path(path, dataset, level))
+    return df.filter((F.col("dataset") == dataset) & (F.col("level") == int(level)))
 
 
 def read_volume(spark: SparkSession, path: str, dataset: str, level: int = 0,
-                lo=None, hi=None, block_size=None) -> DataFrame:
-    """A1 (+ A2): open one dataset level; partition filters prune the other
-    datasets.  With a region ``[lo, hi]`` and the stored block size, the
-    z-slab partitions outside the region are pruned (``PartitionFilters`` on
-    ``bz``) and the x/y/z bounds are pushed into the Parquet scan."""
-    df = spark.read.parquet(path)
-    df = df.filter((F.col("dataset") == dataset) & (F.col("level") == int(level)))
+                lo=None, hi=None, block_size=None, cell_bits: int = CELL_BITS) -> DataFrame:
+    """A1 (+ A2): open one dataset level; partition filters prune the other datasets.
+
+    With a region ``[lo, hi]`` and the stored block size, ``bz`` and the ranges of
+    cells that the box meets prune partitions (``PartitionFilters``), ranges of
+    block keys and the x/y/z bounds are pushed into the Parquet scan.
+    ``sources.ledger.open_volume`` takes block size and cell size from the store.
+    """
+    df = _open(spark, path, dataset, level)
     if lo is not None and hi is not None:
         if block_size is not None:
-            bz = int(triple(block_size)[2])
-            zlo, zhi = int(triple(lo)[2]), int(triple(hi)[2])
-            df = df.filter(F.col("bz").between(zlo // bz, zhi // bz))
+            b = triple(block_size)
+            first = [int(l) // int(bi) for l, bi in zip(triple(lo), b)]
+            last = [int(h) // int(bi) for h, bi in zip(triple(hi), b)]
+            df = df.filter(F.col("bz").between(first[2], last[2]))
+            df = df.filter(morton.in_ranges("cell", morton.ranges(first, last, cell_bits)))
+            df = df.filter(morton.in_ranges("key", morton.ranges(first, last)))
         df = read_region(df, lo, hi)
-    return df.drop("dataset", "level", "bz")
+    return df.drop("dataset", "level", "key", *PLACE)
 
 
 # ---------------------------------------------------------------------------
