@@ -40,7 +40,7 @@ def floor_div(c, k: int) -> Column:
     if k == 1:
         return col_of(c).cast("bigint")
     c = col_of(c)
-    return ((c - F.pmod(c, F.lit(k))) / F.lit(k)).cast("bigint")
+    return F.call_function("div", c - F.pmod(c, F.lit(k)), F.lit(k)).cast("bigint")     # integral: exact beyond 2^53
 
 
 def block_position(df: DataFrame, block_size, axes=AXES) -> DataFrame:
@@ -147,3 +147,41 @@ def expand_box(lo, hi, halo) -> tuple:
     """Inclusive box grown by ``halo`` voxels per axis."""
     return (tuple(int(l) - int(h) for l, h in zip(triple(lo), triple(halo))),
             tuple(int(u) + int(h) for u, h in zip(triple(hi), triple(halo))))
+
+
+def aligned_block_cols(b_in, b_out) -> list[Column]:
+    """``input_aligned_block`` of columns, one per axis."""
+    return [(F.greatest(F.round(col_of(i) / col_of(o)), F.lit(1)).cast("bigint") * col_of(o)).cast("bigint")
+            for i, o in zip(b_in, b_out)]
+
+
+def factors_ok(factors, prev_block, cur_block) -> Column:
+    """``check_factors`` as a predicate over columns."""
+    ok = F.lit(True)
+    for f, p, c in zip(factors, prev_block, cur_block):
+        ok = ok & (col_of(f) >= 1) & (F.pmod(col_of(c) * col_of(f), col_of(p)) == 0)
+    return ok
+
+
+def task_boxes(extent: DataFrame, block_size, blocks_per_task, factors=1, halo=0) -> DataFrame:
+    """Which stored blocks every task of a downsampling or halo step has to read.
+
+    ``extent``: one row ``(nx, ny, nz)``, the source's dims.  A task is a box of ``blocks_per_task`` blocks of the
+    target (dims divided by ``factors``).  One row per task and source block: the task ``tx, ty, tz``, its target box
+    ``x0..z1`` (clipped to the target), the source box ``sx0..sz1`` that covers it (times the factors, grown by ``halo``
+    voxels, clipped to the source), and ``bx, by_, bz`` of a source block that this box meets.
+    """
+    b, t, f, h = (triple(v) for v in (block_size, blocks_per_task, factors, halo))
+    out = extent.select(*["n" + a for a in AXES])
+    for a, bc, bi, ti, fi, hi in zip(AXES, BLOCK_COLS, b, t, f, h):
+        n, size = F.col("n" + a), int(bi) * int(ti)
+        target = F.ceil(n / F.lit(int(fi))).cast("bigint")
+        last = floor_div(target + (size - 1), size) - 1
+        out = out.withColumn("t" + a, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        at = F.col("t" + a)
+        out = out.withColumns({a + "0": at * size, a + "1": F.least(at * size + (size - 1), target - 1)})
+        out = out.withColumns({"s" + a + "0": F.greatest(F.col(a + "0") * int(fi) - int(hi), F.lit(0)).cast("bigint"),
+                               "s" + a + "1": F.least((F.col(a + "1") + 1) * int(fi) - 1 + int(hi), n - 1).cast("bigint")})
+    for a, bc, bi in zip(AXES, BLOCK_COLS, b):
+        out = out.withColumn(bc, F.explode(F.sequence(floor_div("s" + a + "0", bi), floor_div("s" + a + "1", bi))))
+    return out.drop(*["n" + a for a in AXES])

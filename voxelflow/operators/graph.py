@@ -93,11 +93,11 @@ def _union(rows: list[dict]) -> list[tuple]:
 
 
 def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2", local_edges: int = LOCAL_EDGES) -> DataFrame:
-    """``(label, root)`` for every label that appears in ``edges``."""
-    e = cut_lineage(_orient(edges, a, b))
+    """``(label, root)`` for every label that appears in ``edges``; ``edges`` are read once."""
+    every = cut_lineage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    e = first = every.filter(F.col("u") != F.col("v"))
     own = e.select(F.col("u").alias("label")).unionByName(e.select(F.col("v").alias("label"))).distinct()
-    loops = edges.filter(F.col(a) == F.col(b)).select(F.col(a).alias("label")).distinct()
-    first, maps = e, []
+    maps = []
     while left := e.count():
         if left <= local_edges:
             kind = e.schema["u"].dataType.simpleString()
@@ -115,7 +115,8 @@ def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2", local_e
         if e is not first:
             drop_checkpoint(e)
         e = new
-    roots = own.select(F.col("label"), F.col("label").alias("r"))
+    roots = own.select("label", F.col("label").alias("root"))
+    held = [every, e]
     if maps:
         total = maps[-1].select("k", "p")
         for m in reversed(maps[:-1]):
@@ -125,11 +126,11 @@ def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2", local_e
             drop_checkpoint(m)
         reps = total.select(F.col("k").alias("label"), F.col("p").alias("r"))
         low = cut_lineage(reps.groupBy("r").agg(F.min("label").alias("root"), F.count(F.lit(1)).alias("n")))
-        roots = cut_lineage(join_unique(reps, low.select("r", "root"), "r", low.select("r", "n"))
-                            .select("label", "root"))
-        for m in (first, e, total, low):
-            drop_checkpoint(m)
-    else:
-        roots = roots.withColumnRenamed("r", "root")
-    alone = loops.join(roots.select("label"), "label", "left_anti")
-    return roots.unionByName(alone.select("label", F.col("label").alias("root")))
+        roots = join_unique(reps, low.select("r", "root"), "r", low.select("r", "n")).select("label", "root")
+        held += [total, low]
+    loops = every.filter(F.col("u") == F.col("v")).select(F.col("u").alias("label"))
+    alone = loops.join(own, "label", "left_anti").select("label", F.col("label").alias("root"))
+    out = cut_lineage(roots.unionByName(alone))
+    for m in held:
+        drop_checkpoint(m)
+    return out

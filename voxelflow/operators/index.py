@@ -50,11 +50,19 @@ def boxes_binary(lists: DataFrame) -> DataFrame:
                         .alias("data"))
 
 
+def boxes_from_binary(records: DataFrame) -> DataFrame:
+    """The boxes of A15 records: ``(label, x0..z1)``, one row per box."""
+    at = F.explode(F.sequence(F.lit(0), (F.length("data") / 48).cast("int") - 1)).alias("at")
+    word = [F.conv(F.hex(F.substring("data", F.col("at") * 48 + 8 * i + 1, F.lit(8))), 16, -10).cast("bigint").alias(c)
+            for i, c in enumerate(BOX_COLS)]
+    return records.filter(F.length("data") > 0).select("label", "data", at).select("label", *word)
+
+
 def bucket_of(label_col="label", step: int = 1):
     if int(step) < 1:
         raise ValueError("step must be >= 1")
     return F.expr(f"{label_col} div {int(step)}") if isinstance(label_col, str) else \
-        (label_col / F.lit(int(step))).cast("bigint")
+        F.call_function("div", label_col, F.lit(int(step)))
 
 
 def label_to_blocks_bucketed(u: DataFrame, dims, block_size, step: int = 1) -> DataFrame:

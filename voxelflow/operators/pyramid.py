@@ -74,7 +74,10 @@ def drop_empty_blocks(df: DataFrame, block_size, label_col: str = "label") -> Da
 
 
 def multiset_as_map(ms: DataFrame) -> DataFrame:
-    """Export form: ``(x, y, z, entries array<struct<label, n>>)`` sorted by label."""
+    """Export form of capped levels: ``(x, y, z, entries array<struct<label, n>>)`` sorted by label.
+
+    An array holds every entry of a cell: bounded by the level's entry cap, or by the cell's voxels where there is none.
+    """
     return ms.groupBy(*AXES).agg(
         F.sort_array(F.collect_list(F.struct("label", "n"))).alias("entries"))
 

@@ -1,19 +1,19 @@
-"""Queries of stored volumes: ledger, Morton-ordered regions, block replacement, written pyramids and masks."""
+"""Queries of stored volumes and indices: ledger, Morton-ordered regions, block replacement, written pyramids, task boxes."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..functions import grid
-from ..operators import mask as pmask
-from ..operators import unique
+from ..operators import index, unique
 from ..sources import fixtures as fx
+from ..sources import index_store as istore
 from ..sources import ledger as led
 from ..sources import volume
 from ..sources.fixtures import A_SQL, M_SQL, V_SQL, with_sql
 from . import stages, tools
-from .catalog import PM, V_DIMS, VB, _pm_box_sql, _topk_sql, register
-from .catalog_tools import new_store
+from .catalog import _U_SQL, _UP_SQL, OFFS, PM, V_DIMS, VB, WB, _box_sql, _level_dims, _pm_box_sql, _topk_sql, register
+from .catalog_tools import mutex_pipeline_sql, new_store
 
 SMALL_CELLS = 1         # cells of 2^3 blocks, so that a small volume has many
 
@@ -66,9 +66,6 @@ def q_ledger_state(spark, sf):
         F.col("resolution")[0].cast("string").alias("unit"))
 
 
-_P2 = ("L0", "L1", "L2")
-
-
 def _kept_sql(src: str, b: int) -> str:
     return f"SELECT * FROM {src} WHERE (x // {b}, y // {b}, z // {b}) IN (SELECT (x // {b}, y // {b}, z // {b}) FROM {src} WHERE label <> 0)"
 
@@ -113,3 +110,205 @@ def q_prediction_mask_dims(spark, sf):
     net = tuple(b * r for b, r in zip(PM["block"], PM["out_res"]))
     return tools.prediction_mask_tool(None, None, net, PM["in_res"], PM["out_res"], PM["in_off"], PM["out_off"],
                                       tuple(n + 2 * p for n, p in zip(net, PM["pad"])), in_extent=ext)["mask"]
+
+
+# ---------------------------------------------------------------------------
+# Unique labels and index on disk
+# ---------------------------------------------------------------------------
+
+STEP = 10
+
+
+def _unique_levels(spark, sf, path):
+    """P3 and P4, every level written and the next one made from the stored one; returns the levels' block lists."""
+    ledger = led.Ledger(spark, path)
+    out = tools.extract_unique_labels_tool(fx.label_volume(spark, sf), VB)
+    stages.write_output(ledger, out["unique-labels"], path, "unique-labels/s0", VB)
+    levels = [stages.read_output(spark, path, "unique-labels/s0")]
+    for i in (1, 2):
+        stages.write_output(ledger, unique.downsample_unique_labels(levels[-1], 2, VB, VB), path, f"unique-labels/s{i}", VB,
+                            factors=(2, 2, 2), copy_from=("unique-labels/s0", 0))
+        levels.append(stages.read_output(spark, path, f"unique-labels/s{i}"))
+    return levels
+
+
+@register("unique_pyramid_written", with_sql(V_SQL, _U_SQL, _UP_SQL) + "SELECT level, bx, by_, bz, label FROM UP")
+def q_unique_pyramid_written(spark, sf):
+    """Unique labels per block, and two coarser levels made from the stored ones."""
+    out = None
+    for i, u in enumerate(_unique_levels(spark, sf, new_store(spark, "labels"))):
+        u = u.select(F.lit(i).alias("level"), *grid.BLOCK_COLS, "label")
+        out = u if out is None else out.unionByName(u)
+    return out
+
+
+def _stored_index(spark, sf):
+    path = new_store(spark, "labels")
+    levels = _unique_levels(spark, sf, path)
+    idx = tools.label_to_block_mapping_tool(levels, V_DIMS, [VB] * 3, [2, 2], STEP)["label-to-block-mapping"]
+    istore.write_index(led.Ledger(spark, path), idx, path, "label-to-block-mapping", STEP, 8)
+    return path
+
+
+@register("index_written", with_sql(V_SQL, _U_SQL, _UP_SQL) + "\n UNION ALL ".join(
+    f"SELECT {_box_sql(_level_dims(i))}, label // {STEP} AS bucket, {i} AS level FROM UP WHERE level = {i}" for i in range(3)))
+def q_index_written(spark, sf):
+    """The index of all levels, made from stored levels, stored by shard and read back."""
+    return istore.open_index(spark, _stored_index(spark, sf), "label-to-block-mapping")
+
+
+@register("index_lookup_stored", with_sql(V_SQL, _U_SQL, _UP_SQL) + "\n UNION ALL ".join(
+    f"SELECT {_box_sql(_level_dims(i))}, label // {STEP} AS bucket, {i} AS level FROM UP WHERE level = {i} AND label = 209"
+    for i in range(3)))
+def q_index_lookup_stored(spark, sf):
+    """F4 on the stored index (the lookup is the feature): one shard of each level is read."""
+    return istore.lookup(spark, _stored_index(spark, sf), "label-to-block-mapping", 209)
+
+
+PARTS = 16              # blocks per part of a box list
+
+_LISTS_SQL = f"""BX AS (SELECT label, bx * {VB} AS x0, by_ * {VB} AS y0, bz * {VB} AS z0,
+       least(bx * {VB} + {VB - 1}, {V_DIMS[0] - 1}) AS x1, least(by_ * {VB} + {VB - 1}, {V_DIMS[1] - 1}) AS y1,
+       least(bz * {VB} + {VB - 1}, {V_DIMS[2] - 1}) AS z1,
+       (bx + {V_DIMS[0] // VB} * (by_ + {V_DIMS[1] // VB} * bz)) // {PARTS} AS part FROM U)"""
+
+
+def _lists(spark, sf):
+    u = unique.unique_labels(fx.label_volume(spark, sf), VB)
+    return index.label_to_blocks_bucketed(u, V_DIMS, VB, STEP)
+
+
+@register("box_records", with_sql(V_SQL, _U_SQL, _LISTS_SQL) + """
+SELECT label, part, string_agg(concat(""" + ", ".join(f"lpad(to_hex({c}), 16, '0')" for c in ("x0", "y0", "z0", "x1", "y1", "z1")) + """),
+       '' ORDER BY x0, y0, z0, x1, y1, z1) AS records FROM BX GROUP BY label, part""")
+def q_box_records(spark, sf):
+    """Every label's sorted box list, in parts, as stored big-endian records; the records as text."""
+    path = new_store(spark, "labels")
+    istore.write_records(led.Ledger(spark, path), index.box_lists(_lists(spark, sf), V_DIMS, VB, PARTS), path, "boxes", STEP, 8)
+    return istore.open_index(spark, path, "boxes").select("label", "part", F.hex("data").alias("records"))
+
+
+@register("box_records_read", with_sql(V_SQL, _U_SQL, _LISTS_SQL) + "SELECT label, x0, y0, z0, x1, y1, z1 FROM BX")
+def q_box_records_read(spark, sf):
+    """A15 read back: the boxes that the stored records hold."""
+    path = new_store(spark, "labels")
+    istore.write_records(led.Ledger(spark, path), index.box_lists(_lists(spark, sf), V_DIMS, VB, PARTS), path, "boxes", STEP, 8)
+    return index.boxes_from_binary(istore.open_index(spark, path, "boxes"))
+
+
+@register("bucket_maps", with_sql(V_SQL, _U_SQL, _LISTS_SQL) + f"""
+SELECT label // {STEP} AS bucket, part, label, string_agg(concat_ws(',', x0, y0, z0, x1, y1, z1), ';' ORDER BY x0, y0, z0) AS boxes
+FROM BX GROUP BY label, part""")
+def q_bucket_maps(spark, sf):
+    """maps from label to box list per bucket and part; entries as text."""
+    maps = index.bucket_maps(_lists(spark, sf), V_DIMS, VB, PARTS)
+    e = maps.select("bucket", "part", F.explode("blocks").alias("label", "list"))
+    text = F.array_join(F.transform("list", lambda b: F.concat_ws(",", *[b[c].cast("string") for c in index.BOX_COLS])), ";")
+    return e.select("bucket", "part", "label", text.alias("boxes"))
+
+
+@register("label_sets_pyramid", with_sql(V_SQL, _U_SQL, _UP_SQL) + "SELECT level, bx, by_, bz, label FROM UP")
+def q_label_sets_pyramid(spark, sf):
+    """E4, E5 on bitmaps: coarse levels unite bitmaps of bounded size; their labels."""
+    sets = unique.label_sets(unique.unique_labels(fx.label_volume(spark, sf), VB))
+    out = None
+    for i in range(3):
+        lv = unique.labels_of_sets(sets).select(F.lit(i).alias("level"), *grid.BLOCK_COLS, "label")
+        out = lv if out is None else out.unionByName(lv)
+        sets = unique.downsample_label_sets(sets, 2, VB, VB)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Task boxes, alignment, preconditions
+# ---------------------------------------------------------------------------
+
+TASK = dict(block_size=(4, 8, 4), blocks_per_task=(2, 1, 3), factors=(2, 3, 1), halo=(1, 5, 0))
+
+
+def _task_sql() -> str:
+    ext = "EXT AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM V)"
+    axes = []
+    for a, bc, b, t, f, h in zip("xyz", ("bx", "by_", "bz"), *TASK.values()):
+        n, size = f"(SELECT n{a} FROM EXT)", b * t
+        target = f"CAST(ceil({n} / {f}.0) AS BIGINT)"
+        axes.append(f"""T{a} AS (SELECT *, unnest(range(s{a}0 // {b}, s{a}1 // {b} + 1)) AS {bc} FROM (
+  SELECT *, greatest({a}0 * {f} - {h}, 0) AS s{a}0, least(({a}1 + 1) * {f} - 1 + {h}, {n} - 1) AS s{a}1 FROM (
+    SELECT t{a}, t{a} * {size} AS {a}0, least(t{a} * {size} + {size - 1}, {target} - 1) AS {a}1
+    FROM (SELECT unnest(range(0, ({target} + {size - 1}) // {size})) AS t{a}) q) r) s)""")
+    return with_sql(V_SQL, ext, *axes) + "SELECT * FROM Tx, Ty, Tz"
+
+
+@register("task_boxes", _task_sql())
+def q_task_boxes(spark, sf):
+    """Target box, source box with halo, and the source blocks that each task meets."""
+    return grid.task_boxes(volume.extent(fx.label_volume(spark, sf)), **TASK)
+
+
+@register("aligned_blocks", with_sql(V_SQL) + """
+, EXT AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM V)
+SELECT f, b, CAST(greatest(round(nx / b), 1) AS BIGINT) * b AS ax, CAST(greatest(round(ny / b), 1) AS BIGINT) * b AS ay,
+       CAST(greatest(round(nz / b), 1) AS BIGINT) * b AS az, (b * f) % 4 = 0 AS fits
+FROM EXT, (SELECT unnest(range(1, 5)) AS f) q, (SELECT unnest(range(3, 13)) AS b) r""")
+def q_aligned_blocks(spark, sf):
+    """Re-block sizes aligned to the volume's extent, and which factors fit previous blocks of 4."""
+    e = volume.extent(fx.label_volume(spark, sf))
+    e = e.withColumn("f", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(4).cast("bigint"))))
+    e = e.withColumn("b", F.explode(F.sequence(F.lit(3).cast("bigint"), F.lit(12).cast("bigint"))))
+    cols = grid.aligned_block_cols(("nx", "ny", "nz"), ("b", "b", "b"))
+    return e.select("f", "b", *[c.alias("a" + a) for c, a in zip(cols, "xyz")],
+                    grid.factors_ok(("f",) * 3, (F.lit(4),) * 3, ("b",) * 3).alias("fits"))
+
+
+@register("preconditions", with_sql(V_SQL) + """
+SELECT * FROM (VALUES ('same name', 'ValueError'), ('no name', 'ValueError'), ('float labels', 'TypeError'), ('block size', 'ValueError'),
+                      ('unfinished', 'RuntimeError'), ('fits', NULL)) t(kind, refused), (SELECT count(*) AS voxels FROM V) n""")
+def q_preconditions(spark, sf):
+    """What is refused before a job runs, against a stored volume."""
+    path = new_store(spark, "volumes")
+    ledger, v = led.Ledger(spark, path), fx.label_volume(spark, sf)
+    stored = led.write_volume(ledger, v, path, "labels", 0, VB)
+    ledger.claim("unfinished", 0, VB, "bigint")
+    checks = {"same name": lambda: volume.check_preconditions("labels", "labels", v), "no name": lambda: volume.check_preconditions(None, "x", v),
+              "float labels": lambda: volume.check_preconditions("a", "b", v.withColumn("label", F.col("label") * 0.5)),
+              "block size": lambda: ledger.claim("labels", 0, VB * 2, "bigint"), "unfinished": lambda: ledger.require_complete("unfinished"),
+              "fits": lambda: volume.check_preconditions("labels", "multiset", v)}
+    rows = []
+    for kind, check in checks.items():
+        try:
+            check()
+            rows.append((kind, None, stored["rows"]))
+        except (ValueError, TypeError, RuntimeError) as e:
+            rows.append((kind, type(e).__name__, stored["rows"]))
+    return spark.createDataFrame(rows, "kind string, refused string, voxels bigint")
+
+
+# ---------------------------------------------------------------------------
+# Volumes of other resolution and offset
+# ---------------------------------------------------------------------------
+
+_SHIFTED = """SM AS (SELECT q.x, q.y, q.z, coalesce(k.m, 0) AS m, coalesce(g.g, 0.0) AS g
+  FROM (SELECT DISTINCT x, y, z FROM AFF) q
+  LEFT JOIN MASK k ON k.x = q.x - 1 AND k.y = q.y AND k.z = q.z - 2
+  LEFT JOIN HALF g ON g.x = q.x // 2 AND g.y = q.y // 2 AND g.z = q.z // 2),
+WA AS (SELECT e.x, e.y, e.z, e.c, CASE WHEN coalesce(s.m, 0) = 1 AND coalesce(t.m, 0) = 1
+         THEN e.a * (1.0 - least(1.0, greatest(0.0, s.g))) * (1.0 - least(1.0, greatest(0.0, t.g))) ELSE CAST('nan' AS DOUBLE) END AS a
+  FROM (AFF JOIN OFFS USING (c)) e LEFT JOIN SM s ON s.x = e.x AND s.y = e.y AND s.z = e.z
+  LEFT JOIN SM t ON t.x = e.x + e.dx AND t.y = e.y + e.dy AND t.z = e.z + e.dz)"""
+_HALF = "HALF AS (SELECT x // 2 AS x, y // 2 AS y, z // 2 AS z, max(g) AS g FROM GLIA GROUP BY 1, 2, 3)"
+
+
+@register("mutex_pipeline_shifted", mutex_pipeline_sql(0.3, _HALF + ",\n" + _SHIFTED))
+def q_mutex_pipeline_shifted(spark, sf):
+    """P13 with a mask stored at an offset of (1, 0, 2) voxels and glia at half the resolution; zero outside."""
+    path = new_store(spark, "mutex")
+    ledger = led.Ledger(spark, path)
+    like = led.write_volume(ledger, fx.edge_affinities(spark, sf), path, "affinities", 0, WB, resolution=(4, 4, 8))
+    aff, dims = led.open_volume(spark, path, "affinities"), tuple(like["dims"])
+    led.write_volume(ledger, fx.mask_volume(spark, sf), path, "mask", 0, WB, resolution=(4, 4, 8), offset=(4, 0, 16))
+    half = fx.glia_volume(spark, sf).groupBy(*[grid.floor_div(a, 2).alias(a) for a in "xyz"]).agg(F.max("g").alias("g"))
+    led.write_volume(ledger, half, path, "glia", 0, WB, resolution=(8, 8, 16))
+    voxels = aff.select("x", "y", "z").distinct()
+    given = {"affinities": aff, "mask": led.open_aligned(spark, path, "mask", voxels, like, "m", 0),
+             "glia": led.open_aligned(spark, path, "glia", voxels, like, "g", 0.0)}
+    return stages.run(spark, path, tools.mutex_stages(OFFS, dims, WB, True, True, thr=0.3), given, WB, dims)["merged"]

@@ -28,6 +28,8 @@ SCHEMA = T.StructType([*volume.META_SCHEMA.fields,
                        T.StructField("cell_bits", T.IntegerType(), True),
                        T.StructField("rows", T.LongType(), True)])
 KEY = ("dataset", "level")
+#: Attributes that say how a dataset is stored; they are not copied to another.
+OWN = ("kind", "schema", "args", "step", "shards", "multiScale")
 
 
 class Ledger:
@@ -98,7 +100,8 @@ class Ledger:
                                offset or (0.0,) * 3, factors, attrs=attrs)
         if copy_from is not None:
             src = self.row(*copy_from)
-            pairs = [F.lit(v) for kv in (src["attrs"] or {}).items() for v in kv] if src is not None else []
+            told = {} if src is None else {k: v for k, v in (src["attrs"] or {}).items() if k not in OWN and not k.startswith("from:")}
+            pairs = [F.lit(v) for kv in told.items() for v in kv]
             given = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
             meta = volume.copy_attributes(meta.withColumn("src_attrs", given)).drop("src_attrs")
         meta = volume.with_provenance(volume.set_status(meta, dataset, "running"), args or {})
@@ -149,6 +152,15 @@ def open_volume(spark: SparkSession, path: str, dataset: str, level: int = 0, lo
     return volume.read_volume(spark, path, dataset, level, lo, hi, list(r["block_size"]), r["cell_bits"])
 
 
+def open_aligned(spark: SparkSession, path: str, dataset: str, coords: DataFrame, like: Row, value_col: str, constant=0,
+                 level: int = 0) -> DataFrame:
+    """A5: a stored volume on the voxels ``coords`` of the dataset whose ledger row is ``like``; resolutions and offsets
+    come from the ledger."""
+    r = Ledger(spark, path).require_complete(dataset, level)
+    return volume.align(open_volume(spark, path, dataset, level), coords, value_col, constant, r["resolution"], r["offset"],
+                        like["resolution"], like["offset"])
+
+
 def write_volume(ledger: Ledger, vol: DataFrame, path: str, dataset: str, level: int, block_size, dims=None, whole: bool = True,
                  blocks: DataFrame | None = None, cell_bits: int = volume.CELL_BITS, attrs: dict | None = None, **claim) -> Row:
     """A write of one dataset level under a claim: *running* before, *complete* with the write's own metrics after."""

@@ -95,6 +95,20 @@ def extend(vol: DataFrame, coords: DataFrame, value_col: str, constant=0.0,
     return out.withColumn(value_col, F.coalesce(F.col("_v"), F.lit(constant))).drop("_v")
 
 
+def align(vol: DataFrame, coords: DataFrame, value_col: str, constant=0.0, from_res=(1, 1, 1), from_off=(0, 0, 0),
+          to_res=(1, 1, 1), to_off=(0, 0, 0)) -> DataFrame:
+    """``vol`` of one resolution and offset on the voxels ``coords`` of another, ``constant`` outside.
+
+    A voxel takes the value of the source voxel that holds its world position (resolution times index plus offset).
+    One equi-join on the source index; a source voxel serves the voxels of its own extent only.
+    """
+    at = [F.floor((F.col(a) * float(r) + float(o) - float(p)) / float(q)).cast("bigint").alias("_" + a)
+          for a, r, o, q, p in zip(AXES, triple(to_res), triple(to_off), triple(from_res), triple(from_off))]
+    src = vol.select(*[F.col(a).alias("_" + a) for a in AXES], F.col(value_col).alias("_v"))
+    out = coords.select(*AXES, *at).join(src, ["_" + a for a in AXES], "left")
+    return out.select(*AXES, F.coalesce("_v", F.lit(constant).cast(vol.schema[value_col].dataType)).alias(value_col))
+
+
 def world_shift(offset, resolution) -> tuple:
     """Integer voxel shift = world offset / resolution."""
     return tuple(int(round(float(o) / float(r))) for o, r in zip(triple(offset), triple(resolution)))
@@ -255,10 +269,10 @@ def check_block_size(existing: DataFrame | None, block_size, dataset: str | None
 
 
 def copy_attributes(meta: DataFrame, source_attrs_col: str = "src_attrs") -> DataFrame:
-    """A10: add the source's non-structural attributes to ``attrs``."""
-    keep = F.map_filter(F.col(source_attrs_col),
-                        lambda k, v: ~k.isin(*STRUCTURAL_ATTRS))
-    return meta.withColumn("attrs", F.map_concat(F.coalesce(F.col("attrs"), F.create_map()), keep))
+    """A10: add the source's non-structural attributes to ``attrs``; attributes that are there already stay."""
+    own = F.coalesce(F.col("attrs"), F.create_map().cast("map<string,string>"))
+    keep = F.map_filter(F.col(source_attrs_col), lambda k, v: ~k.isin(*STRUCTURAL_ATTRS) & ~F.map_contains_key(own, k))
+    return meta.withColumn("attrs", F.map_concat(own, keep))
 
 
 def should_run(meta: DataFrame, dataset: str, overwrite: bool = False) -> bool:
@@ -287,7 +301,8 @@ def set_status(meta: DataFrame, dataset: str, status: str) -> DataFrame:
 def with_provenance(meta: DataFrame, args: dict) -> DataFrame:
     """Arguments recorded in ``attrs``; resolution/offset default 1/0."""
     kv = F.create_map(*[x for k, v in sorted(args.items()) for x in (F.lit(str(k)), F.lit(str(v)))])
-    return (meta.withColumn("attrs", F.map_concat(F.coalesce(F.col("attrs"), F.create_map()), kv))
+    old = F.map_filter(F.coalesce(F.col("attrs"), F.create_map().cast("map<string,string>")), lambda k, v: ~k.isin(*[str(k) for k in args]))
+    return (meta.withColumn("attrs", F.map_concat(old, kv) if args else old)
                 .withColumn("resolution", F.coalesce(F.col("resolution"), F.array(*[F.lit(1.0)] * 3)))
                 .withColumn("offset", F.coalesce(F.col("offset"), F.array(*[F.lit(0.0)] * 3))))
 
