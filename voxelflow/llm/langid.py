@@ -23,19 +23,20 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 from .quality import SCRIPT_STARTS, SCRIPTS
 
-WORD = re.compile(r"[^\W\d_]+")
+#: A letter, then letters and the marks that combine with them; digits of other scripts and numerals are no letters.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 CELLS = 1 << 16
 GRAMS = (1, 2, 3)
 KEPT_SCORES = 4_000_000   # words kept x languages
