@@ -4,11 +4,14 @@ Base rules are regular expressions; their matches get offsets without a UDF by
 splitting the text at the same expression: the lengths of the pieces between
 matches and of the matches add up to the starts.
 
-The method finds what no rule names.  Candidates are runs of token characters.
-Two first-order Markov models of characters, one of random strings and one of
-ordinary identifiers, are compared by their log-likelihood ratio; a candidate
-whose mean ratio per character reaches ``least_ratio`` and that overlaps no base
-span is added as kind ``random``.
+The method finds what no rule names.  Candidates are runs of six or more token
+characters that mix letters with digits or change case twice, and all runs of
+20 or more.  Two first-order Markov models of characters, one of random strings
+and one of ordinary identifiers, are compared by their log-likelihood ratio.  A
+candidate that overlaps no base span is added as kind ``random`` when its total
+ratio reaches ``least_total``, the evidence that outweighs how rare secrets are: a
+short run needs more of it per character than a long one.  A run of 20 or
+more is also added when its mean ratio per character reaches ``least_ratio``.
 
 The models are trained on labelled samples: the values of base matches are the
 random class, other token runs the ordinary class, both taken from at most
@@ -34,11 +37,16 @@ from . import common
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LONG = 20
+RUN = "[A-Za-z0-9+/_=-]"
+CANDIDATE = (f"(?<!{RUN})(?:(?={RUN}*[0-9])(?={RUN}*[A-Za-z])|(?={RUN}*[a-z][A-Z]+[a-z]+[A-Z])|(?={RUN}{{{LONG}}}))"
+             f"{RUN}{{6,}}")
 ORDINARY = r"[A-Za-z0-9+/_=-]{6,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 KINDS = ("assign", "access", "hex", "random")
 SIDE = len(ALPHABET) + 1
+#: Log odds against a candidate before its characters are seen.
+LEAST_TOTAL = 16.0
 SPANS = "array<struct<start:bigint,kind:int,stop:bigint>>"
 
 
@@ -108,10 +116,12 @@ def train(docs: DataFrame, sample_rows: int = 20_000, alpha: float = 0.5) -> lis
     tokens = d.select(F.explode(F.concat(
         F.transform("base", lambda s: F.struct(F.lit(1).alias("label"), s["part"].alias("token"))),
         F.transform(words, lambda s: F.struct(F.lit(0).alias("label"), s["part"].alias("token"))))).alias("t"))
-    at = tokens.select(F.col("t.label").alias("label"), _positions(F.col("t.token")).alias("p"))
-    pairs = at.select("label", F.explode(F.zip_with(F.slice("p", 1, F.size("p") - 1), F.slice("p", 2, F.size("p") - 1),
-                                                    lambda a, b: a * SIDE + b)).alias("cell"))
-    counts = pairs.groupBy("label", "cell").count().collect()   # at most 2 * SIDE * SIDE rows
+    # a token is cut into pairs once, however often it occurs
+    tokens = tokens.groupBy("t.label", "t.token").agg(F.count(F.lit(1)).alias("n"))
+    at = tokens.select("label", "n", _positions(F.col("token")).alias("p"))
+    pairs = at.select("label", "n", F.explode(F.zip_with(F.slice("p", 1, F.size("p") - 1), F.slice("p", 2, F.size("p") - 1),
+                                                         lambda a, b: a * SIDE + b)).alias("cell"))
+    counts = pairs.groupBy("label", "cell").agg(F.sum("n").alias("count")).collect()   # at most 2 * SIDE * SIDE rows
     n = [[alpha] * (SIDE * SIDE) for _ in range(2)]
     for r in counts:
         n[r["label"]][r["cell"]] += r["count"]
@@ -125,19 +135,22 @@ def train(docs: DataFrame, sample_rows: int = 20_000, alpha: float = 0.5) -> lis
 
 
 def ratio(token: Column, model: list[float]) -> Column:
-    """Mean log-likelihood ratio per transition of a token."""
+    """Total log-likelihood ratio over the transitions of a token."""
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
     p = _positions(token)
     cells = F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p) - 1), lambda a, b: a * SIDE + b)
-    return F.aggregate(cells, F.lit(0.0), lambda s, c: s + table[c]) / (F.size(p) - 1)
+    return F.aggregate(cells, F.lit(0.0), lambda s, c: s + table[c])
 
 
-def find(docs: DataFrame, model: list[float], least_ratio: float = 0.75) -> DataFrame:
+def find(docs: DataFrame, model: list[float], least_ratio: float = 0.75, least_total: float = LEAST_TOTAL) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of (start, kind, stop) in order."""
     text = F.coalesce(F.col("text"), F.lit(""))
     base = F.array_sort(_bounds(base_matches(text)))
     with_base = docs.withColumn("base", base)
-    more = F.filter(_matches(text, CANDIDATE, 3), lambda s: ~_overlaps(s, F.col("base")) & (ratio(s["part"], model) >= least_ratio))
+    free = F.filter(_matches(text, CANDIDATE, 3), lambda s: ~_overlaps(s, F.col("base")))
+    scored = F.transform(free, lambda s: F.struct(s["start"], s["kind"], s["stop"], ratio(s["part"], model).alias("r")))
+    size = lambda s: s["stop"] - s["start"]     # noqa: E731
+    more = F.filter(scored, lambda s: (s["r"] >= least_total) | ((size(s) >= LONG) & (s["r"] >= least_ratio * (size(s) - 1))))
     return with_base.withColumn("spans", F.array_sort(F.concat("base", _bounds(more))))
 
 
