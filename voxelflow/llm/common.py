@@ -64,6 +64,7 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict[str
                     [pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
         if done is not None:
             done()
+        pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 

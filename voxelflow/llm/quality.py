@@ -38,7 +38,7 @@ from ..operators.skew import join_unique
 from ..session import cut_lineage
 from . import common
 
-KEPT_BYTES = 24 << 20       # each of two generations
+KEPT_BYTES = 8 << 20       # each of two generations
 KEPT_LENGTH = 64
 BLANKS = "\t\n\x0b\x0c\r "
 SYMBOLS = b"#*$%&|<>"
