@@ -175,3 +175,41 @@ def test_write_read_volume_roundtrip(spark, tmp_path):
     assert back.filter("z < 2 AND label <> 0").count() == 0 and back.filter("z >= 2").count() == 8
     region = volume.read_region(back, (0, 0, 2), (1, 0, 3))
     assert region.count() == 4
+
+
+def test_lines_stepped_together_equal_the_single_envelope(monkeypatch):
+    import random
+
+    import numpy as np
+
+    from voxelflow.operators import distance
+    rng = random.Random(5)
+    for near in (128, 4):
+        monkeypatch.setattr(distance, "NEAR", near)
+        pos, f, cuts = [], [], [0]
+        for _ in range(40):
+            n = rng.choice([1, 2, 9, 30])
+            own = sorted(rng.sample(range(30), n)) if rng.random() < 0.3 else list(range(30 - n, 30))
+            kind = rng.random()
+            pos += own
+            f += [float("inf") if kind < 0.3 or rng.random() < 0.5 else rng.choice([0.0, rng.random() * 50]) for _ in own]
+            cuts.append(len(pos))
+        for w in (1.0, 0.04, 0.0):
+            got = distance.envelopes(np.array(pos), np.array(f), cuts, w, 30)
+            want = [v for a, b in zip(cuts, cuts[1:]) for v in distance.lower_envelope(pos[a:b], f[a:b], w, 30)]
+            assert got.tolist() == want
+
+
+def test_entry_without_the_text_operators(monkeypatch):
+    import builtins
+
+    import __spark_entry__ as E
+    real = builtins.__import__
+
+    def missing(name, *args, **kw):
+        if name == "voxelflow.llm.queries":
+            raise ImportError("a library is missing")
+        return real(name, *args, **kw)
+    monkeypatch.setattr(builtins, "__import__", missing)
+    from voxelflow.plans.catalog import QUERIES
+    assert set(E.queries()) == set(QUERIES) and set(E.oracle_sql()) <= set(QUERIES)

@@ -1,10 +1,13 @@
 """Seeds and extrema.
 
-Neighbourhood tests use the *scatter* form: every voxel sends its value to its
+The maximum over the 26 neighbours is separable: three running maxima over
+coordinate ranges ``-1 .. 1``, one per axis.  Voxels are dealt by block once, one
+row each, and all three windows (and the numbering of seeds after them) work on
+that partitioning.
+
+Other neighbourhoods use the *scatter* form: every voxel sends its value to its
 neighbours (a literal offset array, exploded in codegen) and one hash
-aggregate per target voxel takes the maximum.  The voxel's own value travels
-in the same aggregate, so there is a single shuffle and no join; partial
-aggregation collapses the copies that land in the same task.  A band
+aggregate per target voxel takes the maximum; a single shuffle and no join.  A band
 self-join (``abs(dx) <= 1``) would plan as a nested-loop join and is avoided.
 """
 
@@ -43,8 +46,18 @@ def local_maxima(relief: DataFrame, thr: float = float("-inf"), block_size=None,
     neighbours (26-neighbourhood by default; plateaus all count).  With
     ``block_size`` only neighbours in the same block are looked at (outside
     voxels are absent).  NaN voxels are never maxima and never neighbours."""
-    offs = list(offsets or NEIGHBOURS_26)
     r = relief.select(*AXES, "v").filter(~F.isnan("v"))
+    if offsets is None:
+        blk = []
+        if block_size is not None:
+            blk = list(BLOCK_COLS)
+            r = block_position(r, block_size).repartition(*blk)
+        top = r.withColumn("m", F.col("v"))
+        for a in AXES:
+            line = Window.partitionBy(*blk, *[o for o in AXES if o != a]).orderBy(a).rangeBetween(-1, 1)
+            top = top.withColumn("m", F.max("m").over(line))
+        return top.filter((F.col("v") >= F.lit(float(thr))) & (F.col("v") >= F.col("m"))).select(*AXES, "v")
+    offs = list(offsets)
     return _maxima(r.withColumn("o", F.explode(_offset_array([(0, 0, 0)] + offs))), thr, block_size, [])
 
 
