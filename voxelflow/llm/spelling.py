@@ -296,8 +296,9 @@ def _pairs(rows: list[tuple]) -> pa.RecordBatch:
 
 def forms(words: DataFrame, pairs: DataFrame, times: int = 2) -> DataFrame:
     """``(word, n, n_near, form, form_n)`` of every word."""
-    both = pairs.unionByName(pairs.select(F.col("other").alias("word"), F.col("m").alias("n"), F.col("word").alias("other"),
-                                          F.col("n").alias("m")))
+    # each pair once from the join, then in both directions
+    both = pairs.select(F.inline(F.array(F.struct("word", "n", "other", "m"), F.struct(
+        F.col("other").alias("word"), F.col("m").alias("n"), F.col("word").alias("other"), F.col("n").alias("m")))))
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
                                     F.min(F.struct((-F.col("m")).alias("down"), "other")).alias("b"))
     ok = -F.col("b.down") >= times * F.col("n")
