@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage, drop_checkpoint
 from . import common
 from .langid import fold
 
@@ -92,7 +93,9 @@ def sample(docs: DataFrame, labels: DataFrame, rows_per_label: tuple[int, int])
 def train(docs: DataFrame, labels: DataFrame, rows_per_label: tuple[int, int] = (12_000, 4000), rounds: int = 3, shards: int = 4,
           epochs: int = 3, miss_cost: float = 1.0) -> tuple[np.ndarray, np.ndarray, float]:
     """(cells, weights, bias) with the zero weights left out; ``miss_cost``: weight of a toxic row."""
-    rows = sample(docs, labels, rows_per_label).withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(shards)).cast("int"))
+    # the sample is bounded, and every round reads it
+    rows = cut_lineage(sample(docs, labels, rows_per_label)
+                       .withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(shards)).cast("int")))
     state = Ftrl()
     for _ in range(rounds):
         held = docs.sparkSession.sparkContext.broadcast((state.z, state.n))
@@ -113,6 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: tuple[int, int] =
         state = Ftrl()
         state.z[got["cell"].to_numpy()] = got["z"].to_numpy()
         state.n[got["cell"].to_numpy()] = got["n"].to_numpy()
+    drop_checkpoint(rows)
     w = state.weights(np.arange(CELLS + 1))
     at = np.flatnonzero(w[:CELLS])
     return at, w[at], float(w[BIAS])
