@@ -16,7 +16,8 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not pr
 # queries that run actions while being built (iterative loops, data-derived parameters)
 LOOPS = {"steepest_ascent", "basin_merge", "seeded_watershed_height", "seeded_watershed",
          "affinity_growth", "mutex_watershed", "watershed_stitched", "connected_components",
-         "apply_mapping", "convert_written", "rain_pipeline", "mutex_pipeline", "dt_watershed_binary"}
+         "apply_mapping", "convert_written", "rain_pipeline", "mutex_pipeline", "dt_watershed_binary",
+         "rain_pipeline_sized", "dt_watershed_sampled", "dt_watershed_faces", "mutex_pipeline_shifted"}
 BAD = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
 
 

@@ -79,15 +79,14 @@ UNION ALL SELECT 2, x, y, z, label, n, 4.0, 2.0, 'true', '3' FROM L2""")
 def q_pyramid_written(spark, sf):
     """Levels written one from the stored other, with accumulated factors, entry cap and multiscale tag."""
     path = new_store(spark, "volumes")
-    rows = tools.write_pyramid(fx.multiset_volume(spark, sf), path, ("2", "2,2,1"), (VB, VB), [3], VB, "pyramid")
-    told = rows.select(F.col("dataset"), F.coalesce(F.col("factors")[0], F.lit(1.0)).alias("fx"),
-                       F.coalesce(F.col("factors")[2], F.lit(1.0)).alias("fz"),
-                       F.col("attrs")["multiScale"].alias("tag"), F.col("attrs")["maxNumEntries"].alias("cap"))
+    tools.write_pyramid(fx.multiset_volume(spark, sf), path, ("2", "2,2,1"), (VB, VB), [3], VB, "pyramid")
     out = None
     for i in range(3):
-        lv = (led.open_volume(spark, path, f"pyramid/s{i}").withColumn("dataset", F.lit(f"pyramid/s{i}"))
-                 .join(F.broadcast(told), "dataset")        # one row per level
-                 .select(F.lit(i).alias("level"), "x", "y", "z", "label", "n", "fx", "fz", "tag", "cap"))
+        row = led.Ledger(spark, path).require_complete(f"pyramid/s{i}")
+        f = row["factors"] or [1.0] * 3
+        lv = led.open_volume(spark, path, f"pyramid/s{i}").select(
+            F.lit(i).alias("level"), "x", "y", "z", "label", "n", F.lit(f[0]).alias("fx"), F.lit(f[2]).alias("fz"),
+            F.lit(row["attrs"]["multiScale"]).alias("tag"), F.lit(row["attrs"].get("maxNumEntries")).cast("string").alias("cap"))
         out = lv if out is None else out.unionByName(lv)
     return out
 
