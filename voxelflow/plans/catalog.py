@@ -999,11 +999,8 @@ def q_average_channels(spark, sf):
 
 def _written(spark, outputs, block, names, **how):
     """Outputs of a tool, written to the shared folder and read back."""
-    import uuid
-
-    from . import tools
-    from ..session import ensure_checkpoint_dir
-    path = f"{ensure_checkpoint_dir(spark)}/volumes-{uuid.uuid4().hex}"
+    from . import stages, tools
+    path = stages.new_store(spark, "volumes")
     tools.write_outputs(outputs, path, block, **how)
     return [volume.read_volume(spark, path, n) for n in names]
 

@@ -12,8 +12,8 @@ from ..sources import ledger as led
 from ..sources import volume
 from ..sources.fixtures import A_SQL, M_SQL, V_SQL, with_sql
 from . import stages, tools
-from .catalog import _U_SQL, _UP_SQL, OFFS, PM, V_DIMS, VB, WB, _box_sql, _level_dims, _pm_box_sql, _topk_sql, register
-from .catalog_tools import mutex_pipeline_sql, new_store
+from .catalog import _U_SQL, _UP_SQL, PM, V_DIMS, VB, _box_sql, _level_dims, _pm_box_sql, _topk_sql, register
+from .stages import new_store
 
 SMALL_CELLS = 1         # cells of 2^3 blocks, so that a small volume has many
 
@@ -280,34 +280,3 @@ def q_preconditions(spark, sf):
         except (ValueError, TypeError, RuntimeError) as e:
             rows.append((kind, type(e).__name__, stored["rows"]))
     return spark.createDataFrame(rows, "kind string, refused string, voxels bigint")
-
-
-# ---------------------------------------------------------------------------
-# Volumes of other resolution and offset
-# ---------------------------------------------------------------------------
-
-_SHIFTED = """SM AS (SELECT q.x, q.y, q.z, coalesce(k.m, 0) AS m, coalesce(g.g, 0.0) AS g
-  FROM (SELECT DISTINCT x, y, z FROM AFF) q
-  LEFT JOIN MASK k ON k.x = q.x - 1 AND k.y = q.y AND k.z = q.z - 2
-  LEFT JOIN HALF g ON g.x = q.x // 2 AND g.y = q.y // 2 AND g.z = q.z // 2),
-WA AS (SELECT e.x, e.y, e.z, e.c, CASE WHEN coalesce(s.m, 0) = 1 AND coalesce(t.m, 0) = 1
-         THEN e.a * (1.0 - least(1.0, greatest(0.0, s.g))) * (1.0 - least(1.0, greatest(0.0, t.g))) ELSE CAST('nan' AS DOUBLE) END AS a
-  FROM (AFF JOIN OFFS USING (c)) e LEFT JOIN SM s ON s.x = e.x AND s.y = e.y AND s.z = e.z
-  LEFT JOIN SM t ON t.x = e.x + e.dx AND t.y = e.y + e.dy AND t.z = e.z + e.dz)"""
-_HALF = "HALF AS (SELECT x // 2 AS x, y // 2 AS y, z // 2 AS z, max(g) AS g FROM GLIA GROUP BY 1, 2, 3)"
-
-
-@register("mutex_pipeline_shifted", mutex_pipeline_sql(0.3, _HALF + ",\n" + _SHIFTED))
-def q_mutex_pipeline_shifted(spark, sf):
-    """P13 with a mask stored at an offset of (1, 0, 2) voxels and glia at half the resolution; zero outside."""
-    path = new_store(spark, "mutex")
-    ledger = led.Ledger(spark, path)
-    like = led.write_volume(ledger, fx.edge_affinities(spark, sf), path, "affinities", 0, WB, resolution=(4, 4, 8))
-    aff, dims = led.open_volume(spark, path, "affinities"), tuple(like["dims"])
-    led.write_volume(ledger, fx.mask_volume(spark, sf), path, "mask", 0, WB, resolution=(4, 4, 8), offset=(4, 0, 16))
-    half = fx.glia_volume(spark, sf).groupBy(*[grid.floor_div(a, 2).alias(a) for a in "xyz"]).agg(F.max("g").alias("g"))
-    led.write_volume(ledger, half, path, "glia", 0, WB, resolution=(8, 8, 16))
-    voxels = aff.select("x", "y", "z").distinct()
-    given = {"affinities": aff, "mask": led.open_aligned(spark, path, "mask", voxels, like, "m", 0),
-             "glia": led.open_aligned(spark, path, "glia", voxels, like, "g", 0.0)}
-    return stages.run(spark, path, tools.mutex_stages(OFFS, dims, WB, True, True, thr=0.3), given, WB, dims)["merged"]

@@ -2,7 +2,8 @@
 
 A tool is a list of ``Stage``s.  ``compose`` chains them lazily; ``run`` writes
 each output to a store, so that it is computed once however many later stages
-read it, and a rerun goes on after the last complete stage.  What a stage was
+read it, and a rerun goes on after the last complete stage.  A stage that only
+projects its input (``stored=False``) is not written but read through.  What a stage was
 made from is recorded with it: its arguments and the versions of its inputs.  A
 stage is skipped when its output is complete and both are unchanged; once one
 is made anew, everything that reads it is.
@@ -15,12 +16,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..sources import ledger as led
 from ..sources import volume
 
@@ -33,6 +36,12 @@ class Stage:
     needs: tuple
     build: Callable[..., DataFrame]
     args: dict = field(default_factory=dict)
+    stored: bool = True
+
+
+def new_store(spark: SparkSession, kind: str) -> str:
+    """A new folder below the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
 def compose(stages: list[Stage], given: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -102,13 +111,19 @@ def run(spark: SparkSession, path: str, stages: list[Stage], given: dict[str, Da
     names = [s.name for s in stages]
     rows = {r["dataset"]: r for r in ledger.latest().filter(F.col("dataset").isin(names) & (F.col("level") == 0)).collect()}
     made: dict[str, DataFrame] = dict(given)
+    versions: dict[str, str] = {}
     for s in stages:
-        told = {"args": _digest({"tool": args or {}, "stage": s.args}),
-                **{f"from:{n}": str(rows[n]["version"]) for n in s.needs if n in names}}
+        told = {"args": _digest({"tool": args or {}, "stage": s.args}), **{f"from:{n}": versions[n] for n in s.needs if n in versions}}
+        if not s.stored:
+            made[s.name] = s.build(*[made[n] for n in s.needs])
+            versions[s.name] = " ".join([told.pop("args"), *told.values()])
+            continue
         old = rows.get(s.name)
         same = old is not None and old["status"] == "complete" and all((old["attrs"] or {}).get(k) == v for k, v in told.items())
         if overwrite or not same:
             df = s.build(*[made[n] for n in s.needs])
-            rows[s.name] = write_output(ledger, df, path, s.name, block_size, args={**(args or {}), **s.args}, dims=dims, attrs=told)
+            rows[s.name] = write_output(ledger, df, path, s.name, block_size, args={**(args or {}), **s.args}, dims=dims,
+                                        attrs=told, known=old)
+        versions[s.name] = str(rows[s.name]["version"])
         made[s.name] = read_output(spark, path, s.name, row=rows[s.name])
     return {n: made[n] for n in names}

@@ -171,9 +171,11 @@ def stitched_stages(dims, block_size, seed_thr: float = -math.inf, merge_thr: fl
     def mapping(dense, v):
         e = stitch.merge_edges_median(dense, v, block_size, face_thr)
         return graph.connected_components(e.select("e1", "e2"), "e1", "e2")
-    out = [Stage("relief-clean", (relief,), lambda r: affinity.replace_nan(r.select(*grid.AXES, "v"), "v", nan_value))]
+    out = [Stage("relief-clean", (relief,), lambda r: affinity.replace_nan(r.select(*grid.AXES, "v"), "v", nan_value),
+                 stored=False)]
     if values is not None:
-        out.append(Stage("values-clean", (values,), lambda r: affinity.replace_nan(r.select(*grid.AXES, "v"), "v", -math.inf)))
+        out.append(Stage("values-clean", (values,), lambda r: affinity.replace_nan(r.select(*grid.AXES, "v"), "v", -math.inf),
+                         stored=False))
     out += [Stage("seeds", ("relief-clean",), find_seeds, {"threshold": seed_thr, "seeds": seeds}),
             Stage("seeded-watersheds", ("relief-clean", "seeds"), lambda rel, sid: segment.seeded_watershed(
                 rel, sid.select(*grid.AXES, "seed"), d, block_size, impassable_zero)),
@@ -301,7 +303,7 @@ def rain_stages(offsets, dims, block_size, thr: float = 0.9, min_aff: float = -m
 
     def merged(ws, e):
         return labelled(segment.merge_basins(ws.select(grid.linear_index(d).alias("node"), (F.col("label") - 1).alias("root")), e, thr))
-    out = [Stage("valid", ("affinities",), valid, {"invert": invert}),
+    out = [Stage("valid", ("affinities",), valid, {"invert": invert}, stored=False),
            Stage("edges", ("valid",), edges, {"least": min_aff}),
            Stage(raw + "watersheds", ("valid", "edges"), lambda a, e: labelled(
                segment.steepest_ascent(a.select(grid.linear_index(d).alias("node")).distinct(), e))),

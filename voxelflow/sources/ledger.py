@@ -85,14 +85,16 @@ class Ledger:
 
     def claim(self, dataset: str, level: int, block_size, dtype: str, dims=None, resolution=None, offset=None, factors=None,
               args: dict | None = None, attrs: dict | None = None, copy_from: tuple | None = None,
-              cell_bits: int = volume.CELL_BITS, part: bool = False) -> Row:
+              cell_bits: int = volume.CELL_BITS, part: bool = False, known: Row | str | None = "?") -> Row:
         """Store *running* under the next version, before the write.
 
+        ``known``: the latest row, where the caller has just read it (None: there is none).
+
         Another block size than the stored one is refused for a write of parts (``part``) and while the
         stored version is complete.  ``copy_from``: dataset and level whose
         attributes are copied (A10).  Resolution and offset default to 1 and 0.
         """
-        old = self.row(dataset, level)
+        old = self.row(dataset, level) if known == "?" else known
         b = [int(v) for v in triple(block_size)]
         if old is not None and old["block_size"] is not None and list(old["block_size"]) != b and (part or old["status"] == "complete"):
             raise ValueError(f"block size {tuple(b)} differs from stored {old['block_size']}")
