@@ -61,10 +61,24 @@ def test_stages_on_odd_rows(spark, odd_docs, no_docs, tmp_path):
 
 
 def test_kept_table_is_bounded():
-    kept = common.Kept(10_000)
+    kept, made = common.Kept(10_000), []
+
+    def make(k):
+        made.append(k)
+        return k + b"!"
     for i in range(1000):
-        kept.put(b"%d" % i, b"x")
-        assert kept.get(b"0") in (b"x", None) and len(kept.young) + len(kept.old) < 200
-    assert kept.get(b"999") == b"x" and kept.get(b"1") is None
+        assert kept.look([b"%d" % i, b"0", b"%d" % i, b"x" * 50], make, 40) == [b"%d!" % i, b"0!", b"%d!" % i, b"x" * 50 + b"!"]
+        assert len(kept.young) + len(kept.old) < 150
+    assert made.count(b"0") == 1 and made.count(b"999") == 1 and made.count(b"x" * 50) == 1000
     kept.clear()
-    assert kept.get(b"999") is None
+    assert not kept.young and not kept.old
+
+
+def test_another_operator_frees_what_a_worker_keeps(monkeypatch):
+    freed = []
+    monkeypatch.setattr(common, "_kept", {})
+    common._enter("a", lambda: freed.append("a"))
+    common._enter("a", lambda: freed.append("a"))
+    assert freed == []
+    common._enter("", None)
+    assert freed == ["a"] and common._kept == {}

@@ -38,8 +38,7 @@ from . import common
 
 #: A space that starts a new piece: its neighbours are no white space.
 PIECE = re.compile(r" (?=\S)(?<=\S )")
-KEPT_PIECES = 32 << 20      # bytes, each of two generations
-KEPT_TOKENS = 12 << 20
+KEPT_PIECES = 48 << 20      # bytes, each of two generations
 KEPT_LENGTH = 64
 
 
@@ -103,8 +102,8 @@ class Codec:
         self.token = dict(zip(ranks, tokens))
         self.name = {r: str(r) for r in ranks}
         self.type = np.dtype("<u2" if max(ranks) < 1 << 16 else "<u4")
+        self.packed = [np.array([i], self.type).tobytes() for i in range(max(ranks) + 1)]
         self.kept = common.Kept(KEPT_PIECES)
-        self.kept_tokens = common.Kept(KEPT_TOKENS)
         # by left part: right part -> entry, for every way to put an entry together from two
         rank = dict(zip(tokens, ranks))
         self.byte = [rank.get(bytes((x,)), -1) for x in range(256)]
@@ -160,39 +159,36 @@ class Codec:
                     push(heap, q << 32 | h)
         return [x for x in sym if x >= 0]
 
+    def pretoken(self, m: str) -> bytes:
+        """Packed ids of one pre-token: the perfect hash, or the merge of what it misses."""
+        t = m.encode("utf-8")
+        r = self.rank(t)
+        return self.packed[r] if r >= 0 else b"".join(map(self.packed.__getitem__, self.merge(t)))
+
     def piece(self, s: str) -> bytes:
-        out: list[bytes] = []
-        kept = self.kept_tokens
-        for m in self.pattern.findall(s):
-            ids = kept.get(m)
+        tokens = self.pattern.findall(s)
+        if len(tokens) == 1:
+            return self.pretoken(tokens[0])
+        kept = self.kept
+        young, old, out = kept.young, kept.old, []
+        for m in tokens:
+            # a pre-token that ends in no white space is a piece by itself, so one table serves both
+            ids = young.get(m)
             if ids is None:
-                t = m.encode("utf-8")
-                r = self.rank(t)
-                ids = np.array([r] if r >= 0 else self.merge(t), self.type).tobytes()
-                if len(m) <= KEPT_LENGTH:
-                    kept.put(m, ids)
+                ids = old.get(m) or self.pretoken(m)
+                if len(m) <= KEPT_LENGTH and not m[-1].isspace():
+                    young[m] = ids
+                    kept.size += 180 + len(m) + len(ids)
             out.append(ids)
         return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
         parts = PIECE.split(text)
         parts[1:] = [" " + p for p in parts[1:]]
-        kept = self.kept
-        found = list(map(kept.young.get, parts))
-        if None in found:
-            for i, f in enumerate(found):
-                if f is None:
-                    p = parts[i]
-                    found[i] = f = kept.get(p)
-                    if f is None:
-                        found[i] = f = self.piece(p)
-                        if len(p) <= KEPT_LENGTH:
-                            kept.put(p, f)
-        return np.frombuffer(b"".join(found), self.type).tolist()
+        return np.frombuffer(b"".join(self.kept.look(parts, self.piece, KEPT_LENGTH)), self.type).tolist()
 
     def clear(self) -> None:
         self.kept.clear()
-        self.kept_tokens.clear()
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -212,7 +208,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         ids = [c.encode(t or "") for t in b.column("text").to_pylist()]
         return {"doc_id": b.column("doc_id"), "n_tokens": list(map(len, ids)), "ids": ids}
     return common.map_rows(common.doc_text(docs), f"doc_id {kind}, n_tokens bigint, ids array<int>", run,
-                           done=lambda: codec(path, pattern).clear())
+                           keeps="bpe", clear=lambda: codec(path, pattern).clear())
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -243,4 +239,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         return {"doc_id": b.column("doc_id"), "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": out_sha}
     return common.map_rows(common.doc_text(docs),
                            f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", run,
-                           done=lambda: codec(path, pattern).clear())
+                           keeps="bpe", clear=lambda: codec(path, pattern).clear())

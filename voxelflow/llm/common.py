@@ -48,22 +48,21 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 
 def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict[str, list]],
-             col: str = "text", done: Callable[[], None] | None = None) -> DataFrame:
+             col: str = "text", keeps: str = "", clear: Callable[[], None] | None = None) -> DataFrame:
     """``fn`` over row slices of ``df``; it returns the columns of ``schema`` by name.
 
-    ``done`` runs after a partition's last row: workers live on, and what a
-    worker has kept would stay beside the next stage's memory.
+    Workers live on: what ``fn`` keeps under the name ``keeps`` serves its next
+    partitions, and is freed by ``clear`` before another operator's first one.
     """
     arrow = arrow_schema(schema)
 
     def run(batches):
+        _enter(keeps, clear)
         for b in batches:
             for s in slices(b, col):
                 out = fn(s)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
-        if done is not None:
-            done()
         pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
@@ -88,6 +87,18 @@ def keyed_rows(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(F.struct(*df.columns).alias("row"), *row_key(hashed), *cols)
 
 
+#: What this worker process keeps, by name.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def _enter(name: str, clear: Callable[[], None] | None) -> None:
+    """A task of operator ``name`` starts: what others have kept goes."""
+    for other in [k for k in _kept if k != name]:
+        _kept.pop(other)()
+    if clear is not None:
+        _kept[name] = clear
+
+
 class Kept:
     """A bounded table of results by key, in two generations.
 
@@ -100,20 +111,35 @@ class Kept:
         self.young: dict = {}
         self.old: dict = {}
 
-    def get(self, key):
-        found = self.young.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is not None:
-                self.put(key, found)
+    def look(self, keys, make, longest: int) -> list:
+        """The value of every key; ``make`` gives those not kept.  Keys of over ``longest`` aren't kept."""
+        young, old = self.young, self.old
+        found = list(map(young.get, keys))
+        if None in found:
+            size = 0
+            for i, f in enumerate(found):
+                if f is None:
+                    k = keys[i]
+                    f = young.get(k)
+                    if f is None:
+                        f = old.get(k)
+                        if f is None:
+                            f = make(k)
+                        if len(k) <= longest:
+                            young[k] = f
+                            # dictionary slot and the headers of both objects
+                            size += 180 + len(k) + len(f)
+                            if size > 1 << 18:
+                                self.grown(size)
+                                young, old, size = self.young, self.old, 0
+                    found[i] = f
+            self.grown(size)
         return found
 
-    def put(self, key, value: bytes) -> None:
+    def grown(self, size: int) -> None:
+        self.size += size
         if self.size > self.limit:
             self.old, self.young, self.size = self.young, {}, 0
-        self.young[key] = value
-        # dictionary slot and the headers of both objects
-        self.size += 180 + len(key) + len(value)
 
     def clear(self) -> None:
         self.young, self.old, self.size = {}, {}, 0

@@ -38,7 +38,7 @@ from ..operators.skew import join_unique
 from ..session import cut_lineage
 from . import common
 
-KEPT_BYTES = 8 << 20       # each of two generations
+KEPT_BYTES = 16 << 20       # each of two generations
 KEPT_LENGTH = 64
 BLANKS = "\t\n\x0b\x0c\r "
 SYMBOLS = b"#*$%&|<>"
@@ -66,13 +66,17 @@ class Meter:
 
     def tokens(self, words: list[bytes]) -> np.ndarray:
         """Token ids of the words, each tokenised by itself."""
-        distinct = set(words)
-        found = dict(zip(distinct, map(self.kept.get, distinct)))
+        young, old = self.kept.young, self.kept.old
+        found = {w: young.get(w) or old.get(w) for w in set(words)}
         new = [w for w, ids in found.items() if ids is None]
+        size = 0
         for w, ids in zip(new, self.sp.encode([w.decode("utf-8") for w in new], num_threads=1)):
-            found[w] = packed = np.array(ids, self.type).tobytes()
-            if len(w) <= KEPT_LENGTH:
-                self.kept.put(w, packed)
+            found[w] = np.array(ids, self.type).tobytes()
+        for w, packed in found.items():
+            if w not in young and len(w) <= KEPT_LENGTH:
+                young[w] = packed
+                size += 180 + len(w) + len(packed)
+        self.kept.grown(size)
         return np.frombuffer(b"".join(map(found.__getitem__, words)), self.type)
 
 
@@ -159,7 +163,8 @@ def measures(docs: DataFrame, vocabulary: str) -> DataFrame:
     return common.map_rows(
         docs.select("doc_id", "text", lang.alias("lang")),
         f"doc_id {kind}, band string, script string, " + ", ".join(f"{c} bigint" for c in NAMES[:6]) + ", "
-        + ", ".join(f"{c} double" for c in NAMES[6:]), run, done=lambda: meter(vocabulary).kept.clear())
+        + ", ".join(f"{c} double" for c in NAMES[6:]), run, keeps="quality",
+        clear=lambda: meter(vocabulary).kept.clear())
 
 
 def _wide_bands(cells: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
