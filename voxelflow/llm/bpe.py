@@ -39,6 +39,7 @@ from . import common
 #: A space that starts a new piece: its neighbours are no white space.
 PIECE = re.compile(r" (?=\S)(?<=\S )")
 KEPT_PIECES = 48 << 20      # bytes, each of two generations
+KEPT_TOKENS = 64            # pre-tokens of one piece that are kept by themselves
 KEPT_LENGTH = 64
 
 
@@ -171,12 +172,12 @@ class Codec:
             return self.pretoken(tokens[0])
         kept = self.kept
         young, old, out = kept.young, kept.old, []
-        for m in tokens:
+        for n, m in enumerate(tokens):
             # a pre-token that ends in no white space is a piece by itself, so one table serves both
             ids = young.get(m)
             if ids is None:
                 ids = old.get(m) or self.pretoken(m)
-                if len(m) <= KEPT_LENGTH and not m[-1].isspace():
+                if n < KEPT_TOKENS and len(m) <= KEPT_LENGTH and not m[-1].isspace():
                     young[m] = ids
                     kept.size += 180 + len(m) + len(ids)
             out.append(ids)
@@ -185,6 +186,7 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         parts = PIECE.split(text)
         parts[1:] = [" " + p for p in parts[1:]]
+        self.kept.limit = KEPT_PIECES
         return np.frombuffer(b"".join(self.kept.look(parts, self.piece, KEPT_LENGTH)), self.type).tolist()
 
     def clear(self) -> None:
