@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from voxelflow.llm import bpe, common, decontam, secret_scan, simhash
+from voxelflow.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
@@ -82,3 +83,12 @@ def test_another_operator_frees_what_a_worker_keeps(monkeypatch):
     assert freed == []
     common._enter("", None)
     assert freed == ["a"] and common._kept == {}
+
+
+def test_run_leaves_only_the_last_folder(spark):
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base)) if os.path.exists(base) else set()
+    out = corpus_pipeline.run(spark, SF)
+    assert set(out.columns) >= {"doc_id", "n_tokens", "ids"} and 0 < out.count() < common.table(spark, SF, "documents").count()
+    new = [f for f in set(os.listdir(base)) - before if f.startswith("pipeline-")]
+    assert len(new) == 1 and new[0].startswith("pipeline-bpe-")

@@ -27,6 +27,12 @@ def shared_folder(spark: SparkSession, kind: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def slices(batch: pa.RecordBatch, col: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in row slices of about ``limit`` bytes of ``col`` (one row at least)."""
     n = batch.num_rows
