@@ -46,10 +46,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table."""
-    docs = common.table(spark, sf_dir, "documents")
+    """All stages over the whole ``documents`` table; a stage's folder goes once the next stage is written."""
+    docs, last = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         folder = common.shared_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if last is not None:
+            common.remove_folder(spark, last)
+        last = folder
     return docs
