@@ -47,3 +47,27 @@ def test_one_scan(spark, name, scans):
     finally:
         catalog._extent_tuple = dims
     assert plan.count("FileScan") == scans, plan
+
+
+def exchanged(df):
+    """The columns that the exchanges of a plan move, one list per exchange."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    nodes = [n for n in text.split("\n\n") if n.lstrip().split("\n")[0].endswith("Exchange")]
+    return [n.split("[", 2)[2].split("]")[0] for n in nodes]
+
+
+@pytest.mark.parametrize("name,most", [("weight_edges_bucketed", 0), ("relabel_dense_bucketed", None)])
+def test_bucketed_volumes_exchange_no_voxel(spark, name, most):
+    from voxelflow.sources import bucketed
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", bucketed.CO_PARTITION)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    bucketed.join_in_buckets(spark)
+    try:
+        moved = exchanged(QUERIES[name](spark, SF))
+        plain = exchanged(QUERIES[name.removesuffix("_bucketed")](spark, SF))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert any("x#" in m.replace("bx#", "") for m in plain)
+    assert not any("x#" in m.replace("bx#", "") for m in moved), moved
+    assert most is None or len(moved) <= most, moved

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.grid import AXES, floor_div, triple
+from ..functions.grid import AXES, BLOCK_COLS, floor_div, triple
 
 NAN = float("nan")
 
@@ -168,6 +168,17 @@ def invalidate_cross_block(aff: DataFrame, offsets: Sequence[Sequence[int]], blo
     return aff.select(*AXES, "c", F.when(leaves, F.lit(NAN)).otherwise(F.col("a")).alias("a"))
 
 
+def voxel_weights(mask: DataFrame, glia: DataFrame | None = None) -> DataFrame:
+    """``(x, y, z, m, gw)``: mask and ``1 - clamp01(glia)`` of every voxel that either holds."""
+    if glia is None:
+        glia = mask.select(*AXES, F.lit(0.0).alias("g"))
+    return (mask.select(*AXES, "m").join(glia.select(*AXES, "g"), list(AXES), "full")
+                .select(*AXES, F.coalesce("m", F.lit(0)).alias("m"),
+                        (F.lit(1.0) - F.least(F.lit(1.0), F.greatest(F.lit(0.0),
+                                                                    F.coalesce("g", F.lit(0.0)))))
+                        .alias("gw")))
+
+
 def weight_edges(aff: DataFrame, offsets: Sequence[Sequence[int]], mask: DataFrame | None = None,
                  glia: DataFrame | None = None) -> DataFrame:
     """NaN unless mask == 1 at both ends, else ``a (1-clamp01 g_from)(1-clamp01 g_to)``.
@@ -180,20 +191,29 @@ def weight_edges(aff: DataFrame, offsets: Sequence[Sequence[int]], mask: DataFra
         return aff.select(*AXES, "c", "a")
     if mask is None:
         mask = aff.select(*AXES).distinct().withColumn("m", F.lit(1))
-    if glia is None:
-        glia = mask.select(*AXES, F.lit(0.0).alias("g"))
-    mg = (mask.select(*AXES, "m").join(glia.select(*AXES, "g"), list(AXES), "full")
-              .select(*AXES, F.coalesce("m", F.lit(0)).alias("m"),
-                      (F.lit(1.0) - F.least(F.lit(1.0), F.greatest(F.lit(0.0),
-                                                                  F.coalesce("g", F.lit(0.0)))))
-                      .alias("gw")))
+    return _weigh(aff, offsets, voxel_weights(mask, glia), [])
+
+
+def weight_edges_by_block(aff: DataFrame, offsets: Sequence[Sequence[int]], weights: DataFrame) -> DataFrame:
+    """G8 inside blocks: ``aff`` and ``weights`` (``voxel_weights``) carry their block columns, and a block of
+    ``weights`` also holds the voxels that its edges reach (``reach``).  On bucketed tables no voxel moves.
+    """
+    return _weigh(aff, offsets, weights, list(BLOCK_COLS))
+
+
+def reach(offsets: Sequence[Sequence[int]]) -> tuple:
+    """Voxels per axis that edges of ``offsets`` reach out of a block."""
+    return tuple(max(abs(int(o[i])) for o in offsets) for i in range(3))
+
+
+def _weigh(aff: DataFrame, offsets, mg: DataFrame, blk: list) -> DataFrame:
     dx, dy, dz = offset_cols(offsets)
-    e = aff.select(*AXES, "c", "a", (F.col("x") + dx).alias("tx"), (F.col("y") + dy).alias("ty"),
+    e = aff.select(*blk, *AXES, "c", "a", (F.col("x") + dx).alias("tx"), (F.col("y") + dy).alias("ty"),
                    (F.col("z") + dz).alias("tz"))
-    src = mg.select(*AXES, F.col("m").alias("m1"), F.col("gw").alias("g1"))
-    dst = mg.select(F.col("x").alias("tx"), F.col("y").alias("ty"), F.col("z").alias("tz"),
+    src = mg.select(*blk, *AXES, F.col("m").alias("m1"), F.col("gw").alias("g1"))
+    dst = mg.select(*blk, F.col("x").alias("tx"), F.col("y").alias("ty"), F.col("z").alias("tz"),
                     F.col("m").alias("m2"), F.col("gw").alias("g2"))
-    j = e.join(src, list(AXES), "left").join(dst, ["tx", "ty", "tz"], "left")
+    j = e.join(src, [*blk, *AXES], "left").join(dst, [*blk, "tx", "ty", "tz"], "left")
     ok = (F.coalesce("m1", F.lit(0)) == 1) & (F.coalesce("m2", F.lit(0)) == 1)
     w = F.when(ok, F.col("a") * F.col("g1") * F.col("g2")).otherwise(F.lit(NAN))
     return j.select(*AXES, "c", w.alias("a"))

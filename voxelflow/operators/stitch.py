@@ -84,9 +84,13 @@ def relabel_dense(labels: DataFrame, block_size, dims, start: int = 1,
     One window partitioned by block ranks the labels (voxels are shuffled
     once, by block); the per-block counts are an aggregate over the same
     partitioning, and the offsets join back on the block key, so only the
-    small per-block table moves again.
+    small per-block table moves again.  Labels that carry their block columns
+    (``sources.bucketed``) are taken as placed, so no voxel moves at all.
     """
-    v = block_position(labels.select(*AXES, "label"), block_size)
+    if set(BLK) <= set(labels.columns):
+        v = labels.select(*BLK, *AXES, "label")
+    else:
+        v = block_position(labels.select(*AXES, "label"), block_size)
     wb = Window.partitionBy(*BLK)
     rk = F.dense_rank().over(wb.orderBy("label"))
     has0 = F.max((F.col("label") == 0).cast("int")).over(wb)
@@ -191,6 +195,30 @@ def same_label_violations(labels: DataFrame, block_size) -> DataFrame:
     return c.filter(F.col("l1") == F.col("l2")).agg(F.count(F.lit(1)).alias("violations"))
 
 
+def with_same_neighbours(labels: DataFrame, block_size) -> DataFrame:
+    """J8 per voxel: ``labels`` and ``same``, the number of voxels before it across a block face (0 to 3)
+    that carry its own non-zero id; the sum of ``same`` is ``same_label_violations``.
+
+    Last-slice voxels (a ``3/B`` fraction) are sent to their neighbours; one hash aggregate by position
+    meets them, so a write can sum ``same`` in its own pass.
+    """
+    b = triple(block_size)
+    nothing = F.lit(None).cast("bigint")
+    own = F.struct(*[F.col(a).alias(a) for a in AXES], F.col("label").alias("label"), *[nothing.alias(f"n{d}") for d in range(3)])
+    sent = [own]
+    for d, (ax, bi) in enumerate(zip(AXES, b)):
+        last = (F.pmod(F.col(ax), F.lit(int(bi))) == int(bi) - 1) & (F.col("label") != 0)
+        sent.append(F.when(last, F.struct(
+            *[(F.col(a) + _UNIT[d][i]).alias(a) for i, a in enumerate(AXES)], nothing.alias("label"),
+            *[(F.col("label") if i == d else nothing).alias(f"n{i}") for i in range(3)])))
+    met = (labels.select(*AXES, F.col("label").cast("bigint").alias("label"))
+                 .select(F.explode(F.array(*sent)).alias("v")).filter(F.col("v").isNotNull()).select("v.*")
+                 .groupBy(*AXES).agg(F.max("label").alias("label"), *[F.max(f"n{d}").alias(f"n{d}") for d in range(3)])
+                 .filter(F.col("label").isNotNull()))
+    same = sum((F.coalesce(F.col(f"n{d}") == F.col("label"), F.lit(False)).cast("int") for d in range(3)), F.lit(0))
+    return met.select(*AXES, "label", same.alias("same"))
+
+
 def assert_unique_across_faces(labels: DataFrame, block_size) -> None:
     n = same_label_violations(labels, block_size).collect()[0][0]
     if n:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import grid
-from ..operators import index, unique
+from ..operators import affinity, index, stitch, unique
+from ..sources import bucketed
 from ..sources import fixtures as fx
 from ..sources import index_store as istore
 from ..sources import ledger as led
 from ..sources import volume
 from ..sources.fixtures import A_SQL, M_SQL, V_SQL, with_sql
 from . import stages, tools
-from .catalog import _U_SQL, _UP_SQL, PM, V_DIMS, VB, _box_sql, _level_dims, _pm_box_sql, _topk_sql, register
+from .catalog import ORACLES, OFFS, _U_SQL, _UP_SQL, PM, V_DIMS, VB, _box_sql, _dense_sql, _face_sql, _level_dims, _pm_box_sql, _topk_sql, register
 from .stages import new_store
 
 SMALL_CELLS = 1         # cells of 2^3 blocks, so that a small volume has many
@@ -91,6 +92,52 @@ def q_pyramid_written(spark, sf):
     return out
 
 
+def _faces_sql(src: str) -> str:
+    return f"SELECT count(*) FROM ({_face_sql(src, VB, False)}) f WHERE l1 = l2"
+
+
+@register("faces_written", with_sql(V_SQL, _dense_sql("V", VB, "DV")) + f"""
+SELECT 'labels' AS dataset, 'complete' AS status, count(*) AS rows, max(label) AS max_id, ({_faces_sql('V')}) AS violations FROM V
+UNION ALL SELECT 'dense', 'complete', count(*), max(label), ({_faces_sql('DV')}) FROM DV
+UNION ALL SELECT 'refused', 'running', NULL, NULL, NULL""")
+def q_faces_written(spark, sf):
+    """Largest id and face violations are measured by the write itself; where ids must be unique to
+    their block, a level with violations stays running."""
+    path = new_store(spark, "volumes")
+    ledger, v = led.Ledger(spark, path), fx.label_volume(spark, sf)
+    led.write_volume(ledger, v, path, "labels", 0, VB, unique_ids="count")
+    stored = led.open_volume(spark, path, "labels")
+    led.write_volume(ledger, stitch.relabel_dense(stored, VB, V_DIMS), path, "dense", 0, VB, unique_ids=True)
+    try:
+        led.write_volume(ledger, stored, path, "refused", 0, VB, unique_ids=True)
+    except ValueError:
+        pass        # V's ids are not unique to a block
+    return ledger.latest().select("dataset", "status", "rows", "max_id", F.col("attrs")["violations"].cast("bigint").alias("violations"))
+
+
+BUCKETS = 8
+
+
+@register("relabel_dense_bucketed", ORACLES["relabel_dense"])
+def q_relabel_dense_bucketed(spark, sf):
+    """J3 on a bucketed volume: no voxel is exchanged after the write."""
+    path = new_store(spark, "volumes")
+    bucketed.write_bucketed(led.Ledger(spark, path), fx.label_volume(spark, sf), path, "labels", VB, BUCKETS)
+    return stitch.relabel_dense(bucketed.open_bucketed(spark, path, "labels"), VB, V_DIMS, segment=16)
+
+
+@register("weight_edges_bucketed", ORACLES["weight_edges"])
+def q_weight_edges_bucketed(spark, sf):
+    """G8 on bucketed edges and weights with their reach: both joins run inside the buckets."""
+    path = new_store(spark, "volumes")
+    ledger = led.Ledger(spark, path)
+    bucketed.write_bucketed(ledger, fx.edge_affinities(spark, sf), path, "edges", VB, BUCKETS)
+    weights = affinity.voxel_weights(fx.mask_volume(spark, sf), fx.glia_volume(spark, sf))
+    bucketed.write_bucketed(ledger, weights, path, "weights", VB, BUCKETS, reach=affinity.reach(OFFS))
+    return affinity.weight_edges_by_block(bucketed.open_bucketed(spark, path, "edges"), OFFS,
+                                          bucketed.open_bucketed(spark, path, "weights"))
+
+
 _DIMS_SQL = """
 , ID AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM MASK),
 """

@@ -30,13 +30,17 @@ from ..sources import volume
 
 @dataclass
 class Stage:
-    """``build(*inputs)`` makes ``name`` from earlier stages or given frames, named by ``needs``."""
+    """``build(*inputs)`` makes ``name`` from earlier stages or given frames, named by ``needs``.
+
+    ``unique_ids``: labels that must not touch themselves across a block face (J8), held to it by their own write.
+    """
 
     name: str
     needs: tuple
     build: Callable[..., DataFrame]
     args: dict = field(default_factory=dict)
     stored: bool = True
+    unique_ids: bool = False
 
 
 def new_store(spark: SparkSession, kind: str) -> str:
@@ -123,7 +127,7 @@ def run(spark: SparkSession, path: str, stages: list[Stage], given: dict[str, Da
         if overwrite or not same:
             df = s.build(*[made[n] for n in s.needs])
             rows[s.name] = write_output(ledger, df, path, s.name, block_size, args={**(args or {}), **s.args}, dims=dims,
-                                        attrs=told, known=old)
+                                        attrs=told, known=old, **({"unique_ids": True} if s.unique_ids else {}))
         versions[s.name] = str(rows[s.name]["version"])
         made[s.name] = read_output(spark, path, s.name, row=rows[s.name])
     return {n: made[n] for n in names}

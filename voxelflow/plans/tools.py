@@ -181,7 +181,7 @@ def stitched_stages(dims, block_size, seed_thr: float = -math.inf, merge_thr: fl
                 rel, sid.select(*grid.AXES, "seed"), d, block_size, impassable_zero)),
             Stage("merged", ("seeded-watersheds", by), merged, {"rule": merge_rule, "threshold": merge_thr})]
     if relabel:
-        out += [Stage("relabelled", ("merged",), lambda m: stitch.relabel_dense(m, block_size, d)),
+        out += [Stage("relabelled", ("merged",), lambda m: stitch.relabel_dense(m, block_size, d), unique_ids=True),
                 Stage("mapping", ("relabelled", by), mapping, {"threshold": face_thr}),
                 Stage("block-merged", ("relabelled", "mapping"), lambda dense, m: stitch.apply_mapping(dense, m, keep_unmapped=True))]
     return out
@@ -312,7 +312,7 @@ def rain_stages(offsets, dims, block_size, thr: float = 0.9, min_aff: float = -m
            Stage("seeds", (raw + "size-filtered",), lambda m: extrema.boundary_seeds(m, offsets, d)),
            Stage(raw + "seeded", (raw + "size-filtered", "valid"), lambda m, a: segment.seeded_growth(m, a, offsets, d, block_size))]
     if relabel:
-        out += [Stage(k, (raw + k,), lambda v: stitch.relabel_dense(v, block_size, d))
+        out += [Stage(k, (raw + k,), lambda v: stitch.relabel_dense(v, block_size, d), unique_ids=True)
                 for k in ("watersheds", "merged", "size-filtered", "seeded")]
     return out
 
@@ -337,7 +337,7 @@ def mutex_stages(offsets, dims, block_size, mask: bool = False, glia: bool = Fal
             Stage("mutex", ("weighted",), lambda a: stitch.drop_singletons(
                 segment.mutex_segmentation(a, offsets, d, block_size, thr, keep_long), block_size),
                 {"threshold": thr, "keep": keep_long}),
-            Stage("relabelled", ("mutex",), lambda m: stitch.relabel_dense(m, block_size, d)),
+            Stage("relabelled", ("mutex",), lambda m: stitch.relabel_dense(m, block_size, d), unique_ids=True),
             Stage("mapping", ("relabelled",), lambda m: graph.connected_components(
                 stitch.merge_edges_mutual_argmax(m, block_size), "e1", "e2")),
             Stage("merged", ("relabelled", "mapping"), lambda m, cc: stitch.apply_mapping(m, cc, True))]

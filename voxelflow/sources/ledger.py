@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.grid import triple
+from ..operators.stitch import with_same_neighbours
 from . import volume
 
 SCHEMA = T.StructType([*volume.META_SCHEMA.fields,
@@ -29,7 +30,7 @@ SCHEMA = T.StructType([*volume.META_SCHEMA.fields,
                        T.StructField("rows", T.LongType(), True)])
 KEY = ("dataset", "level")
 #: Attributes that say how a dataset is stored; they are not copied to another.
-OWN = ("kind", "schema", "args", "step", "shards", "multiScale")
+OWN = ("kind", "schema", "args", "step", "shards", "multiScale", "buckets", "violations")
 
 
 class Ledger:
@@ -164,17 +165,29 @@ def open_aligned(spark: SparkSession, path: str, dataset: str, coords: DataFrame
 
 
 def write_volume(ledger: Ledger, vol: DataFrame, path: str, dataset: str, level: int, block_size, dims=None, whole: bool = True,
-                 blocks: DataFrame | None = None, cell_bits: int = volume.CELL_BITS, attrs: dict | None = None, **claim) -> Row:
-    """A write of one dataset level under a claim: *running* before, *complete* with the write's own metrics after."""
+                 blocks: DataFrame | None = None, cell_bits: int = volume.CELL_BITS, attrs: dict | None = None, unique_ids: bool = False,
+                 **claim) -> Row:
+    """A write of one dataset level under a claim: *running* before, *complete* with the write's own metrics after.
+
+    ``unique_ids`` (whole writes): labels that touch themselves across a block face are counted in the
+    write's own pass (J8), stored as ``violations``, and refused, so that the level stays *running*;
+    with ``"count"`` they are only counted.
+    """
     value = [c for c in vol.columns if c not in ("x", "y", "z")]
     kind = vol.schema[value[0]].dataType.simpleString() if value else "boolean"
     old = None if whole else ledger.row(dataset, level)
     claimed = ledger.claim(dataset, level, block_size, kind, dims, cell_bits=cell_bits, part=not whole, **claim)
-    got = volume.write_volume(vol, path, dataset, level, block_size, whole=whole, blocks=blocks, cell_bits=cell_bits)
+    counted = with_same_neighbours(vol, block_size) if unique_ids else vol
+    measures = {"violations": F.coalesce(F.sum("same"), F.lit(0))} if unique_ids else {}
+    got = volume.write_volume(counted, path, dataset, level, block_size, whole=whole, blocks=blocks, cell_bits=cell_bits,
+                              measures=measures, drop=("same",) if unique_ids else ())
+    if unique_ids and unique_ids != "count" and got["violations"]:
+        raise ValueError(f"{got['violations']} face contacts of {dataset} carry the same id on both sides")
     top, own = got.get("max_label"), dims or [got["n" + a] or 0 for a in "xyz"]
     if old is not None:
         # a write of parts measures the partitions it met
         own = [max(int(a), int(b)) for a, b in zip(own, old["dims"])]
         top = max((v for v in (top, old["max_id"]) if v is not None), default=None)
     told = (attrs or {}) | {"schema": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vol.schema)}
+    told |= {k: got[k] for k in measures}
     return ledger.complete(claimed, own, top, None if old is not None else got["rows"], told)

@@ -135,7 +135,7 @@ def _placed(vol: DataFrame, block_size, cell_bits: int) -> DataFrame:
 
 
 def write_volume(vol: DataFrame, path: str, dataset: str, level: int, block_size, mode: str = "overwrite", whole: bool = False,
-                 blocks: DataFrame | None = None, cell_bits: int = CELL_BITS) -> dict:
+                 blocks: DataFrame | None = None, cell_bits: int = CELL_BITS, measures: dict | None = None, drop: tuple = ()) -> dict:
     """A3: block-addressed write of one dataset level; returns metrics of the rows written.
 
     The blocks of ``blocks(bx, by_, bz)`` (default: those that ``vol`` has rows in) are
@@ -145,8 +145,11 @@ def write_volume(vol: DataFrame, path: str, dataset: str, level: int, block_size
     rows any more are deleted after the write.
 
     Metrics (``DataFrame.observe``, so no second scan): ``rows``, the extent ``nx, ny, nz``,
-    and ``max_label`` where the volume has labels.
+    and ``max_label`` where the volume has labels; ``measures`` are further aggregates over the rows
+    of a whole write, ``drop`` the columns that only they need.
     """
+    if (measures or drop) and not whole:
+        raise ValueError("measures need a whole write")
     spark = vol.sparkSession
     out = _placed(vol, block_size, cell_bits)
     stored = _partitions(spark, path, dataset, level)
@@ -166,8 +169,9 @@ def write_volume(vol: DataFrame, path: str, dataset: str, level: int, block_size
     found = [F.count(F.lit(1)).alias("rows"), *[(F.max(a) + 1).cast("bigint").alias("n" + a) for a in AXES]]
     if "label" in vol.columns:
         found.append(F.max("label").alias("max_label"))
+    found += [c.alias(k) for k, c in (measures or {}).items()]
     out = (out.drop("bx", "by_").withColumn("dataset", F.lit(dataset)).withColumn("level", F.lit(int(level)))
-              .hint("rebalance", "cell", "bz").observe(seen, *found).sortWithinPartitions("cell", "bz", "key", "z", "y", "x"))
+              .hint("rebalance", "cell", "bz").observe(seen, *found).drop(*drop).sortWithinPartitions("cell", "bz", "key", "z", "y", "x"))
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy("dataset", "level", *PLACE).parquet(path))
     for fs, folder, names in met.values():
