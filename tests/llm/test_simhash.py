@@ -108,3 +108,47 @@ def test_one_row_of_each_component_stays(spark, odd_docs, no_docs):
         left = kept.select("doc_id", "text").collect()
         assert len(left) == len(set(comp))
         assert {comp[i] for i, r in enumerate(rows) if (r.doc_id, r.text) in {(k.doc_id, k.text) for k in left}} == set(comp)
+
+
+def test_hot_keys_are_dealt_again(spark):
+    """Keys over ``split`` members, over many small batches: the components stay those of all pairs."""
+    rng = random.Random(11)
+    base = rng.getrandbits(64)
+    fps = {base ^ (i << 20) for i in range(120)} | {base ^ rng.getrandbits(12) for _ in range(120)}     # two crowds
+    for f in [rng.getrandbits(64) for _ in range(40)]:
+        fps |= {f, f ^ 1 << rng.randrange(64), f ^ 3 << rng.randrange(62)}
+    fps = sorted(fps)
+    want = brute_components(fps, fps)
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp bigint")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(size)
+    try:
+        for split, batch in ((10, 7), (10, 10_000), (50, 3), (10 ** 6, 7)):
+            spark.conf.set(size, str(batch))
+            p = {f: f for f in fps}
+
+            def find(a):
+                while p[a] != a:
+                    a = p[a]
+                return a
+            for a, b in simhash.link_forest(df, 3, split).collect():
+                a, b = find(a % (1 << 64)), find(b % (1 << 64))
+                p[max(a, b)] = min(a, b)
+            assert [find(f) for f in fps] == want, (split, batch)
+    finally:
+        spark.conf.set(size, old)
+
+
+def test_put_off_groups_hold_no_more_than_split_and_a_batch():
+    import pyarrow as pa
+
+    def batches():
+        for lo in range(0, 1000, 10):
+            k = [0 if i < 5 else 1 if i < 905 else 2 for i in range(lo, lo + 10)]
+            yield pa.RecordBatch.from_pydict({"k": k, "v": [7] * 10, "fp": list(range(lo, lo + 10))})
+    out = [b.to_pydict() for b in simhash._linked(batches(), ["k", "v"], 3, 100)]
+    late = [(f, k) for b in out for f, k in zip(b["a"], b["k"]) if k is not None]
+    assert sorted(late) == [(i, 1) for i in range(5, 905)]
+    assert max(len(b["a"]) for b in out) <= 110
+    linked = {f for b in out for f, k in zip(b["a"], b["k"]) if k is None}
+    assert linked and linked <= set(range(5)) | set(range(905, 1000))

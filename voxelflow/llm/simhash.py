@@ -14,9 +14,10 @@ word shingles.  Two texts link when their fingerprints differ in at most
   A comparison XORs planes and adds them up for many lanes at once with
   carry-save counters; a block of lanes is abandoned as soon as every lane is
   over the radius.
-* A group with more than ``SPLIT`` members is cut again by the same rule over
-  the bits that its key leaves open, so the quadratic part stays below 2^16
-  members whatever the group holds.
+* A group with more than ``SPLIT`` members is dealt again, over a second
+  exchange, by the same rule over the bits that its key leaves open: no task
+  holds a hot key.  What is still large is cut once more inside its task,
+  so the quadratic part stays below 2^16 members whatever the group holds.
 * A group emits a spanning forest of its links, not its pairs.  Components of
   the forests are found by distributed contraction.
 
@@ -226,35 +227,83 @@ def _forest(n: int, links) -> tuple[np.ndarray, np.ndarray]:
     return leaf, lab[leaf]
 
 
-def link_forest(fps: DataFrame, radius: int = 3) -> DataFrame:
-    """``(a, b)``: spanning links per key group over the distinct ``fp`` of ``fps``."""
-    masks = key_masks(radius)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keyed = (fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed]))
-                        .alias("k", "v"))
-                .repartition("k", "v").sortWithinPartitions("k", "v"))
-
-    def run(batches):
-        def emit(k, v, f):
-            key = np.unique(np.rec.fromarrays([k, v]), return_inverse=True)[1] if len(k) else k
-            leaf, root = _forest(len(f), link_groups(key, f.view(np.uint64), radius))
-            return pa.RecordBatch.from_arrays([pa.array(f[leaf]), pa.array(f[root])], names=["a", "b"])
-        rest = None
-        for b in batches:
-            k, v, f = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("k", "v", "fp"))
-            if rest is not None:
-                k, v, f = (np.concatenate(x) for x in zip(rest, (k, v, f)))
-            if not len(k):
+def _linked(batches, keys: list[str], radius: int, split: int | None):
+    """Links ``(a, b)`` of the sorted groups of ``keys``; members ``a`` of groups over ``split`` go out with their key instead.
+
+    Only the last, open group is held, and of a group that is put off at most ``split`` members and a batch.
+    """
+    def emit(parts):
+        *key, f = (np.concatenate(x) for x in zip(*parts))
+        if not len(f):
+            return
+        new = np.zeros(len(f), np.int64)
+        for a in key:
+            new[1:] |= a[1:] != a[:-1]
+        leaf, root = _forest(len(f), link_groups(np.cumsum(new), f.view(np.uint64), radius))
+        none = pa.nulls(len(leaf), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(f[leaf]), pa.array(f[root]), none, none], names=["a", "b", "k", "v"])
+
+    def put_off(parts):
+        k, v, f = (np.concatenate(x) for x in zip(*parts))
+        yield pa.RecordBatch.from_arrays([pa.array(f), pa.nulls(len(f), pa.int64()), pa.array(k), pa.array(v)],
+                                         names=["a", "b", "k", "v"])
+    held, own, late = [], None, False
+    for batch in batches:
+        rows = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (*keys, "fp")]
+        n = len(rows[-1])
+        if not n:
+            continue
+        new = np.zeros(n, bool)
+        for a in rows[:-1]:
+            new[1:] |= a[1:] != a[:-1]
+        new[0] = own is None or any(a[0] != o for a, o in zip(rows, own))
+        starts = np.flatnonzero(new)
+        if late:
+            head = int(starts[0]) if len(starts) else n
+            if head:
+                yield from put_off([[a[:head] for a in rows]])
+            if head == n:
                 continue
-            # the last group may go on in the next batch
-            end = np.flatnonzero((k != k[-1]) | (v != v[-1]))
-            cut = int(end[-1]) + 1 if len(end) else 0
-            if cut:
-                yield emit(k[:cut], v[:cut], f[:cut])
-            rest = (k[cut:], v[cut:], f[cut:])
-        if rest is not None:
-            yield emit(*rest)
-    return keyed.select("k", "v", "fp").mapInArrow(run, "a bigint, b bigint").distinct()
+            rows, starts, late = [a[head:] for a in rows], starts - head, False
+        held.append(rows)
+        if len(starts):
+            last = int(starts[-1])
+            yield from emit([*held[:-1], [a[:last] for a in rows]])
+            held, own = [[a[last:] for a in rows]], tuple(a[last] for a in rows[:-1])
+        if split is not None and sum(len(r[-1]) for r in held) > split:
+            yield from put_off(held)
+            held, late = [], True
+    if held:
+        yield from emit(held)
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def link_forest(fps: DataFrame, radius: int = 3, split: int = SPLIT) -> DataFrame:
+    """``(a, b)``: spanning links per key group over the distinct ``fp`` of ``fps``.
+
+    A key with more than ``split`` members is no task of its own: its members are dealt once
+    more, by the same rule over the bits that the key leaves open.  Fingerprints are distinct and at most
+    17 bits stay open then, so no group of the second exchange passes 2^17 members.
+    """
+    masks = key_masks(radius)
+    keyed = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("k", "v"))
+    out = "a bigint, b bigint, k bigint, v bigint"
+    first = cut_lineage(keyed.repartition("k", "v").sortWithinPartitions("k", "v").select("k", "v", "fp")
+                             .mapInArrow(lambda bs: _linked(bs, ["k", "v"], radius, split), out))
+    links = first.filter("k IS NULL").select("a", "b")
+    late = first.filter("k IS NOT NULL").select("k", "v", F.col("a").alias("fp"))
+    # the second masks of every key, a fixed list of lists
+    again = F.array(*[F.array(*[F.lit(_signed(sum(1 << b for x in pick for b in x))) for pick in combinations(
+        _blocks([b for b in range(64) if not m >> b & 1], 2 * radius), radius)]) for m in masks])
+    dealt = (late.select("k", "v", "fp", F.posexplode(F.transform(F.get(again, F.col("k").cast("int")),
+                                                                  lambda m: F.col("fp").bitwiseAND(m))).alias("k2", "v2"))
+                 .repartition("k", "v", "k2", "v2").sortWithinPartitions("k", "v", "k2", "v2"))
+    more = (dealt.select("k", "v", "k2", "v2", "fp").mapInArrow(lambda bs: _linked(bs, ["k", "v", "k2", "v2"], radius, None), out)
+                 .select("a", "b"))
+    return links.unionByName(more).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
