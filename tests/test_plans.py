@@ -71,3 +71,8 @@ def test_bucketed_volumes_exchange_no_voxel(spark, name, most):
     assert any("x#" in m.replace("bx#", "") for m in plain)
     assert not any("x#" in m.replace("bx#", "") for m in moved), moved
     assert most is None or len(moved) <= most, moved
+
+
+def test_stored_weights_are_not_broadcast(spark):
+    plan = QUERIES["weight_edges_bucketed"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2, plan

@@ -197,8 +197,10 @@ def weight_edges(aff: DataFrame, offsets: Sequence[Sequence[int]], mask: DataFra
 def weight_edges_by_block(aff: DataFrame, offsets: Sequence[Sequence[int]], weights: DataFrame) -> DataFrame:
     """G8 inside blocks: ``aff`` and ``weights`` (``voxel_weights``) carry their block columns, and a block of
     ``weights`` also holds the voxels that its edges reach (``reach``).  On bucketed tables no voxel moves.
+
+    The joins merge: a stored volume's files are so much smaller than its rows that Spark would broadcast them.
     """
-    return _weigh(aff, offsets, weights, list(BLOCK_COLS))
+    return _weigh(aff, offsets, weights.hint("merge"), list(BLOCK_COLS))
 
 
 def reach(offsets: Sequence[Sequence[int]]) -> tuple:
