@@ -271,6 +271,21 @@ def test_licences_of_wrapped_headers_and_of_texts_without_line_breaks(spark):
     assert {r.id: r.own for r in licenses.assign(f).collect()} == {i: w for i, _, w in rows}
 
 
+def test_documents_inherit_from_a_document_that_is_a_licence(spark, tmp_path):
+    from voxelflow.llm.queries import QUERIES
+    long = " ".join(["prose of many words"] * 60)
+    rows = [(1, "Short note.\nReleased under the MIT License.", "en", "s1"), (2, "some prose", "en", "s1"), (3, None, "en", "s1"),
+            (4, "some prose", "de", "s1"), (5, long + "\nLicensed under CC BY 4.0.", "de", "s1"),
+            (6, "Released under the MIT License.", "fr", "s2"), (7, "Licensed under CC BY 4.0.", "fr", "s2"), (8, long, "fr", "s2"),
+            (None, "Released under the MIT License.", None, None), (9, "x", None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.own, r.inherited_from, r.licence) for r in QUERIES["op8_licenses"](spark, str(tmp_path)).collect()}
+    mit, by = ("MIT", None, "MIT"), ("CC-BY-4.0", None, "CC-BY-4.0")
+    none = (None, None, None)       # a licence above all directories holds for itself only
+    assert got == {1: mit, 2: (None, "s1/en", "MIT"), 3: (None, "s1/en", "MIT"), 4: none, 5: by, 6: mit, 7: by, 8: (None, "s2/fr", "CC-BY-4.0"),
+                   None: mit, 9: none}
+
+
 # ----------------------------------------------------------------------- warc
 
 def test_warc_round_trip(spark, tmp_path):

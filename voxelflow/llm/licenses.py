@@ -11,7 +11,9 @@ counted over the lines, licence files and templates; a word outside them counts
 as met nowhere.  A file's own licence is the template of its best passage at
 ``least_cosine`` or more.  A file without one inherits from the nearest ancestor directory that
 holds a licence file: the directories above a path are generated and joined to
-the directories of licence files by equality, and the longest one wins.
+the directories of licence files by equality, and the longest one wins.  A file
+is a licence file by its name and, with ``licence_share``, also by its text: at
+least that share of its words are those of a template of its own licence.
 
 Texts are cut into overlapping blocks before their cues are, so a text full of
 cues makes no large row, and equal surroundings are compared once.  Terms and
@@ -243,10 +245,32 @@ def _directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def resolve(files: DataFrame, own: DataFrame, licence_file: str = LICENCE_FILE) -> DataFrame:
-    """``(key, inherited, inherited_from)`` of the files without an own licence, from the nearest licensed directory."""
+def mostly_licence(files: DataFrame, share: float) -> DataFrame:
+    """``(key, licence)`` where ``share`` of a text's words or more are those of a template, each as often as it holds it."""
+    counts = [Counter(_words(text)) for _, text in VARIANTS]
+    variants = F.array(*[F.struct(F.lit(n).alias("licence"), F.array(*[F.struct(F.lit(t).alias("term"), F.lit(k).alias("n")) for t, k in c.items()])
+                                  .alias("terms")) for (n, _), c in zip(VARIANTS, counts)])
+    longest = int(max(c.total() for c in counts) / share)
+    words = (files.filter(F.col("text").rlike(WRAPPED_CUE)).select("key", _terms(F.col("text")).alias("words"))
+                  .filter(F.size("words").between(1, longest)))
+
+    def shared(v):
+        return F.aggregate(v["terms"], F.lit(0), lambda a, t: a + F.least(F.size(F.filter(F.col("words"), lambda w: w == t["term"])), t["n"]))
+    found = F.transform(F.filter(variants, lambda v: shared(v) >= F.size("words") * share), lambda v: v["licence"])
+    return words.select("key", F.explode(found).alias("licence")).distinct()
+
+
+def resolve(files: DataFrame, own: DataFrame, licence_file: str = LICENCE_FILE, whole: DataFrame | None = None) -> DataFrame:
+    """``(key, inherited, inherited_from)`` of the files without an own licence, from the nearest licensed directory.
+
+    ``whole``: keys of files that are their directory's licence files whatever their name; a file above all directories isn't.
+    """
     named = join_unique(files.select("key", "path").distinct(), own.select("key", "licence"), "key")
-    held = (named.filter(F.col("licence").isNotNull() & F.col("path").rlike(licence_file))
+    is_licence = F.col("path").rlike(licence_file)
+    if whole is not None:
+        named = join_unique(named, whole.select("key", F.lit(True).alias("whole")), "key")
+        is_licence = is_licence | F.col("whole").isNotNull() & (_directory(F.col("path")) != "")
+    held = (named.filter(F.col("licence").isNotNull() & is_licence)
                  .groupBy(_directory(F.col("path")).alias("dir")).agg(F.min("licence").alias("licence")))
     parts = F.split(_directory(F.col("path")), "/")
     above = (named.filter(F.col("licence").isNull() & F.col("path").isNotNull())
@@ -257,12 +281,15 @@ def resolve(files: DataFrame, own: DataFrame, licence_file: str = LICENCE_FILE)
                  .select("key", F.col("b.licence").alias("inherited"), F.col("b.dir").alias("inherited_from")))
 
 
-def assign(files: DataFrame, least_cosine: float = 0.6, licence_file: str = LICENCE_FILE) -> DataFrame:
+def assign(files: DataFrame, least_cosine: float = 0.6, licence_file: str = LICENCE_FILE, licence_share: float | None = None) -> DataFrame:
     """``(id, path, own, cosine, inherited_from, licence)`` of every row of ``files(id, path, text)``."""
     key = F.xxhash64(F.col("id").cast("string"), F.lit("\u0000"), F.col("path"))
     keyed = files.select("id", F.col("path").cast("string").alias("path"), "text").withColumn("key", key)
     own = cut_lineage(scan(keyed, least_cosine, licence_file))
     slim = keyed.select("id", "path", "key")
-    inherited = resolve(slim, own, licence_file)
+    whole = None
+    if licence_share is not None:
+        whole = cut_lineage(mostly_licence(keyed, licence_share).join(own.select("key", "licence"), ["key", "licence"]).select("key").distinct())
+    inherited = resolve(slim, own, licence_file, whole)
     out = join_unique(join_unique(slim, own.withColumnRenamed("licence", "own"), "key"), inherited, "key")
     return out.select("id", "path", "own", "cosine", "inherited_from", F.coalesce("own", "inherited").alias("licence"))
