@@ -218,3 +218,31 @@ def test_hot_keys_are_salted(spark):
     assert len(got) == 5005 and got[3] == 14 and got[4200] == 8400 and got[4700] is None and got[-10] is None
     counts = left.groupBy("k").agg(F.count("*").alias("n"))
     assert [r.k for r in hot_keys(counts, "k").collect()] == [7] and SALTS > 1
+
+
+def test_blocks_are_finished_block_by_block(spark, monkeypatch):
+    """Many blocks, more edges in all than one task may finish: no round over the whole volume is needed."""
+    from pyspark.sql import functions as F
+    from voxelflow.operators import graph, stitch
+    rng, n, b = random.Random(12), 9, 4
+    at = [(x, y, z) for x in range(n) for y in range(n) for z in range(n) if rng.random() < 0.9]
+    rel = spark.createDataFrame([(*p, rng.randrange(6) / 4) for p in at], "x bigint, y bigint, z bigint, v double")
+    seeds = spark.createDataFrame([(*p, i + 1) for i, p in enumerate(rng.sample(at, 40))], "x bigint, y bigint, z bigint, seed bigint")
+    d, part = (n, n, n), segment._part((n, n, n), b)
+    nodes, edges = segment.relief_edges(rel, seeds, d, b)
+    e = edges.select("n1", "n2", F.expr("(xxhash64(least(n1, n2), greatest(n1, n2)) % 5) / 4").alias("a"))
+    e = e.unionByName(e.select(F.col("n2").alias("n1"), F.col("n1").alias("n2"), "a"))
+    pairs = spark.createDataFrame([(i % 3, 0, i % 2, *sorted((rng.randrange(30), rng.randrange(30)))) for i in range(60)],
+                                  "bx bigint, by_ bigint, bz bigint, e1 bigint, e2 bigint")
+    labels = rel.select("x", "y", "z", F.expr("cast(v * 16 as bigint) % 30").alias("label"))
+
+    def all_of(**how):
+        up = segment.steepest_ascent(nodes, e, **how)
+        return [sorted(map(tuple, df.collect())) for df in (
+            segment.marker_forest(nodes, edges, **how), up,
+            segment.merge_basins(up, e, 0.75, how.get("part")), stitch.merge_pairs_within_blocks(labels, pairs, b))]
+    want = all_of(local_edges=0)
+    assert all_of(part=part, local_edges=0) == want        # blocks above the bound go through the rounds
+    for module, name in ((segment, "pointer_jump"), (segment, "connected_components"), (graph, "connected_components"), (segment, "finish_here")):
+        monkeypatch.setattr(module, name, None, raising=False)
+    assert all_of(part=part, local_edges=500) == want

@@ -12,7 +12,9 @@ map-side combine, and the joins that rewrite edge ends go through
 ``skew.join_unique``, which deals the edges of high-degree vertices over salts.
 The edge table shrinks every round; superseded checkpoints are deleted.  Once it
 holds at most ``LOCAL_EDGES`` edges (a fixed bound, a few MB), one task finishes by
-union-find: the last rounds would cost more in scheduling than in work.
+union-find: the last rounds would cost more in scheduling than in work.  Edges that
+stay inside blocks are a graph per block: once no block holds more than
+``LOCAL_EDGES``, all blocks are finished at once, each in a group of its own.
 
 Root of a component = its smallest label.
 """
@@ -80,6 +82,23 @@ def finish_here(e: DataFrame, schema: str, rows) -> DataFrame:
     return e.coalesce(1).mapInArrow(run, out)
 
 
+def most_in_a_part(e: DataFrame, part: str = "part") -> int:
+    """The rows of the largest part."""
+    return e.groupBy(part).count().agg(F.max("count")).first()[0] or 0
+
+
+def finish_parts(e: DataFrame, schema: str, rows, part: str = "part") -> DataFrame:
+    """``rows(list of dicts)`` over the rows of every part; for parts within ``LOCAL_EDGES`` only."""
+    out = e.sparkSession.createDataFrame([], schema).schema
+    arrow = to_arrow_schema(out)
+
+    def run(t):
+        found = rows(t.drop_columns([part]).to_pylist())
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), arrow)] if found else
+                                    [pa.array([], f.type) for f in arrow], schema=arrow)
+    return e.groupBy(part).applyInArrow(run, out)
+
+
 def _union(rows: list[dict]) -> list[tuple]:
     """``(k, p)`` of the components of edges ``(u, v)``; keys may be structs."""
     names = list(rows[0]["u"]) if rows and isinstance(rows[0]["u"], dict) else None
@@ -92,6 +111,29 @@ def _union(rows: list[dict]) -> list[tuple]:
     return [tuple(dict(zip(names, x)) for x in kp) for kp in out] if names else out
 
 
+def components_in_parts(edges: DataFrame, part: str, a: str = "e1", b: str = "e2", local_edges: int = LOCAL_EDGES) -> DataFrame:
+    """``connected_components`` of edges between numbers that never leave their ``part``: ``(part, label, root)``."""
+    e = cut_lineage(edges.select(part, F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    kind = e.schema[part].dataType.simpleString()
+    if most_in_a_part(e, part) <= local_edges:
+        # the part's column is the key of the group, so its value stands beside the rows found
+        named = e.withColumn("_part", F.col(part)).withColumnRenamed("u", "_u").withColumnRenamed("v", "_v")
+        out = finish_parts(named, f"`{part}` {kind}, label bigint, root bigint", _union_of_part, part)
+    else:
+        node = lambda c: F.struct(F.col(part).alias("p"), F.col(c).alias("l"))
+        cc = connected_components(e.select(node("u").alias("e1"), node("v").alias("e2")), local_edges=local_edges)
+        out = cc.select(F.col("label.p").alias(part), F.col("label.l").alias("label"), F.col("root.l").alias("root"))
+    out = cut_lineage(out)
+    drop_checkpoint(e)
+    return out
+
+
+def _union_of_part(rows: list[dict]) -> list[tuple]:
+    """``_union`` of one part."""
+    at = rows[0]["_part"]
+    return [(at, k, p) for k, p in _union([{"u": r["_u"], "v": r["_v"]} for r in rows])]
+
+
 def connected_components(edges: DataFrame, a: str = "e1", b: str = "e2", local_edges: int = LOCAL_EDGES) -> DataFrame:
     """``(label, root)`` for every label that appears in ``edges``; ``edges`` are read once."""
     every = cut_lineage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())

@@ -19,7 +19,9 @@ blocks are processed by the same distributed plan:
 
 Node ids are global linear voxel indices (B12).  Lineage is cut with reliable
 checkpoints between rounds.  Once a contracted graph holds at most
-``graph.LOCAL_EDGES`` edges (a fixed bound), one task finishes it sequentially.
+``graph.LOCAL_EDGES`` edges (a fixed bound), one task finishes it sequentially;
+where edges stay inside blocks, that bound is each block's, and every block is
+finished in a group of its own (``block_number``).
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from ..functions.grid import AXES, floor_div, linear_index, triple
 from ..session import cut_lineage, drop_checkpoint
 from .affinity import offset_cols
-from .graph import LOCAL_EDGES, Forest, finish_here
+from .graph import LOCAL_EDGES, Forest, components_in_parts, finish_here, finish_parts, most_in_a_part
 
 INF = float("inf")
 
@@ -45,6 +47,14 @@ def _same_block_cols(block_size, p=("x", "y", "z"), q=("qx", "qy", "qz")):
     return cond
 
 
+def block_number(node: str, dims, block_size) -> F.Column:
+    """The number of the block that the voxel of index ``node`` (B12) lies in."""
+    (nx, ny, _), b = triple(dims), triple(block_size)
+    n = F.col(node)
+    at = [floor_div(c, bi) for c, bi in zip((F.pmod(n, F.lit(int(nx))), F.pmod(floor_div(n, nx), F.lit(int(ny))), floor_div(n, nx * ny)), b)]
+    return at[0] + F.lit(-(-int(nx) // int(b[0]))) * (at[1] + F.lit(-(-int(ny) // int(b[1]))) * at[2])
+
+
 # ---------------------------------------------------------------------------
 # Pointer jumping
 # ---------------------------------------------------------------------------
@@ -91,7 +101,25 @@ def voxel_edges(aff: DataFrame, offsets, dims, block_size=None,
                                linear_index(d, "qx", "qy", "qz").alias("n2"), "a")
 
 
-def steepest_ascent(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _climb(rows: list[dict]) -> list[tuple]:
+    """The roots of one block's pointers."""
+    up, out = {r["_node"]: r["_parent"] for r in rows}, []
+    for r in rows:
+        path, at = [], r["_node"]
+        while up.get(at, at) != at:
+            path.append(at)
+            at = up[at]
+        for p in path:
+            up[p] = at
+        out.append((r["_node"], at))
+    return out
+
+
+def _part(dims, block_size):
+    return None if block_size is None else lambda node: block_number(node, dims, block_size)
+
+
+def steepest_ascent(nodes: DataFrame, edges: DataFrame, part=None, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """Every node points at the neighbour of its strongest valid edge
     (ties: smaller neighbour id); a mutual pair's smaller id is the root;
     nodes without valid edges are roots.  Returns ``(node, root)``.
@@ -99,6 +127,9 @@ def steepest_ascent(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ``edges`` are directed ``(n1 -> n2, a)`` (symmetric affinities give both
     directions).  With symmetric weights and this tie-break the only cycles
     are mutual pairs, so pointer doubling terminates.
+
+    ``part``: function from a node's column to the number of the block that its edges stay in;
+    pointers of blocks of up to ``local_edges`` nodes are followed block by block.
     """
     best = (edges.groupBy("n1").agg(F.max(F.struct(F.col("a"), (-F.col("n2")).alias("neg")))
                                      .alias("b"))
@@ -109,19 +140,31 @@ def steepest_ascent(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     par = par.join(back, "parent", "left").select(
         "node", F.when((F.col("pp") == F.col("node")) & (F.col("node") < F.col("parent")),
                        F.col("node")).otherwise(F.col("parent")).alias("parent"))
-    return pointer_jump(par)
+    if part is None:
+        return pointer_jump(par)
+    par = cut_lineage(par)
+    e = par.select(part("node").alias("part"), F.col("node").alias("_node"), F.col("parent").alias("_parent"))
+    if most_in_a_part(e) > local_edges:
+        return pointer_jump(par, materialised=True)
+    out = cut_lineage(finish_parts(e, "node bigint, root bigint", _climb))
+    drop_checkpoint(par)
+    return out
 
 
-def merge_basins(basins: DataFrame, edges: DataFrame, thr: float) -> DataFrame:
+def merge_basins(basins: DataFrame, edges: DataFrame, thr: float, part=None) -> DataFrame:
     """Union the basins of neighbouring voxels whose edge passes ``thr``
-    (``a >= thr``); returns ``(node, root)`` with the smallest basin id as root."""
+    (``a >= thr``); returns ``(node, root)`` with the smallest basin id as root.
+    ``part``: as in ``steepest_ascent``."""
     from .graph import connected_components
     b = basins.select("node", "root")
     e = (edges.filter(F.col("a") >= F.lit(float(thr)))
               .join(b.select(F.col("node").alias("n1"), F.col("root").alias("r1")), "n1")
               .join(b.select(F.col("node").alias("n2"), F.col("root").alias("r2")), "n2")
               .filter(F.col("r1") != F.col("r2")).select("r1", "r2"))
-    cc = connected_components(e, "r1", "r2")
+    if part is None:
+        cc = connected_components(e, "r1", "r2")
+    else:
+        cc = components_in_parts(e.select(part("r1").alias("part"), "r1", "r2"), "part", "r1", "r2")
     out = b.join(cc.select(F.col("label").alias("root"), F.col("root").alias("merged")), "root", "left")
     return out.select("node", F.coalesce("merged", "root").alias("root"))
 
@@ -144,7 +187,15 @@ def _grow(rows: list[dict]) -> list[tuple]:
     return [(c, f.find(c)) for c in f.parent if f.find(c) != c]
 
 
-def marker_forest(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+def _grow_part(rows: list[dict]) -> list[tuple]:
+    """``_grow`` of one block: its edges, and its markers as rows without a second end."""
+    mark = {r["c1"]: r["m"] for r in rows if r["c2"] is None}
+    edges = [r for r in rows if r["c2"] is not None]
+    return _grow([{**r, "m1": mark.get(r["c1"], 0), "m2": mark.get(r["c2"], 0)} for r in edges
+                  if not (mark.get(r["c1"]) and mark.get(r["c2"]))])
+
+
+def marker_forest(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_EDGES, part=None) -> DataFrame:
     """Assign every node the marker of its tree in a maximum spanning forest
     rooted at the marked nodes.
 
@@ -152,6 +203,9 @@ def marker_forest(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_E
     undirected ``(n1, n2, w, t)``; edge order is ``(w, t, min id, max id)``,
     larger is stronger (a total order, so Borůvka never closes a cycle).
     Unreachable nodes keep marker 0.  Returns ``(node, marker)``.
+
+    ``part``: function from a node's column to the number of the block that its
+    edges stay in.  Blocks of up to ``local_edges`` edges are finished block by block.
     """
     key = F.struct(F.col("w").alias("w"), F.col("t").alias("t"),
                    F.least("n1", "n2").alias("lo"), F.greatest("n1", "n2").alias("hi"))
@@ -161,7 +215,18 @@ def marker_forest(nodes: DataFrame, edges: DataFrame, local_edges: int = LOCAL_E
     e, mark = cut_lineage(e), cut_lineage(mark)
     maps = []
     while True:
-        if e.count() <= local_edges:
+        if part is not None and most_in_a_part(e.select(part("c1").alias("part"))) <= local_edges:
+            none = F.lit(None)
+            marked = mark.filter("marker <> 0").select("comp", "marker")
+            rows = e.select(part("c1").alias("part"), "c1", "c2", "k", none.cast("bigint").alias("m")).unionByName(marked.select(
+                part("comp").alias("part"), F.col("comp").alias("c1"), none.cast("bigint").alias("c2"),
+                none.cast(e.schema["k"].dataType).alias("k"), F.col("marker").cast("bigint").alias("m")))
+            m = cut_lineage(finish_parts(rows, "comp bigint, new bigint", _grow_part))
+            drop_checkpoint(e)
+            maps.append(m)
+            mark = cut_lineage(mark.join(m.select("comp"), "comp", "left_anti"))
+            break
+        if part is None and e.count() <= local_edges:
             m1, m2 = (mark.select(F.col("comp").alias("c" + i), F.col("marker").alias("m" + i)) for i in "12")
             m = cut_lineage(finish_here(e.join(m1, "c1").join(m2, "c2"), "comp bigint, new bigint", _grow))
             maps.append(m)
@@ -257,7 +322,7 @@ def seeded_watershed(relief: DataFrame, seeds: DataFrame, dims, block_size=None,
     reaches it (marker-rooted maximum spanning forest); unreachable -> 0."""
     d = triple(dims)
     nodes, edges = relief_edges(relief, seeds, d, block_size, impassable_zero)
-    lab = marker_forest(nodes, edges)
+    lab = marker_forest(nodes, edges, part=_part(d, block_size))
     return _node_to_xyz(lab.withColumnRenamed("marker", "label"), d)
 
 
@@ -268,7 +333,7 @@ def seeded_growth(labels: DataFrame, aff: DataFrame, offsets, dims, block_size=N
     nodes = labels.select(linear_index(d).alias("node"), F.col("label").alias("marker"))
     e = voxel_edges(aff, offsets, d, block_size).select("n1", "n2", F.col("a").alias("w"),
                                                         F.lit(0.0).alias("t"))
-    lab = marker_forest(nodes, e)
+    lab = marker_forest(nodes, e, part=_part(d, block_size))
     return _node_to_xyz(lab.withColumnRenamed("marker", "label"), d)
 
 

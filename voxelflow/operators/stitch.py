@@ -161,7 +161,7 @@ def face_contacts(labels: DataFrame, block_size, value: DataFrame | None = None,
         on_face = t if on_face is None else on_face | t
     lab = lab.filter(on_face)      # only face voxels (a 6/B fraction) go further
     if value is not None:
-        lab = lab.join(value.select(*AXES, F.col(value_col).alias("_v")), list(AXES), "left")
+        lab = lab.join(value.select(*AXES, F.col(value_col).alias("_v")).hint("merge"), list(AXES), "left")
     else:
         lab = lab.withColumn("_v", F.lit(None).cast("double"))
     last, first = [], []
@@ -302,7 +302,8 @@ def block_contacts(labels: DataFrame, relief: DataFrame, block_size, ignore=(0,)
     lab = labels.select(*AXES, "label")
     if ignore:
         lab = lab.filter(~F.col("label").isin(*[int(i) for i in ignore]))
-    lab = lab.join(relief.select(*AXES, "v"), list(AXES), "left")
+    # a stored volume's files are so much smaller than its rows that Spark would broadcast them
+    lab = lab.join(relief.select(*AXES, "v").hint("merge"), list(AXES), "left")
     fwd = []
     for d, (ax, bi) in enumerate(zip(AXES, b)):
         e = _UNIT[d]
@@ -347,16 +348,12 @@ def merge_fragments_min(labels: DataFrame, relief: DataFrame, block_size, thr: f
 def merge_pairs_within_blocks(labels: DataFrame, pairs: DataFrame, block_size) -> DataFrame:
     """Apply block-local merges (I5/I6 output) to a block-wise segmentation.
 
-    Graph nodes are ``struct(bx, by_, bz, label)``: the block is part of the
-    key, so components never cross blocks, and the component root (smallest
-    node) carries the smallest label of the component.
+    The block is the part of the graph that a pair lies in, so components never
+    cross blocks; the root is the smallest label of the component.
     """
-    from .graph import connected_components
+    from .graph import components_in_parts
     v = block_position(labels, triple(block_size))
-    node = lambda lab: F.struct(*[F.col(c) for c in BLK], F.col(lab).alias("label"))
-    cc = connected_components(pairs.select(node("e1").alias("n1"), node("e2").alias("n2")),
-                              "n1", "n2")
-    m = cc.select(*[F.col("label")[c].alias(c) for c in BLK],
-                  F.col("label")["label"].alias("label"), F.col("root")["label"].alias("newlab"))
+    cc = components_in_parts(pairs.select(F.struct(*BLK).alias("blk"), "e1", "e2"), "blk")
+    m = cc.select("blk.*", "label", F.col("root").alias("newlab"))
     out = v.join(m, BLK + ["label"], "left")
     return out.select(*AXES, F.coalesce("newlab", "label").alias("label"))

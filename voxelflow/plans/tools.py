@@ -298,15 +298,18 @@ def rain_stages(offsets, dims, block_size, thr: float = 0.9, min_aff: float = -m
     def edges(a):
         return segment.voxel_edges(affinity.symmetric_affinities(a, offsets), affinity.symmetric_offsets(offsets), d, block_size, min_aff)
 
+    def part(node):
+        return segment.block_number(node, d, block_size)
+
     def labelled(basins):
         return segment._node_to_xyz(basins.select("node", (F.col("root") + 1).alias("label")), d)
 
     def merged(ws, e):
-        return labelled(segment.merge_basins(ws.select(grid.linear_index(d).alias("node"), (F.col("label") - 1).alias("root")), e, thr))
+        return labelled(segment.merge_basins(ws.select(grid.linear_index(d).alias("node"), (F.col("label") - 1).alias("root")), e, thr, part))
     out = [Stage("valid", ("affinities",), valid, {"invert": invert}, stored=False),
            Stage("edges", ("valid",), edges, {"least": min_aff}),
            Stage(raw + "watersheds", ("valid", "edges"), lambda a, e: labelled(
-               segment.steepest_ascent(a.select(grid.linear_index(d).alias("node")).distinct(), e))),
+               segment.steepest_ascent(a.select(grid.linear_index(d).alias("node")).distinct(), e, part))),
            Stage(raw + "merged", (raw + "watersheds", "edges"), merged, {"threshold": thr}),
            Stage(raw + "size-filtered", (raw + "merged",), lambda m: stitch.size_filter(m, block_size, min_size), {"least": min_size}),
            Stage("seeds", (raw + "size-filtered",), lambda m: extrema.boundary_seeds(m, offsets, d)),
