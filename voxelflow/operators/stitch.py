@@ -85,7 +85,9 @@ def relabel_dense(labels: DataFrame, block_size, dims, start: int = 1,
     once, by block); the per-block counts are an aggregate over the same
     partitioning, and the offsets join back on the block key, so only the
     small per-block table moves again.  Labels that carry their block columns
-    (``sources.bucketed``) are taken as placed, so no voxel moves at all.
+    (``sources.bucketed``) are taken as placed, so no voxel moves at all.  The
+    join merges rows that the window has dealt and sorted by block; by the size of
+    a stored volume's files Spark would broadcast its voxels.
     """
     if set(BLK) <= set(labels.columns):
         v = labels.select(*BLK, *AXES, "label")
@@ -97,7 +99,7 @@ def relabel_dense(labels: DataFrame, block_size, dims, start: int = 1,
     v = v.withColumn("rk", (rk - has0).cast("bigint"))
     counts = v.groupBy(*BLK).agg(F.max("rk").alias("n"))
     offs = block_offsets(counts, dims, block_size, start, segment)
-    out = v.join(offs.select(*BLK, "first"), BLK)
+    out = v.join(offs.select(*BLK, "first").hint("merge"), BLK)
     lab = F.when(F.col("label") != 0, F.col("first") + F.col("rk") - 1).otherwise(F.lit(0))
     return out.select(*AXES, lab.cast("bigint").alias("label"))
 
@@ -118,7 +120,7 @@ def size_filter(labels: DataFrame, block_size, min_size: int) -> DataFrame:
         return labels.select(*AXES, "label")
     v = block_position(labels, block_size)
     sizes = v.groupBy(*BLK, "label").agg(F.count(F.lit(1)).alias("_n"))
-    j = v.join(sizes, BLK + ["label"])
+    j = v.join(sizes.hint("merge"), BLK + ["label"])    # by a stored volume's files Spark would broadcast its voxels
     lab = F.when(F.col("_n") < int(min_size), F.lit(0).cast("bigint")).otherwise(F.col("label"))
     return j.select(*AXES, lab.alias("label"))
 
@@ -148,7 +150,8 @@ def face_contacts(labels: DataFrame, block_size, value: DataFrame | None = None,
     Plan: the (face) voxels are read once; each emits one row per axis on
     which it is a last-slice voxel (keyed by its neighbour ``p + e_d``) and
     one per axis on which it is a first-slice voxel (keyed by itself); a
-    single equi-join on ``(x, y, z, axis)`` pairs them.
+    single equi-join on ``(x, y, z, axis)`` pairs them, and merges, since by the
+    size of a stored volume's files Spark would broadcast one side.
     """
     b = triple(block_size)
     lab = labels.select(*AXES, "label")
@@ -178,7 +181,7 @@ def face_contacts(labels: DataFrame, block_size, value: DataFrame | None = None,
     q = (lab.select(F.col("label").alias("l2"), F.col("_v").alias("v2"),
                     F.explode(F.array(*first)).alias("k"))
             .filter(F.col("k").isNotNull()).select("k.*", "l2", "v2"))
-    j = p.join(q, list(AXES) + ["axis"])
+    j = p.join(q.hint("merge"), list(AXES) + ["axis"])
     return j.select(*[floor_div("p" + a, bi).alias(bc) for a, bc, bi in zip(AXES, BLOCK_COLS, b)],
                     "axis", "l1", "l2", *(["v1", "v2"] if value is not None else []))
 

@@ -100,12 +100,13 @@ def align(vol: DataFrame, coords: DataFrame, value_col: str, constant=0.0, from_
     """``vol`` of one resolution and offset on the voxels ``coords`` of another, ``constant`` outside.
 
     A voxel takes the value of the source voxel that holds its world position (resolution times index plus offset).
-    One equi-join on the source index; a source voxel serves the voxels of its own extent only.
+    One equi-join on the source index; a source voxel serves the voxels of its own extent only.  The join merges:
+    a stored volume's files are so much smaller than its rows that Spark would broadcast them.
     """
     at = [F.floor((F.col(a) * float(r) + float(o) - float(p)) / float(q)).cast("bigint").alias("_" + a)
           for a, r, o, q, p in zip(AXES, triple(to_res), triple(to_off), triple(from_res), triple(from_off))]
     src = vol.select(*[F.col(a).alias("_" + a) for a in AXES], F.col(value_col).alias("_v"))
-    out = coords.select(*AXES, *at).join(src, ["_" + a for a in AXES], "left")
+    out = coords.select(*AXES, *at).join(src.hint("merge"), ["_" + a for a in AXES], "left")
     return out.select(*AXES, F.coalesce("_v", F.lit(constant).cast(vol.schema[value_col].dataType)).alias(value_col))
 
 
